@@ -16,6 +16,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,9 +24,11 @@ from pyspark.sql import types as T
 from .common import file_bytes, list_array, text_blocks
 
 #: Distinct pre-tokens whose ids a worker remembers; it forgets all when the memory is full.
-CACHE = 500_000
+CACHE = 1_000_000
 
 
+#: Fixed value: the pattern for which a text may be cut at single spaces.
+SPACED = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A bitmap word spans 2**SPAN ranks; one root word has a bit for each of them.
 SPAN = 8
 BITS = [1 << i for i in range(1 << SPAN)]
@@ -40,7 +43,15 @@ class ByteBPE:
 
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, table.splitlines()) if a}
         self.tokens = {b: a for a, b in self.ranks.items()}
+        top = max(self.tokens, default=0) + 1
+        self.sizes = np.array([len(self.tokens.get(i, b"")) for i in range(top)], "i8")
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.blob = np.frombuffer(b"".join(self.tokens.get(i, b"") for i in range(top)), "u1")
         self.split = regex.compile(pattern).findall
+        # In this pattern white space only ends a match, a run of it gives its last space to what
+        # follows, and nothing looks back: a space with no white space beside it starts a match.
+        self.cuts = pattern == SPACED
+        self.unsafe = regex.compile(r"\s |  ?\s| \Z").search
         self.words = [0] * ((max(self.tokens, default=0) >> SPAN) + 1)  # all zero between pre-tokens
         self.seen: dict[str, bytes] = {}
         self.limit = cache
@@ -54,13 +65,11 @@ class ByteBPE:
         n = len(piece)
         end = list(range(1, n + 2))  # of the symbol that starts here
         before = list(range(-1, n))  # start of the symbol to the left
-        pair: list[int | None] = [None] * (n + 1)  # rank of the symbol here joined with the next one
+        pair = [get(piece[i : i + 2]) for i in range(n - 1)]  # rank of the symbol here joined with the next one
         # the queue: root bitmap over words, words over ranks, buckets of positions (heaps)
         root, words, buckets, bits = 0, self.words, {}, BITS
-        for i in range(n - 1):
-            rank = get(piece[i : i + 2])
+        for i, rank in enumerate(pair):
             if rank is not None:
-                pair[i] = rank
                 if rank in buckets:
                     buckets[rank].append(i)  # ascending, so a heap already
                 else:
@@ -68,6 +77,7 @@ class ByteBPE:
                     w = rank >> SPAN
                     words[w] |= bits[rank & MASK]
                     root |= 1 << w
+        pair += None, None
         while root:
             w = (root & -root).bit_length() - 1  # find first set, twice
             word = words[w]
@@ -120,19 +130,39 @@ class ByteBPE:
             i = end[i]
         return out
 
-    def packed(self, text: str) -> bytes:
-        """The ids of a text as little-endian 32-bit integers."""
-        seen, parts = self.seen, []
-        for token in self.split(text):
+    def _part(self, part: str) -> bytes:
+        seen, out = self.seen, []
+        for token in self.split(part):
             got = seen.get(token)
             if got is None:
                 got = np.array(self.piece(token.encode("utf-8", "surrogatepass")), "<u4").tobytes()
-                if len(token) <= 64:  # long pre-tokens hardly come again
-                    if len(seen) >= self.limit:
-                        seen.clear()
-                    seen[token] = got
-            parts.append(got)
-        return b"".join(parts)
+                self._remember(token, got)
+            out.append(got)
+        return b"".join(out)
+
+    def _remember(self, part: str, ids: bytes) -> None:
+        if len(part) <= 64:  # long ones hardly come again
+            if len(self.seen) >= self.limit:
+                self.seen.clear()
+            self.seen[part] = ids
+
+    def packed(self, text: str) -> bytes:
+        """The ids of a text as little-endian 32-bit integers.
+
+        Where the pattern lets no match run over a space between two other characters, the
+        text is cut there first and the ids of each part are remembered as a whole.
+        """
+        if not self.cuts or self.unsafe(text):
+            return self._part(text)
+        seen, out = self.seen, []
+        first, *rest = text.split(" ")
+        for part in [first, *[" " + x for x in rest]]:
+            got = seen.get(part)
+            if got is None:
+                got = self._part(part)
+                self._remember(part, got)
+            out.append(got)
+        return b"".join(out)
 
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.packed(text or ""), "<u4").tolist()
@@ -140,6 +170,16 @@ class ByteBPE:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decode_flat(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of many ids, and where each id's bytes end in them."""
+        sizes = self.sizes[ids]
+        if not sizes.all():
+            raise ValueError("an id has no token")
+        ends = np.cumsum(sizes)
+        out = np.arange(ends[-1] if len(ends) else 0, dtype="i8")
+        out += np.repeat(self.begins[ids] - (ends - sizes), sizes)
+        return self.blob[out], ends
+
 
 _BUILT: dict[tuple, ByteBPE] = {}
 
@@ -188,10 +228,15 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "
         codec = built(table.value, pattern)
         for batch in batches:
             # a batch of short ids may stand for many bytes: slices keep what is held small
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                out = [codec.decode(x or ()) for x in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ids"), pa.array(out, pa.binary())], ["id", "ids", "decoded"])
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                lists = part.column("ids")
+                ids = lists.flatten().to_numpy()
+                data, ends = codec.decode_flat(ids)
+                sizes = np.array([x or 0 for x in pc.list_value_length(lists).to_pylist()], "i8")
+                edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])].astype("i4")
+                decoded = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(edges), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([part.column("id"), lists, decoded], ["id", "ids", "decoded"])
 
     kind = encoded.schema[id_col].dataType
     schema = T.StructType([T.StructField("id", kind), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
