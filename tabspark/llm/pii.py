@@ -1,0 +1,197 @@
+"""Surrogate generation for personal data, in DataFrame functions only.
+
+A text is cut into segments: literal text and entities (e-mail addresses, phone numbers,
+card numbers, national ids, IP addresses, and names after a form of address). An entity's
+surrogate is drawn from SHA-256 of a key, its type, its canonical form and an attempt
+number, so one entity has one surrogate everywhere (coreference), whatever its formatting,
+and each occurrence keeps its own format: punctuation, case, length, a card's check digit,
+the gender and script of a name. Attempts rise for all but one of the entities that would
+share a surrogate, or whose surrogate is an entity of the corpus, until none is left.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import materialize
+
+#: Forms of address by gender.
+TITLES = {
+    "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин"],
+    "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа"],
+    "u": ["Dr", "Prof"],
+}
+#: Given names by gender and script.
+GIVEN = {
+    "m": "Adam Albert Anton Bruno Carl Daniel David Emil Felix George Hugo Ivan Jan Jonas Leo Lucas Martin Max Nico Noah Oscar Otto Paul Peter Robert Samuel Simon Theo Thomas Tim Victor Walter".split(),
+    "f": "Ada Alice Amelia Anna Clara Diana Elena Ella Emma Eva Flora Greta Helena Ida Irene Julia Laura Lea Lina Lucia Maria Marta Mia Nina Nora Olivia Paula Rosa Sara Sofia Vera Zoe".split(),
+    "mc": "Андрей Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Олег Павел Роман Семён Тимур Юрий".split(),
+    "fc": "Алина Вера Дарья Елена Жанна Зоя Ирина Клара Лидия Мария Нина Ольга Полина Раиса София Юлия".split(),
+}
+GIVEN["u"], GIVEN["uc"] = GIVEN["m"] + GIVEN["f"], GIVEN["mc"] + GIVEN["fc"]
+#: Syllables of family names.
+SYLLABLES = {"": "ba be bi bo da de di do ka ke ki ko la le li lo ma me mi mo na ne ni no ra re ri ro sa se so ta".split(), "c": "ба бе би бо да де ди до ка ке ки ко ла ле ли ло ма ме ми мо на не ни но ра ре ри ро са се со та".split()}
+_ADDRESS = "|".join(t for ts in TITLES.values() for t in sorted(ts, key=len, reverse=True))
+_LOCAL = "[\\p{L}\\p{N}._%+-]"
+#: What is an entity, by type; the first type that matches at a place wins.
+PATTERNS = {
+    "email": f"(?<!{_LOCAL}){_LOCAL}++@[\\p{{L}}\\p{{N}}-]++(?:\\.[\\p{{L}}\\p{{N}}-]++)+",
+    "ip": "(?<![\\p{L}\\p{N}.])(?:(?:25[0-5]|2[0-4]\\d|1\\d\\d|\\d?\\d)\\.){3}(?:25[0-5]|2[0-4]\\d|1\\d\\d|\\d?\\d)(?![\\p{L}\\p{N}]|\\.\\d)",
+    "ssn": "(?<![\\p{L}\\p{N}-])\\d{3}-\\d{2}-\\d{4}(?![\\p{L}\\p{N}]|-\\d)",
+    "card": "(?<![\\p{L}\\p{N}])(?:\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3})(?![\\p{L}\\p{N}])",
+    "phone": "(?<![\\p{L}\\p{N}+])(?:\\+\\d{1,3}[ .-]?)?(?:\\(\\d{2,4}\\) ?|\\d{2,4}[ .-])\\d{3,4}[ .-]\\d{4}(?![\\p{L}\\p{N}]|[.-]\\d)|(?<![\\p{L}\\p{N}+])\\+\\d{8,15}(?![\\p{L}\\p{N}])",
+    "name": f"(?<![\\p{{L}}\\p{{N}}])(?:{_ADDRESS})\\.? \\p{{Lu}}\\p{{Ll}}+(?: \\p{{Lu}}\\p{{Ll}}+)?(?![\\p{{L}}\\p{{N}}])",
+}
+ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Attempts before a surrogate space counts as exhausted.
+ATTEMPTS = 64
+
+
+def _may_have(text: Column) -> Column:
+    found = text.rlike("[0-9@]")
+    for t in (t for ts in TITLES.values() for t in ts):
+        found = found | text.contains(t + " ") | text.contains(t + ". ")
+    return found
+
+
+def _kind(m: Column) -> Column:
+    out = None
+    for kind, p in PATTERNS.items():
+        test = m.rlike(f"^(?:{p})$")
+        out = F.when(test, kind) if out is None else out.when(test, kind)
+    return out
+
+
+def _digits(x: Column) -> Column:
+    return F.regexp_replace(x, "[^0-9]", "")
+
+
+def _canonical(kind: Column, m: Column) -> Column:
+    d = _digits(m)
+    phone = F.when(F.length(d) > 10, F.substring(d, -10, 10)).otherwise(d)
+    return F.when(kind == "email", F.lower(m)).when(kind == "ip", m).when(kind == "phone", phone).when(kind.isin("card", "ssn"), d).otherwise(F.lower(m))
+
+
+def _segment(kind, text: Column) -> Column:
+    kind = F.lit(kind).cast("string") if not isinstance(kind, Column) else kind
+    return F.struct(kind.alias("kind"), text.alias("text"), F.when(kind.isNotNull(), _canonical(kind, text)).alias("canon"))
+
+
+def _segments(text: Column) -> Column:
+    """array<struct<kind,text,canon>>: the text in order; kind is null for what stays."""
+    found, gaps = F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), F.split(text, ANY, -1)
+
+    def entity(m: Column) -> Column:
+        title = F.regexp_extract(m, f"^((?:{_ADDRESS})\\.? )", 1)
+        parts = F.split(F.substring(m, F.length(title) + 1, F.length(m)), " ")
+        script = F.when(F.get(parts, F.lit(0)).rlike("\\p{IsCyrillic}"), "c").otherwise("")
+        gender = F.when(F.regexp_replace(title, "[. ]", "").isin(TITLES["m"]), "m").when(F.regexp_replace(title, "[. ]", "").isin(TITLES["f"]), "f").otherwise("u")
+        family = F.concat(F.lit("family"), script)
+        named = F.when(
+            F.size(parts) == 2,
+            F.array(_segment(None, title), _segment(F.concat(F.lit("given_"), gender, script), F.get(parts, F.lit(0))), _segment(None, F.lit(" ")), _segment(family, F.get(parts, F.lit(1)))),
+        ).otherwise(F.array(_segment(None, title), _segment(family, F.get(parts, F.lit(0)))))
+        return F.when(_kind(m) == "name", named).otherwise(F.array(_segment(_kind(m), m)))
+
+    pairs = F.zip_with(gaps, found, lambda g, m: F.concat(F.array(_segment(None, g)), F.when(m.isNotNull(), entity(m)).otherwise(F.array(_segment(None, F.lit(""))))))
+    return F.filter(F.flatten(pairs), lambda s: s["text"] != "")
+
+
+def _pick(pool: list[str], seed: Column, at: int) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in pool]), (F.conv(F.substring(seed, at, 8), 16, 10).cast("long") % len(pool)).cast("int") + 1)
+
+
+def _shaped(text: Column, stream: Column, letters: Column, keep_from_right: int | None = None) -> Column:
+    """Digits and letters of ``text`` replaced from the streams, counted from the right; all else stays."""
+    n = F.length(_digits(text))
+    at = lambda s, i: F.substring(s, F.pmod(i, F.lit(64)).cast("int") + 1, 1)
+
+    def one(c: Column, i: Column) -> Column:
+        right = n - F.length(_digits(F.substring(text, 1, i + 1)))  # digits after this one
+        letter = at(letters, i)
+        out = F.when(c.rlike("[0-9]"), F.when(F.lit(keep_from_right is not None) & (right >= (keep_from_right or 0)), c).otherwise(at(stream, right)))
+        return out.when(c.rlike("\\p{Lu}"), F.upper(letter)).when(c.rlike("\\p{L}"), letter).otherwise(c)
+
+    return F.array_join(F.transform(F.filter(F.split(text, ""), lambda c: c != ""), one), "")
+
+
+def _luhn(digits: Column) -> Column:
+    """The check sum of the digits, the last one counted as it is."""
+    d = F.transform(F.filter(F.split(F.reverse(digits), ""), lambda c: c != ""), lambda c, i: F.when(i % 2 == 0, c.cast("int")).otherwise(F.when(c.cast("int") * 2 > 9, c.cast("int") * 2 - 9).otherwise(c.cast("int") * 2)))
+    return F.aggregate(d, F.lit(0), lambda a, x: a + x) % 10
+
+
+def _card(text: Column, canon: Column, stream: Column) -> Column:
+    n = F.length(canon)
+    body = F.concat(F.substring(canon, 1, 1), F.substring(stream, 1, n - 2))
+    check = (10 - _luhn(F.concat(body, F.lit("0")))) % 10
+    wrong = (check + 1 + F.substring(stream, 40, 1).cast("int") % 9) % 10
+    whole = F.concat(body, F.when(_luhn(canon) == 0, check).otherwise(wrong).cast("string"))
+    spread = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c, i: F.when(c.rlike("[0-9]"), F.substring(whole, F.length(_digits(F.substring(text, 1, i + 1))), 1)).otherwise(c))
+    return F.array_join(spread, "")
+
+
+def render(kind: Column, text: Column, canon: Column, attempt: Column, key: str) -> Column:
+    """The surrogate of an occurrence ``text`` of the entity (kind, canon)."""
+    seed = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string")), 256)
+    stream = F.translate(seed, "abcdef", "274905")
+    letters = F.translate(seed, "0123456789abcdef", "ghjklmnpqrstvwxz")
+    domain = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.substring_index(canon, "@", -1)), 256)
+    host = F.concat(F.lit("@"), F.translate(F.substring(domain, 1, 8), "0123456789abcdef", "ghjklmnpqrstvwxz"), F.lit(".example."), _pick(["com", "net", "org"], domain, 9))
+    email = F.concat(_shaped(F.substring_index(text, "@", 1), stream, letters), host)
+    octet = lambda i: (F.conv(F.substring(seed, 1 + 6 * i, 6), 16, 10).cast("long") % 254 + 1).cast("string")
+    out = F.when(kind == "email", F.when((text == F.upper(text)), F.upper(email)).otherwise(email)).when(kind == "ip", F.concat_ws(".", *[octet(i) for i in range(4)])).when(kind == "card", _card(text, canon, stream))
+    out = out.when(kind == "phone", _shaped(text, stream, letters, 10)).when(kind == "ssn", _shaped(text, stream, letters))
+    for g, pool in GIVEN.items():
+        out = out.when(kind == f"given_{g}", _pick(pool, seed, 1))
+    for s, pool in SYLLABLES.items():
+        out = out.when(kind == f"family{s}", F.initcap(F.concat(*[_pick(pool, seed, 1 + 8 * i) for i in range(4)])))
+    return out
+
+
+def mapping(entities: DataFrame, key: str) -> DataFrame:
+    """``kind, canon, attempt`` with distinct surrogates for the distinct ``kind, canon`` given.
+
+    Given names may be shared (their pool is small; they never stand alone): the family
+    name beside them is what is kept distinct.
+    """
+    # entities never equal a surrogate of their kind, so a text never shows another's real data
+    known = entities.select("kind", F.col("canon").alias("_s")).distinct()
+    now = materialize(entities.distinct().withColumn("attempt", F.lit(0)), "pii-mapping")
+    for _ in range(ATTEMPTS):
+        own = now.withColumn("_s", _canonical(F.col("kind"), render(F.col("kind"), F.col("canon"), F.col("canon"), F.col("attempt"), key)))
+        real = known.withColumn("_real", F.lit(True))
+        nth = F.row_number().over(Window.partitionBy("kind", "_s").orderBy("attempt", "canon"))
+        tested = own.withColumn("_n", nth).join(real, ["kind", "_s"], "left")
+        clash = ~F.col("kind").startswith("given") & ((F.col("_n") > 1) | F.coalesce(F.col("_real"), F.lit(False)))
+        now = materialize(tested.select("kind", "canon", "attempt", clash.alias("_clash")), "pii-mapping")
+        if now.where("_clash").isEmpty():
+            return now.select("kind", "canon", "attempt")
+        now = now.select("kind", "canon", (F.col("attempt") + F.col("_clash").cast("int")).alias("attempt"))
+    raise ValueError(f"no distinct surrogates after {ATTEMPTS} attempts")
+
+
+def replace(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:
+    """``docs`` with every entity of ``text_col`` replaced, and column ``n_entities long`` added.
+
+    Rows and other columns stay (a column named ``n_entities`` is replaced); a null text
+    stays null with 0 entities; an empty table gives an empty result. Only texts with an
+    entity take part in any shuffle, and only once for each distinct text.
+    """
+    own = [c for c in docs.columns if c != "n_entities"]
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    given = docs.select(F.struct(*[f"`{c}`" for c in own]).alias("row"), text.alias("text"))
+    has = _may_have(F.col("text")) & F.col("text").rlike(ANY)
+    back = lambda t: [t.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in own]
+    rest = given.where(~has).select(*back(F.col("row")[text_col]), F.lit(0).cast("long").alias("n_entities"))
+    hits = materialize(given.where(has).select("row", F.sha2("text", 256).alias("blob"), _segments(F.col("text")).alias("segments")), "pii-hits")
+    # copies: any one of the equal segment lists
+    parts = hits.select("blob", F.posexplode("segments").alias("at", "s")).select("blob", "at", "s.*").dropDuplicates(["blob", "at"])
+    parts = materialize(parts, "pii-segments")
+    attempts = mapping(parts.where("kind IS NOT NULL").select("kind", "canon"), key)
+    named = parts.where("kind IS NOT NULL").join(attempts, ["kind", "canon"]).select("blob", "at", render(F.col("kind"), F.col("text"), F.col("canon"), F.col("attempt"), key).alias("out"), F.lit(1).alias("e"))
+    whole = named.union(parts.where("kind IS NULL").select("blob", "at", F.col("text").alias("out"), F.lit(0).alias("e")))
+    texts = whole.groupBy("blob").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "out"))), lambda x: x["out"]), "").alias("_new"), F.sum("e").alias("_n"))
+    changed = hits.select("row", "blob").join(texts, "blob").select(*back(F.col("_new")), F.col("_n").alias("n_entities"))
+    return rest.union(changed)

@@ -223,5 +223,7 @@ def keep_good(docs: DataFrame, *, text_col: str = "text", lang: str = "lang", so
     given = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), F.col(text_col).alias("_t"), F.col(lang).alias("_lang"), F.col(source).alias("_source"))
     stats = materialize(with_stats(given.select("_t", "_lang", "_source"), "_t").select("_lang", "_source", "_s.*"), "quality-stats")
     big, est = fit(stats, lang="_lang", source="_source")
-    again = with_stats(given, "_t").select("_row", "_lang", "_source", "_s.*")
-    return verdicts(again, big, est, lang="_lang", source="_source").where("kept").select("_row.*")
+    # A filter pushed below the projections of the statistics would repeat them inside each
+    # other; it isn't pushed below a generator whose output it needs.
+    again = with_stats(given, "_t").select("_row", "_lang", "_source", F.explode(F.array("_s")).alias("_s"))
+    return verdicts(again.select("_row", "_lang", "_source", "_s.*"), big, est, lang="_lang", source="_source").where("kept").select("_row.*")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, jaccard, quality, secrets, tokencount, tokenfile
+from . import bpe, chat, decontam, jaccard, lm, pii, quality, secrets, tokencount, tokenfile
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,10 +19,19 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(ids, path, public_tokenizers.PATTERN))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pii.replace(docs, key="corpus-release-1")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op4_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
@@ -60,7 +69,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_pii_surrogates": op2_pii_surrogates,
     "op3_token_counts": op3_token_counts,
+    "op4_backoff_scores": op4_backoff_scores,
     "op5_quality_rules": op5_quality_rules,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_decontamination": op7_decontamination,

@@ -121,13 +121,18 @@ def report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
-def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every found span replaced by ``mark`` (overlapping spans by one).
+def redact(docs: DataFrame, ledger: DataFrame | None = None, *, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every span that :func:`scan` finds replaced by ``mark`` (overlapping spans by one).
 
     Rows, order of columns and all other columns stay; a null text stays null. ``n_chars``,
     where there is such a column, is set to the new text's length if the text changed.
     """
-    found = find(docs.withColumn("_t", F.col(text_col).cast("string")), "_t").withColumnRenamed("spans", "_spans")
+    findings, _ = scan(docs, ledger, id_col=id_col, text_col=text_col)
+    hits = findings.where(F.size("spans") > 0).select(F.col(id_col).alias("_i"), F.col("blob").alias("_b"), F.col("spans").alias("_spans")).distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    text = F.col(f"`{text_col}`").cast("string")
+    given = docs.select(row, text.alias("_t"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("_blob"))
+    found = given.join(hits.hint("shuffle_hash"), (F.col("_blob") == F.col("_b")) & F.col("_row")[id_col].eqNullSafe(F.col("_i")), "left")
     pieces = F.aggregate(
         "_spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
@@ -137,16 +142,16 @@ def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]") -
                 F.when(s["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.substring("_t", a["at"] + 1, s["start"] - a["at"]), F.lit(mark))).alias("out"),
             )
         ),
-        lambda a: F.concat(a["out"], F.substring("_t", a["at"] + 1, F.length("_t") - a["at"])),
+        lambda a: F.concat(a["out"], F.substring("_t", a["at"] + 1, F.length("_t"))),
     )
-    changed = F.size("_spans") > 0
-    found = found.withColumn("_new", F.when(changed, pieces).otherwise(F.col(f"`{text_col}`")))
+    changed = F.col("_spans").isNotNull()
+    found = found.withColumn("_new", F.when(changed, pieces).otherwise(F.col("_t")))
     columns = []
     for c in docs.columns:
         if c == text_col:
             columns.append(F.col("_new").alias(c))
         elif c == "n_chars":
-            columns.append(F.when(changed, F.length("_new").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c))
+            columns.append(F.when(changed, F.length("_new").cast(docs.schema[c].dataType)).otherwise(F.col("_row")[c]).alias(c))
         else:
-            columns.append(F.col(f"`{c}`"))
+            columns.append(F.col("_row")[c].alias(c))
     return found.select(*columns)
