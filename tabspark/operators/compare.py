@@ -213,3 +213,24 @@ def value_overlap(a: DataFrame, b: DataFrame, column_a: str, column_b: str) -> D
     y = b.select(F.col(column_b).cast("string").alias("v"), F.lit(0).alias("x"), F.lit(1).alias("y"))
     by = x.union(y).where("v IS NOT NULL").groupBy("v").agg(F.max("x").alias("x"), F.max("y").alias("y"))
     return by.agg(F.count_if((F.col("x") == 1) & (F.col("y") == 1)).alias("common"), F.count(F.lit(1)).alias("either")).withColumn("jaccard", F.round(F.col("common") / F.col("either"), 6))
+
+
+def stats_drift(both: DataFrame, column: str) -> DataFrame:
+    """One row: the largest of the differences of null share, of distinct count (relative) and of mean (in source deviations)."""
+    c, n = F.col(column), F.count(F.lit(1))
+    side = lambda x, s: F.when(F.col("side") == s, x)
+    one = both.agg(
+        *[(F.count_if(c.isNull() & (F.col("side") == s)) / n).alias(f"n{s}") for s in (0, 1)],
+        *[F.countDistinct(side(c, s)).alias(f"d{s}") for s in (0, 1)],
+        *[F.avg(side(c, s)).alias(f"m{s}") for s in (0, 1)],
+        F.stddev_pop(side(c, 0)).alias("s0"),
+    )
+    gap = lambda x: F.abs(F.col(f"{x}1") - F.col(f"{x}0"))
+    return one.select(F.round(F.greatest(gap("n"), gap("d") / F.col("d0"), gap("m") / F.col("s0")), 6).alias("drift"))
+
+
+def publishable(df: DataFrame, column: str, least: int) -> DataFrame:
+    """value, n: values of at least ``least`` rows as they are, all others as one count."""
+    by = df.groupBy(F.col(column).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    rare = by.where(F.col("c") < least).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n")).select(F.lit("<rare>").alias("value"), "n")
+    return by.where(F.col("c") >= least).select(F.col("v").alias("value"), F.col("c").alias("n")).union(rare)

@@ -16,6 +16,7 @@ from ..functions import hashed, unit
 from ..operators import compare as C
 from ..operators import generate as G
 from ..operators import membership as M
+from ..operators import privacy as Y
 from ..operators import profile as P
 from ..operators import relational as R
 from ..operators import scoring as K
@@ -275,3 +276,61 @@ add("service_sets", "SELECT user_id, count(DISTINCT CASE WHEN event_type = 'erro
 add("service_trend", "WITH l AS (SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id) SELECT e.user_id, e.event_id, e.event_type, round(e.value, 4) AS value FROM events e JOIN l USING (user_id, event_id)")(lambda t: t.events.groupBy("user_id").agg(F.max("event_id").alias("event_id")).join(t.events, ["user_id", "event_id"]).select("user_id", "event_id", "event_type", F.round("value", 4).alias("value")))
 add("service_pools", "SELECT n_nationkey, coalesce(c.n, 0) AS customers, s.least AS least_balance FROM nation LEFT JOIN (SELECT c_nationkey AS n_nationkey, count(*) AS n FROM customer GROUP BY 1) c USING (n_nationkey) LEFT JOIN (SELECT s_nationkey AS n_nationkey, min(s_acctbal) AS least FROM supplier GROUP BY 1) s USING (n_nationkey)")(lambda t: t.nation.select("n_nationkey").join(t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("customers")), "n_nationkey", "left").join(t.supplier.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.min("s_acctbal").alias("least_balance")), "n_nationkey", "left").select("n_nationkey", F.coalesce("customers", F.lit(0)).alias("customers"), "least_balance"))
 add("streaming_windows", "SELECT epoch_us(time_bucket(INTERVAL '1 hour', ts)) AS start_us, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")(lambda t: __import__("tabspark.streaming.events", fromlist=["batch"]).batch(t.events, "1 hour"))
+
+# ---- privacy, detection, whole runs ------------------------------------------------------------
+
+_pan = "(SELECT c_custkey AS id, c_acctbal / 11000 AS x, c_nationkey / 25.0::double AS y FROM customer WHERE c_custkey % 2 = {s} ORDER BY md5(c_custkey::varchar) LIMIT 150)"
+
+
+def _points(t: Tables, s: int) -> DataFrame:
+    rows = S.reference_sample(t.side("customer", "c_custkey", s), F.col("c_custkey"), 150)
+    return rows.select(F.col("c_custkey").alias("id"), (F.col("c_acctbal") / 11000).alias("x"), (F.col("c_nationkey") / 25.0).alias("y"))
+
+
+add("density_coverage", f"WITH r AS {_pan.format(s=0)}, s AS {_pan.format(s=1)}, d AS (SELECT a.id, a.x, a.y, b.id AS j, round((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y), 8) AS d FROM r a JOIN r b ON a.id <> b.id), k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, j) AS n FROM d) WHERE n = 5), m AS (SELECT k.id, count(*) AS c FROM k JOIN s ON round((s.x - k.x) * (s.x - k.x) + (s.y - k.y) * (s.y - k.y), 8) <= k.d GROUP BY k.id) SELECT round(coalesce(sum(c), 0) / (5 * (SELECT count(*) FROM s)), 6) AS density, round(count(*) / (SELECT count(*) FROM r), 6) AS coverage FROM m")(lambda t: Y.density_coverage(_points(t, 0), _points(t, 1), ["x", "y"], 5, id_col="id"))
+add("rarefied_duplicates", "WITH f AS (SELECT k, count(*) AS r FROM (SELECT count(*) AS k FROM lineitem GROUP BY l_partkey) GROUP BY k), n AS (SELECT sum(k * r)::double AS n FROM f) SELECT round(1 - sum(r * (1 - CASE WHEN n - k < 3000 THEN 0 ELSE exp(lgamma(n - k + 1) + lgamma(n - 3000 + 1) - lgamma(n - k - 3000 + 1) - lgamma(n + 1)) END)) / 3000, 6) AS duplicate_share FROM f, n")(lambda t: Y.rarefied_duplicates(M.frequency_of_frequencies(t.lineitem, ["l_partkey"]), 3000))
+add("matched_size", f"WITH b AS (SELECT 0 AS side, o_orderkey FROM orders WHERE o_orderkey % 4 = 0 UNION ALL SELECT 1, o_orderkey FROM orders WHERE o_orderkey % 4 > 1), r AS (SELECT side, (SELECT min(c) FROM (SELECT count(*) AS c FROM b GROUP BY side)) / count(*) AS p FROM b GROUP BY side) SELECT side, count(*) AS n, sum(o_orderkey)::bigint AS keys FROM b JOIN r USING (side) WHERE {U.format(salt='m', key='o_orderkey')} < p GROUP BY side")(lambda t: Y.matched(C.sided(t.orders.where("o_orderkey % 4 = 0"), t.orders.where("o_orderkey % 4 > 1")), F.col("o_orderkey"), "m").groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys")))
+add("row_flags", f"SELECT status, o_orderkey, rank FROM (SELECT *, row_number() OVER (PARTITION BY status ORDER BY o_totalprice, o_orderkey) AS rank FROM (SELECT DISTINCT o_orderstatus AS status, o_orderkey, o_totalprice FROM {PLANTED})) WHERE rank <= 5")(lambda t: Y.row_flags(t.planted().select(F.col("o_orderstatus").alias("status"), "o_orderkey", "o_totalprice"), "status", "o_orderkey", "o_totalprice", 5).select("status", "o_orderkey", F.col("rank").cast("long").alias("rank")))
+add("length_ks", "WITH l AS (SELECT length(p_name) AS len, count(*) FILTER (WHERE p_partkey % 2 = 0) AS a, count(*) FILTER (WHERE p_partkey % 2 = 1) AS b FROM part GROUP BY 1) SELECT round(max(d), 6) AS length_ks FROM (SELECT abs(sum(a) OVER (ORDER BY len) / sum(a) OVER () - sum(b) OVER (ORDER BY len) / sum(b) OVER ()) AS d FROM l WHERE len <= 64)")(lambda t: C.binned_distances(C.binned(t.both("part", "p_partkey"), F.length("p_name").cast("double"), [float(i) for i in range(1, 65)]), [float(i) for i in range(1, 65)]).select(F.col("ks").alias("length_ks")))
+_npt = "SELECT CASE WHEN nullif(o_orderstatus, 'F') IS NULL THEN '1' ELSE '0' END || CASE WHEN nullif(o_orderpriority, '5-LOW') IS NULL THEN '1' ELSE '0' END AS value, o_orderkey % 2 AS s FROM orders"
+
+
+def _patterns(t: Tables) -> DataFrame:
+    from ..functions import null_pattern
+
+    both = t.both("orders", "o_orderkey").select("side", null_pattern(F.expr("nullif(o_orderstatus, 'F')"), F.expr("nullif(o_orderpriority, '5-LOW')")).alias("value"))
+    return both.groupBy("value").agg(F.count_if(F.col("side") == 0).alias("c_src"), F.count_if(F.col("side") == 1).alias("c_syn")).withColumn("g", F.lit(1))
+
+
+add("null_pattern_tvd", f"SELECT round(sum(abs(p - q)) / 2, 6) AS tvd FROM (SELECT count(*) FILTER (WHERE s = 0) / sum(count(*) FILTER (WHERE s = 0)) OVER () AS p, count(*) FILTER (WHERE s = 1) / sum(count(*) FILTER (WHERE s = 1)) OVER () AS q FROM ({_npt}) GROUP BY value)")(lambda t: C.frequency_distances(_patterns(t), "g").select("tvd"))
+add("stats_drift", "SELECT round(greatest(abs(n1 - n0), abs(d1 - d0) / d0, abs(m1 - m0) / s0), 6) AS drift FROM (SELECT count(*) FILTER (WHERE o_totalprice IS NULL AND o_orderkey % 2 = 0) / count(*) AS n0, count(*) FILTER (WHERE o_totalprice IS NULL AND o_orderkey % 2 = 1) / count(*) AS n1, count(DISTINCT o_totalprice) FILTER (WHERE o_orderkey % 2 = 0) AS d0, count(DISTINCT o_totalprice) FILTER (WHERE o_orderkey % 2 = 1) AS d1, avg(o_totalprice) FILTER (WHERE o_orderkey % 2 = 0) AS m0, avg(o_totalprice) FILTER (WHERE o_orderkey % 2 = 1) AS m1, stddev_pop(o_totalprice) FILTER (WHERE o_orderkey % 2 = 0) AS s0 FROM orders)")(lambda t: C.stats_drift(t.both("orders", "o_orderkey"), "o_totalprice"))
+add("publishable_values", "SELECT o_custkey::varchar AS value, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) >= 10 UNION ALL SELECT '<rare>', coalesce(sum(n), 0)::bigint FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) < 10)")(lambda t: C.publishable(t.orders, "o_custkey", 10))
+
+
+def _spec():
+    from .evaluate import TableSpec
+
+    return TableSpec("orders", ["o_orderkey"], categorical=["o_orderstatus", "o_orderpriority"], numeric=["o_totalprice"], temporal=["o_orderdate"])
+
+
+def _evaluated(t: Tables) -> DataFrame:
+    from .evaluate import evaluate
+
+    return evaluate(t.side("orders", "o_orderkey", 0), t.planted(), _spec())
+
+
+add("evaluation", None)(lambda t: _evaluated(t).select("metric_id", "table_name", "unit", "value", "status", "score"))
+add("detection_scores", None)(lambda t: X.auc(Y.out_of_fold_scores(t.both("customer", "c_custkey"), ["c_acctbal", "c_nationkey"], "c_custkey"), "score", "side"))
+add("propensity_ratio", None)(lambda t: Y.pmse_ratio(Y.out_of_fold_scores(t.both("customer", "c_custkey"), ["c_acctbal", "c_nationkey"], "c_custkey", folds=2, boosted=False), 2))
+
+
+def _generated(t: Tables) -> DataFrame:
+    from .evaluate import generate_model
+
+    model = R.Model(["customer", "orders"], [R.Edge("orders", "customer", (("o_custkey", "c_custkey"),))])
+    made = generate_model({"customer": t.customer, "orders": t.orders}, model, {"customer": 500}, "run")
+    return made["orders"]
+
+
+_hist = "SELECT k, sum(c) OVER (ORDER BY k) - c AS lo, sum(c) OVER (ORDER BY k) AS hi, sum(c) OVER () AS n FROM (SELECT k, count(*) AS c FROM (SELECT c_custkey, count(o_orderkey) AS k FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1) GROUP BY k)"
+add("generated_model", f"WITH w AS ({_hist}), p AS (SELECT {H.format(salt='run|customer', key='i')} AS o_custkey FROM range(0, 500) r(i)), d AS (SELECT o_custkey, {U.format(salt='run|orders', key='o_custkey')} AS u FROM p), e AS (SELECT o_custkey, unnest(range(1, k + 1)) AS j FROM d JOIN w ON u >= lo / n AND u < hi / n WHERE k > 0) SELECT o_custkey, {H.format(salt='run|orders|key', key="(o_custkey::varchar || '|' || j::varchar)")} AS key FROM e")(_generated)
