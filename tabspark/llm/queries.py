@@ -80,4 +80,56 @@ QUERIES = {
     "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+_UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TEXT = "coalesce(text, '')"
+_LOWERED = f"translate({_TEXT}, '{_UP}', '{_LOW}')"
+
+OP6_SQL = f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+ s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+ l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+ r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.y FROM r JOIN l ON l.x = r.b),
+ m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)"""
+
+_PLAIN = "regexp_extract_all({t}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(t=_LOWERED)
+OP7_SQL = f"""WITH d AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
+ i AS (SELECT item_id::varchar AS item, w, least(10, len(w)) AS n FROM (SELECT item_id, {_PLAIN} AS w FROM benchmark) WHERE len(w) > 0),
+ v AS (SELECT DISTINCT item, n, array_to_string(w[j:j + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS j FROM i)),
+ k AS (SELECT DISTINCT n FROM v),
+ x AS (SELECT doc_id, n, j, array_to_string(w[j:j + n - 1], ' ') AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS j FROM d, k)),
+ h AS (SELECT doc_id, item, x.n, j FROM x JOIN v ON v.g = x.g AND v.n = x.n),
+ c AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(j, j + n)) AS q FROM h) GROUP BY doc_id),
+ t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+
+def _op8_sql() -> str:
+    spans = []
+    for n, (kind, pattern, least, group) in enumerate(secrets.RULES):
+        p = pattern.replace("'", "''")
+        spans.append(
+            f"SELECT doc_id, {n} AS o, '{kind}' AS kind, s, s + length(m[i]) AS e FROM (SELECT doc_id, m, g, i, coalesce(list_sum(list_transform(gap[1:i], lambda z: length(z))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda z: length(z))), 0) AS s"
+            f" FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all({_TEXT}, '{p}') AS m, regexp_extract_all({_TEXT}, '{p}', {group}) AS g, string_split_regex({_TEXT}, '{p}') AS gap FROM documents))) WHERE length(g[i]) >= {least}"
+        )
+    count = lambda k: f"coalesce(n_{k}, 0) AS n_{k}"
+    line = "string_agg(kind || ':' || s::bigint || ':' || e::bigint, ',' ORDER BY s, o)"
+    return f"""WITH f AS ({" UNION ALL ".join(spans)}),
+ a AS (SELECT doc_id, {", ".join(f"count(*) FILTER (WHERE o = {k}) AS n_{secrets.RULES[k][0]}" for k in range(secrets.BASE))}, {line} FILTER (WHERE o < {secrets.BASE}) AS base, {line} AS spans FROM f GROUP BY doc_id)
+SELECT doc_id, {", ".join(count(secrets.RULES[k][0]) for k in range(secrets.BASE))}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents LEFT JOIN a USING (doc_id)"""
+
+
+_CONTROL = "(/?INST\\]|/?ROLE[ \\]]|/?s>|\\]\\s)"
+OP9_SQL = f"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, {_TEXT} AS text FROM conversations UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+ e AS (SELECT *, (role = 'user' AND contains(text, ' [/INST]')) OR (role = 'assistant' AND contains(text, '</s>')) OR (role NOT IN ('user', 'assistant') AND contains(text, ' [/ROLE]')) OR regexp_matches(text, '[\\[<]\\\\+{_CONTROL}') AS guard, len(regexp_extract_all(text, '[\\[<]\\\\*{_CONTROL}')) AS k FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256, coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::bigint AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+ sum(length(text) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 ELSE 16 + length(role) END + CASE WHEN guard THEN k ELSE 0 END)::bigint AS formatted_chars FROM e GROUP BY conv_id"""
+
+ORACLES: dict[str, str] = {
+    "op6_jaccard_join": OP6_SQL,
+    "op7_decontamination": OP7_SQL,
+    "op8_secret_scan": _op8_sql(),
+    "op9_chat_format": OP9_SQL,
+}
