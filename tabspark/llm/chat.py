@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import kept
+
 #: The control strings without their first character, which a backslash may follow.
 CONTROL = re.compile(r"([\[<])(\\*)(/?INST\]|/?ROLE(?=[ \]])|/?s>|\](?=\s))")
 ESCAPED = re.compile(r"([\[<])(\\+)(/?INST\]|/?ROLE(?=[ \]])|/?s>|\](?=\s))")
@@ -119,6 +121,7 @@ def format_conversations(rows: DataFrame, *, conv: str = "conv_id", turn: str =
     whole = whole.select("conv_id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("chat")
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 piece = batch.slice(at, 500)
@@ -134,6 +137,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars`` from formatted text and mask alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("chat")
         import hashlib
 
         digest = lambda x: hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest()

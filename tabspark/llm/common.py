@@ -88,6 +88,21 @@ def text_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) ->
         yield batch.slice(start)
 
 
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(*key, build=None):
+    """What a worker process keeps from task to task: one object, the last asked for.
+
+    Workers serve one operator after another; each calls this first, so that none holds the
+    memory of the one before it.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build() if build else None
+    return _KEPT[key]
+
+
 def list_array(values: np.ndarray, lengths, kind: pa.DataType) -> pa.ListArray:
     """A list column from flat values and the length of each row."""
     offsets = np.zeros(len(lengths) + 1, "i4")
@@ -104,7 +119,7 @@ def text_bytes(batch: pa.RecordBatch) -> list[bytes]:
 class WordHash(dict):
     """word (bytes) -> 64-bit hash, remembered; forgets all when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

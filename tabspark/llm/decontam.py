@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_scratch, list_array, materialize, scratch, text_blocks, text_bytes
+from .common import drop_scratch, list_array, kept, materialize, scratch, text_blocks, text_bytes
 
 #: Words of a window; bytes of item text that one broadcast index covers.
 WINDOW, SLICE = 10, 16 << 20
@@ -119,6 +119,7 @@ def _count(docs: DataFrame, index: Broadcast, keys: int) -> np.ndarray:
     """Occurrences of each shingle of the index in all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("decontam")
         own = index.value
         total = np.zeros(len(own.keys), "i8")
         for batch in text_blocks(batches):
@@ -176,6 +177,7 @@ def _pass(frame: DataFrame, index: Broadcast) -> DataFrame:
     schema = T.StructType([frame.schema["row"], frame.schema["text"], T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), frame.schema["spans"], frame.schema["items"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("decontam")
         own = index.value
         for batch in text_blocks(batches):
             n = batch.num_rows

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, LOWER, materialize, mix, text_blocks, text_bytes
+from .common import BLOCK_BYTES, LOWER, kept, materialize, mix, text_blocks, text_bytes
 
 #: Longest n-gram; pseudo-count of the shorter context.
 ORDER, MU = 2, 100.0
@@ -39,6 +39,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
     """``block, ids, train, lengths, vocabulary, sequence`` and three counts: documents as word numbers, in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("lm")
         import xxhash
         from pyspark import TaskContext
 
@@ -126,6 +127,7 @@ def _unpacked(b: bytes) -> np.ndarray:
 
 def _questions(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("lm")
         names = ["range", "block", "gram", "hashes", "counts"]
         kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
         # range r holds the hashes h with h * ranges >> 64 == r

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import file_bytes, text_blocks
+from .common import file_bytes, kept, text_blocks
 
 #: Characters of a chunk and of the overlap that the next chunk is given at first.
 CHUNK, OVERLAP = 1 << 15, 256
@@ -92,15 +92,9 @@ class Counter:
         return total + size - before[at]
 
 
-_BUILT: dict[tuple, Counter] = {}
-
-
 def built(table: bytes) -> Counter:
-    key = (hash(table), len(table))
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = Counter(table)
-    return _BUILT[key]
+    """One for each worker process and table."""
+    return kept("tokencount", hash(table), len(table), build=lambda: Counter(table))
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, *, limit: int = 512, chunk: int = CHUNK, overlap: int = OVERLAP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
