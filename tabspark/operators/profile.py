@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import canonical, null_pattern, shape_mask
 
-ONE = F.lit
-
 
 def unpivot(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
     """Rows (keep..., column, value) with canonical text values, null included."""

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sources as S
-from ..functions import hashed, unit
 from ..operators import compare as C
 from ..operators import generate as G
 from ..operators import membership as M
@@ -22,6 +21,7 @@ from ..operators import relational as R
 from ..operators import scoring as K
 from ..operators import validate as V
 from ..operators import vectors as X
+from ..streaming import events as E
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -275,7 +275,7 @@ add("service_dlq_summary", f"SELECT rule, o_orderpriority, count(*) AS n, min(o_
 add("service_sets", "SELECT user_id, count(DISTINCT CASE WHEN event_type = 'error' THEN (props->>'$.k') END) AS n_error_keys, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS kinds, max(event_id) AS last_event FROM events GROUP BY user_id")(lambda t: t.events.groupBy("user_id").agg(F.countDistinct(F.when(F.col("event_type") == "error", F.get_json_object("props", "$.k"))).alias("n_error_keys"), F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("kinds"), F.max("event_id").alias("last_event")))
 add("service_trend", "WITH l AS (SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id) SELECT e.user_id, e.event_id, e.event_type, round(e.value, 4) AS value FROM events e JOIN l USING (user_id, event_id)")(lambda t: t.events.groupBy("user_id").agg(F.max("event_id").alias("event_id")).join(t.events, ["user_id", "event_id"]).select("user_id", "event_id", "event_type", F.round("value", 4).alias("value")))
 add("service_pools", "SELECT n_nationkey, coalesce(c.n, 0) AS customers, s.least AS least_balance FROM nation LEFT JOIN (SELECT c_nationkey AS n_nationkey, count(*) AS n FROM customer GROUP BY 1) c USING (n_nationkey) LEFT JOIN (SELECT s_nationkey AS n_nationkey, min(s_acctbal) AS least FROM supplier GROUP BY 1) s USING (n_nationkey)")(lambda t: t.nation.select("n_nationkey").join(t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("customers")), "n_nationkey", "left").join(t.supplier.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.min("s_acctbal").alias("least_balance")), "n_nationkey", "left").select("n_nationkey", F.coalesce("customers", F.lit(0)).alias("customers"), "least_balance"))
-add("streaming_windows", "SELECT epoch_us(time_bucket(INTERVAL '1 hour', ts)) AS start_us, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")(lambda t: __import__("tabspark.streaming.events", fromlist=["batch"]).batch(t.events, "1 hour"))
+add("streaming_windows", "SELECT epoch_us(time_bucket(INTERVAL '1 hour', ts)) AS start_us, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")(lambda t: E.batch(t.events, "1 hour"))
 
 # ---- privacy, detection, whole runs ------------------------------------------------------------
 
