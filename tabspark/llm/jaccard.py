@@ -4,22 +4,24 @@ A document's set holds its distinct ``k``-word shingles (64-bit hashes). Documen
 set are one *node* (named by a 64-bit hash of the set), so copies cost one comparison.
 
 Which nodes meet in a tree: similar sets share a member of their prefixes under any common
-order, the prefix of n members being the first n - ceil(t n) + 1. The order puts shingles
-that many documents have last (their list is bounded by ``1/HOT`` of all documents and the
-mean set size), so the lists of nodes by prefix shingle, *runs*, stay short. Then:
+order, the prefix of n members being the first n - ceil(t n) + 1. The order is by rarity:
+shingles are counted over all documents in a sketch of fixed size, and those with the least
+counters come first. So the lists of nodes by prefix shingle, *runs*, stay short, and
+passages that many documents share hardly get into prefixes. Then:
 
-1. each node joins the run centre with which it shares most prefix shingles; the nodes of a
-   centre are indexed by an R-tree, searched, and surviving pairs verified on their sets.
+1. each node joins the run centre of another component with which it shares most prefix
+   shingles, ROUNDS times; the nodes of a centre are indexed by an R-tree, searched, and surviving pairs verified on their sets.
    Only a spanning forest of the links found leaves the task, not all pairs of a group;
 2. components of those links; what is left are runs that touch two components or more.
-   Their nodes are searched for pairs over components by R-trees again, a larger run in
-   blocks, each block with each, and every surviving pair is verified. This step alone is
+   Their nodes (of runs over the same components together) are searched for pairs over
+   components by R-trees again, a larger set in blocks, each block with each, and every surviving pair is verified. This step alone is
    complete, so the first may miss pairs and only saves work.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,23 +29,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_LIMIT, LOWER, WordHash, list_array, materialize, mix, text_blocks, text_bytes
+from .common import LOWER, WordHash, list_array, kept, materialize, mix, text_blocks, text_bytes
 from .components import components
-from .rtree import RTree, Union, needed, overlap, point
+from .rtree import RTree, Union, needed, overlap, point, points_of
 
-#: A shingle of more than 1/HOT of all documents goes to the end of the order.
-HOT = 1000
-#: Shingles whose counts a task holds before it gives out the frequent ones of them.
-FLUSH = 4_000_000
+#: Counters of the sketch (two bytes each when it is broadcast) and of one row of it.
+SKETCH, CHUNK = 1 << 22, 1 << 16
+#: Shingles that a task holds before it counts them.
+FLUSH = 2_000_000
 #: Postings of a bucket, about; nodes of a tree at most.
 BUCKET, CELL = 1_000_000, 2048
+#: Prefix shingles that a node shares with its centre at least, or it waits for step 2.
+VOTES = 3
+#: Tasks over which the cells around one component are spread.
+SPREAD = 8
+#: Times that nodes are sent to centres before the complete step.
+ROUNDS = 2
 
 
 def sets_of(texts: list[bytes], k: int, words: WordHash) -> list[np.ndarray]:
     """The ascending distinct shingle hashes of each text."""
     split = [x.translate(LOWER).split() for x in texts]
     lengths = np.array([len(x) for x in split], "i8")
-    flat = np.fromiter((words[w] for x in split for w in x), np.uint64, int(lengths.sum()))
+    flat = np.fromiter(map(words.__getitem__, chain.from_iterable(split)), np.uint64, int(lengths.sum()))
     # windows of all texts at once; those over a text's end are left out below
     grams = np.full(max(len(flat) - k + 1, 0), k, np.uint64)
     for i in range(k):
@@ -74,69 +82,70 @@ def _given(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _profiles(given: DataFrame, k: int) -> DataFrame:
-    """``id, n, node`` of every row; and rows with n = -1: frequent shingles (node) of a task, with a count (c)."""
+    """``id, n, node, point`` of every row; and rows with n = -1: chunk number (node) and counters (point) of a task's sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held, size, texts = WordHash(), [], 0, 0
+        kept("jaccard")
+        words, held, size = WordHash(), [], 0
+        names, kind = ["id", "n", "node", "point"], pa.int64()
+        counts = np.zeros(SKETCH, "u4")
 
-        def frequent() -> pa.RecordBatch:
-            h, c = np.unique(np.concatenate(held), return_counts=True)
-            often = c >= max(4, texts // HOT)
-            h, c = h[often].view("i8"), c[often]
-            return pa.RecordBatch.from_arrays([pa.nulls(len(h), kind), pa.array(np.full(len(h), -1), pa.int64()), pa.array(h, pa.int64()), pa.array(c, pa.int64())], names)
+        def count() -> None:
+            counts[:] += np.bincount(_cell(np.concatenate(held)), minlength=SKETCH).astype("u4")
 
-        names, kind = ["id", "n", "node", "c"], pa.int64()
-        for batch in text_blocks(batches):
+        for batch in text_blocks(batches, 2 << 20):
             kind = batch.column("id").type
             sets = sets_of(text_bytes(batch), k, words)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([name_of(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([name_of(s) for s in sets], pa.int64()), pa.array([point(s) for s in sets], pa.binary())], names)
             held += sets
-            size, texts = size + sum(map(len, sets)), texts + len(sets)
+            size += sum(map(len, sets))
             if size > FLUSH:
-                yield frequent()
-                held, size, texts = [], 0, 0
-        if size:
-            yield frequent()
+                count()
+                held, size = [], 0
+        if held:
+            count()
+        packed = np.minimum(counts, 65_535).astype("<u2").reshape(-1, CHUNK)
+        for i in np.flatnonzero(packed.any(axis=1)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.array([-1], pa.int64()), pa.array([i], pa.int64()), pa.array([packed[i].tobytes()], pa.binary())], names)
 
-    schema = T.StructType([T.StructField("id", given.schema["id"].dataType), *[T.StructField(x, T.LongType()) for x in ("n", "node", "c")]])
+    schema = T.StructType([T.StructField("id", given.schema["id"].dataType), *[T.StructField(x, T.LongType()) for x in ("n", "node")], T.StructField("point", T.BinaryType())])
     return given.mapInArrow(run, schema)
 
 
-def _hot(profiles: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles, ascending, and their counts; at most HOT times the mean set size of them."""
-    found = profiles.where("n = -1").groupBy("node").agg(F.sum("c").alias("c"))
-    least = max(4, rows // HOT)
-    while (n := found.where(F.col("c") >= least).count()) * 16 > BROADCAST_LIMIT:
-        least *= 2
-    h, c = np.zeros(n, "i8"), np.zeros(n, "i8")
-    for i, r in enumerate(found.where(F.col("c") >= least).toLocalIterator()):
-        h[i], c[i] = r.node, r.c
-    h = h.view(np.uint64)
-    order = np.argsort(h)
-    return h[order], c[order]
+def _cell(members: np.ndarray) -> np.ndarray:
+    return (members >> np.uint64(20)).astype("i8") & SKETCH - 1
+
+
+def _sketch(profiles: DataFrame) -> np.ndarray:
+    """The tasks' sketches summed up, in logarithmic steps (u2): SKETCH counters whatever the input."""
 
+    def total(table: pa.Table) -> pa.Table:
+        counts = np.zeros(CHUNK, "i8")
+        for x in table.column("point"):
+            counts += np.frombuffer(x.as_buffer(), "<u2")
+        steps = np.round(128 * np.log2(1.0 + counts)).astype("<u2")
+        return pa.Table.from_arrays([table.column("node")[:1].combine_chunks(), pa.array([steps.tobytes()], pa.binary())], ["chunk", "steps"])
 
-def prefix(members: np.ndarray, percent: int, hot: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    out = np.zeros((SKETCH // CHUNK, CHUNK), "u2")
+    for r in profiles.where("n = -1").select("node", "point").groupBy("node").applyInArrow(total, "chunk long, steps binary").toLocalIterator():
+        out[r.chunk] = np.frombuffer(r.steps, "<u2")
+    return out.ravel()
+
+
+def prefix(members: np.ndarray, percent: int, sketch: np.ndarray) -> np.ndarray:
     n = len(members)
     size = n - -(-percent * n // 100) + 1
-    if not len(hot):
-        return members[:size]
-    at = np.minimum(np.searchsorted(hot, members), len(hot) - 1)
-    late = hot[at] == members
-    first = members[~late][:size]
-    if len(first) < size:
-        rest, c = members[late], counts[at[late]]
-        first = np.concatenate([first, rest[np.lexsort((rest, c))][: size - len(first)]])
-    return first
-
-
-def _postings(given: DataFrame, k: int, percent: int, hot, buckets: int) -> DataFrame:
+    return members[np.argsort(sketch[_cell(members)], kind="stable")[:size]]
+
+
+def _postings(given: DataFrame, k: int, percent: int, sketch: np.ndarray, buckets: int) -> DataFrame:
     """``bucket, hashes, nodes``: packed (32-bit shingle, node) pairs of the prefixes."""
-    shared = given.sparkSession.sparkContext.broadcast(hot)
+    shared = given.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("jaccard")
         words, done, held, nodes, size = WordHash(), set(), [], [], 0
-        h_hot, c_hot = shared.value
+        order_of = shared.value
 
         def flush() -> pa.RecordBatch:
             h = np.concatenate(held)
@@ -151,17 +160,17 @@ def _postings(given: DataFrame, k: int, percent: int, hot, buckets: int) -> Data
                 ["bucket", "hashes", "nodes"],
             )
 
-        for batch in text_blocks(batches):
+        for batch in text_blocks(batches, 2 << 20):
             for s in sets_of(text_bytes(batch), k, words):
                 if not len(s) or (node := name_of(s)) in done:
                     continue
-                if len(done) > 500_000:
+                if len(done) > 100_000:
                     done.clear()
                 done.add(node)
-                held.append(prefix(s, percent, h_hot, c_hot))
+                held.append(prefix(s, percent, order_of))
                 nodes.append(node)
                 size += len(held[-1])
-            if size > 1_000_000:
+            if size > 500_000:
                 yield flush()
                 held, nodes, size = [], [], 0
         if held:
@@ -205,17 +214,18 @@ def _runs(postings: DataFrame) -> DataFrame:
 
 
 def _packed_sets(cands: DataFrame, k: int) -> DataFrame:
-    """``cands`` (text and other columns) with ``node, n, point, members`` (packed) in place of the text."""
+    """``cands`` (text and other columns) with ``node, n, members`` (packed) in place of the text."""
     others = [c for c in cands.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("jaccard")
         words = WordHash()
         for batch in text_blocks(batches, 1 << 20):
             sets = sets_of(text_bytes(batch), k, words)
-            made = [pa.array([name_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([point(s).astype("<u4").tobytes() for s in sets], pa.binary()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], *made], [*others, "node", "n", "point", "members"])
+            made = [pa.array([name_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], *made], [*others, "node", "n", "members"])
 
-    schema = T.StructType([*[cands.schema[c] for c in others], T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("point", T.BinaryType()), T.StructField("members", T.BinaryType())])
+    schema = T.StructType([*[cands.schema[c] for c in others], T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("members", T.BinaryType())])
     return cands.mapInArrow(run, schema)
 
 
@@ -238,20 +248,18 @@ def _by_cell(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _points(table: pa.Table) -> np.ndarray:
-    return np.stack([np.frombuffer(x, "<u4") for x in table.column("point").to_pylist()])
-
-
 def _forest(cells: DataFrame, percent: int) -> DataFrame:
     """``a, b``: a spanning forest of the verified links within each cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("jaccard")
         for table in _by_cell(batches, "cell"):
             if table.num_rows < 2:
                 continue
             nodes = table.column("node").to_numpy()
-            sizes, points = table.column("n").to_numpy(), _points(table)
+            sizes = table.column("n").to_numpy()
             members = [np.frombuffer(x, "<u8") for x in table.column("members").to_pylist()]
+            points = points_of([point(s) for s in members])
             tree, joined, out = RTree(points, sizes), Union(len(nodes)), []
             for i in np.argsort(nodes, kind="stable").tolist():
                 for j in tree.search(points[i], int(sizes[i]), percent).tolist():
@@ -262,18 +270,20 @@ def _forest(cells: DataFrame, percent: int) -> DataFrame:
                 a, b = np.array(out).T
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[a], pa.int64()), pa.array(nodes[b], pa.int64())], ["a", "b"])
 
-    return cells.select("cell", "node", "n", "point", "members").mapInArrow(run, "a long, b long")
+    return cells.select("cell", "node", "n", "members").mapInArrow(run, "a long, b long")
 
 
 def _survivors(cells: DataFrame, percent: int) -> DataFrame:
     """``a, b`` (a < b): pairs over components of a cell that the R-tree's bound lets pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("jaccard")
+        given: set[tuple[int, int]] = set()
         for table in _by_cell(batches, "cell"):
             nodes, roots = table.column("node").to_numpy(), table.column("root").to_numpy()
             if table.num_rows < 2 or (roots == roots[0]).all():
                 continue
-            sizes, points, side = table.column("n").to_numpy(), _points(table), table.column("side").to_numpy()
+            sizes, points, side = table.column("n").to_numpy(), points_of(table.column("point").to_pylist()), table.column("side").to_numpy()
             both = bool((side == 0).all())
             tree, out = RTree(points, sizes), []
             for i in range(len(nodes)) if both else np.flatnonzero(side == 1).tolist():
@@ -283,7 +293,13 @@ def _survivors(cells: DataFrame, percent: int) -> DataFrame:
                     out.append(np.stack([np.full(len(found), nodes[i]), nodes[found]]))
             if out:
                 a, b = np.concatenate(out, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+                pairs = set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True)) - given
+                if len(given) > 300_000:
+                    given.clear()  # what comes again then goes in distinct()
+                given |= pairs
+                if pairs:
+                    a, b = zip(*pairs, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return cells.select("cell", "side", "node", "root", "n", "point").mapInArrow(run, "a long, b long").distinct()
 
@@ -292,6 +308,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that are similar by their sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("jaccard")
         for batch in batches:
             good = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
@@ -317,11 +334,11 @@ def join(docs: DataFrame, *, k: int = 5, percent: int = 75, id_col: str = "doc_i
     given = _given(docs, id_col, text_col)
     profiles = materialize(_profiles(given, k), "jaccard-profiles")
     rows = profiles.where("n >= 0").select("id", "n", "node")
-    count, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = max(8, -(-total * (101 - percent) // 100 // BUCKET))
-    hot = _hot(profiles, count)
-    runs = materialize(_runs(_postings(given, k, percent, hot, buckets)), "jaccard-runs")
-    stars = _stars(given, rows, runs, k, percent)
+    sketch = _sketch(profiles)
+    runs = materialize(_runs(_postings(given, k, percent, sketch, buckets)), "jaccard-runs")
+    stars = _stars(given, profiles, runs, k, percent)
     # one row for each node: its least id; then for each component; then back to the rows
     ids = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("id")).join(stars, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = ids.groupBy("root").agg(F.min("id").alias("component_id"))
@@ -330,37 +347,68 @@ def join(docs: DataFrame, *, k: int = 5, percent: int = 75, id_col: str = "doc_i
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _stars(given: DataFrame, rows: DataFrame, runs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``node, root`` of the nodes that link with another."""
-    # 1: every node to the centre with which it shares most
-    votes = runs.select(F.explode("nodes").alias("node"), F.array_min("nodes").alias("centre"), "weight").where("node <> centre")
-    votes = votes.groupBy("node", "centre").agg(F.sum("weight").alias("w")).groupBy("node").agg(F.max_by("centre", F.struct("w", "centre")).alias("centre"))
-    votes = materialize(votes, "jaccard-votes")
+def _texts(given: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``nodes`` (column node, now ``_node``) with the text of one row of each.
+
+    Where ids repeat, texts of other nodes come along: ``node = _node`` once sets are made.
+    """
+    chosen = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("_id")).join(nodes, "node").withColumnRenamed("node", "_node")
+    return given.join(chosen.hint("shuffle_hash"), given["id"].eqNullSafe(F.col("_id"))).drop("id", "_id")
+
+
+def _votes(met: DataFrame) -> DataFrame:
+    """``node, centre``: the centre of another component with which a node shares most, VOTES shingles at least."""
+    votes = met.where("root <> theirs").groupBy("node", "centre").agg(F.sum("weight").alias("w")).where(F.col("w") >= VOTES)
+    return materialize(votes.groupBy("node").agg(F.max_by("centre", F.struct("w", "centre")).alias("centre")), "jaccard-votes")
+
+
+def _linked(given: DataFrame, rows: DataFrame, votes: DataFrame, k: int, percent: int) -> DataFrame:
+    """``a, b``: a forest of the verified links among the nodes of one centre."""
     sizes = votes.groupBy("centre").agg(F.count(F.lit(1)).alias("of")).withColumn("parts", F.ceil(F.col("of") / CELL).cast("int"))
     # a large cell is cut; the centre goes to each part
     own = sizes.select(F.col("centre").alias("node"), "centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     others = votes.join(sizes, "centre").select("node", "centre", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
     cells = own.union(others).groupBy("node").agg(F.collect_list(F.xxhash64("centre", "part")).alias("cells"))
-    # the text of one row of each node that is in a cell
-    chosen = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("_id")).join(cells, "node").withColumnRenamed("node", "_node")
-    met = given.join(chosen.hint("shuffle_hash"), given["id"].eqNullSafe(F.col("_id"))).select("_node", "cells", "text")
-    met = materialize(met, "jaccard-candidates")
-    sets = _packed_sets(met, k).where("node = _node")  # repeated ids bring other texts along
-    dealt = sets.select(F.explode("cells").alias("cell"), "node", "n", "point", "members").repartition("cell").sortWithinPartitions("cell")
-    forest = materialize(_forest(dealt, percent), "jaccard-forest")
-    first = materialize(components(forest), "jaccard-first")
+    sets = _packed_sets(_texts(given, rows, cells), k).where("node = _node")
+    dealt = sets.select(F.explode("cells").alias("cell"), "node", "n", "members").repartition("cell").sortWithinPartitions("cell")
+    return _forest(dealt, percent)
+
+
+def _stars(given: DataFrame, rows: DataFrame, runs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``node, root`` of the nodes that link with another."""
+    # 1: every node to the centre with which it shares most; twice, the second time over components
+    members = materialize(runs.select("run", "weight", F.size("nodes").alias("of"), F.explode("nodes").alias("node")), "jaccard-members")
+    # a node that shares much with many is a good centre of its runs
+    known = members.groupBy("node").agg(F.sum(F.col("weight") * F.col("of")).alias("known"))
+    members = members.join(known, "node")
+    first, links = None, None
+    for step in range(ROUNDS):
+        rooted = members if first is None else members.join(first, "node", "left")
+        rooted = rooted.withColumn("root", F.col("node") if first is None else F.coalesce("root", "node"))
+        best = F.max(F.struct("known", "node", "root")).alias("best")
+        centred = rooted.groupBy("run").agg(best, F.max("root").alias("hi"), F.min("root").alias("lo")).where("lo <> hi").select("run", F.col("best.node").alias("centre"), F.col("best.root").alias("theirs"))
+        forest = materialize(_linked(given, rows, _votes(rooted.join(centred, "run")), k, percent), f"jaccard-forest{step}")
+        links = forest if links is None else links.union(forest)
+        first = materialize(components(links), f"jaccard-first{step}")
     # 2: runs over more than one component, completely
-    inside = runs.select("run", F.explode("nodes").alias("node")).join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = inside.groupBy("run").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("of")).where("lo <> hi").select("run", F.ceil(F.col("of") / CELL).cast("int").alias("parts"))
-    inside = inside.join(open_, "run")
-    points = materialize(_packed_sets(met, k).where("node = _node").select("node", "n", "point").dropDuplicates(["node"]), "jaccard-points")
-    blocks = inside.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).select("run", "node", "root", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    inside = members.select("run", "node").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # runs over the same components are searched as one: they mostly repeat each other's nodes
+    roots = F.collect_set("root")
+    open_ = inside.groupBy("run").agg(F.xxhash64(F.sort_array(roots)).alias("group"), F.size(roots).alias("c"), F.min("root").alias("home")).where("c > 1").select("run", "group", "home")
+    inside = materialize(inside.join(open_, "run").select("group", "home", "node", "root").distinct(), "jaccard-open")
+    sizes = inside.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"))
+    inside = inside.join(sizes, "group")
+    wanted = inside.select("node").distinct()
+    points = rows.where("n > 0").join(wanted, "node").select("node", "n", "point").dropDuplicates(["node"])
+    blocks = inside.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).select("group", "home", "node", "root", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    blocks = blocks.select(F.xxhash64("run", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), side.alias("side"), "node", "root")
-    dealt = blocks.join(points, "node").repartition("cell").sortWithinPartitions("cell")
+    blocks = blocks.select(F.xxhash64("group", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), side.alias("side"), "home", "node", "root")
+    # cells of one neighbourhood repeat pairs: they go to a few tasks, each of which gives a pair once
+    deal = F.xxhash64("home", F.pmod("cell", F.lit(SPREAD)))
+    dealt = blocks.join(points, "node").withColumn("deal", deal).repartition("deal").sortWithinPartitions("deal", "cell")
     pairs = materialize(_survivors(dealt, percent), "jaccard-pairs")
-    wanted = pairs.select(F.col("a").alias("_node")).union(pairs.select(F.col("b").alias("_node"))).distinct()
-    sets = _packed_sets(met.join(wanted, "_node", "left_semi"), k).where("node = _node").select("node", "members")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = materialize(_packed_sets(_texts(given, rows, wanted), k).where("node = _node").select("node", "members"), "jaccard-sets")
     links = _verified(pairs, sets, percent)
     stars = first.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
     return materialize(components(stars.union(links)), "jaccard-stars")

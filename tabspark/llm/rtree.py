@@ -10,14 +10,19 @@ from __future__ import annotations
 
 import numpy as np
 
-GROUPS = 64
+GROUPS = 256
 #: Points of a leaf, and children of an inner node.
 FAN = 16
 
 
-def point(members: np.ndarray) -> np.ndarray:
-    """The group counts of a set of 64-bit hashes (u4, GROUPS of them)."""
-    return np.bincount((members >> np.uint64(7)).astype("i8") & GROUPS - 1, minlength=GROUPS).astype("u4")
+def point(members: np.ndarray) -> bytes:
+    """The group counts of a set of 64-bit hashes: a byte each, or four if one needs them."""
+    counts = np.bincount((members >> np.uint64(7)).astype("i8") & GROUPS - 1, minlength=GROUPS)
+    return counts.astype("u1" if counts.max() < 256 else "<u4").tobytes()
+
+
+def points_of(packed: list[bytes]) -> np.ndarray:
+    return np.stack([np.frombuffer(x, "u1" if len(x) == GROUPS else "<u4").astype("i4") for x in packed])
 
 
 def needed(a, b, percent: int):
@@ -29,7 +34,7 @@ class RTree:
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
         """Bulk load: sorted by size, then sliced by the most spread coordinates (STR)."""
         self.order = self._tile(points, sizes)
-        self.points, self.sizes = points[self.order].astype("i4"), sizes[self.order].astype("i8")
+        self.points, self.sizes = points[self.order], sizes[self.order].astype("i8")
         self.levels = []  # from the leaves up: upper corners, least sizes
         corner, least = self.points, self.sizes
         while len(corner) > FAN:
@@ -56,7 +61,7 @@ class RTree:
 
     def search(self, point: np.ndarray, size: int, percent: int, alive: np.ndarray | None = None) -> np.ndarray:
         """Original numbers of the points that may belong to sets similar to this one."""
-        q = point.astype("i4")
+        q = point
         at = np.arange(len(self.levels[-1][0]) if self.levels else len(self.points))
         for depth in range(len(self.levels) - 1, -1, -1):
             corner, least = self.levels[depth]
