@@ -44,7 +44,7 @@ VOTES = 3
 #: Tasks over which the cells around one component are spread.
 SPREAD = 8
 #: Times that nodes are sent to centres before the complete step.
-ROUNDS = 2
+ROUNDS = 1
 
 
 def sets_of(texts: list[bytes], k: int, words: WordHash) -> list[np.ndarray]:
