@@ -18,9 +18,11 @@ popcount within the block, so any single id is read by one probe a level: ``Segm
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_LIMIT, file_bytes, list_array, scratch
+from .common import BROADCAST_LIMIT, LOWER, file_bytes, kept, list_array, scratch, text_bytes
 
 CHUNK_BITS = 8
 #: Bits of a rank-directory block.
@@ -36,7 +38,9 @@ RANK_BLOCK = 512
 #: Ids of a segment at most, but for one longer document.
 SEGMENT_IDS = 1 << 20
 #: Distinct words whose ids a worker remembers.
-CACHE = 500_000
+CACHE = 800_000
+#: ASCII punctuation but for the apostrophe, with which contractions begin.
+ENDING = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 # ---- the codes -------------------------------------------------------------------------
@@ -122,37 +126,72 @@ class Words:
         spec = json.loads(table)
         pre = spec.get("pre_tokenizer") or {}
         first = (pre.get("pretokenizers") or [pre])[0]
+        self.ends = np.zeros(max(spec["model"]["vocab"].values()) + 1 + len(spec.get("added_tokens", [])), bool)
+        suffix = spec["model"].get("end_of_word_suffix")
+        lowers = any(n.get("type") == "Lowercase" for n in (spec.get("normalizer") or {}).get("normalizers", []))
+        if not suffix or not lowers:
+            return False
+        self.ends[[i for t, i in spec["model"]["vocab"].items() if t.endswith(suffix)]] = True
         drops = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and "[^\\s" in first["pattern"].get("Regex", "")
         fixed = all(not (t.get("lstrip") or t.get("rstrip") or t.get("single_word")) and not any(c.isspace() for c in t["content"]) for t in spec.get("added_tokens", []))
         return bool(drops and fixed)
 
-    def packed(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
+    def packed(self, raw: list[bytes]) -> list[bytes]:
+        """The ids of each text (UTF-8) as little-endian 32-bit integers."""
         if not self.by_word:
-            return [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
-        seen, out = self.seen, []
+            return [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast([x.decode() for x in raw], add_special_tokens=False)]
+        seen = self.seen
         if len(seen) > CACHE:
             seen.clear()
-        words = [x.encode("utf-8", "surrogatepass").split() for x in texts]
-        new = list({w for x in words for w in x if w not in seen})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for w, e in zip(part, self.lib.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in part], add_special_tokens=False), strict=True):
-                seen[w] = np.array(e.ids, "<u4").tobytes()
-        for x in words:
-            out.append(b"".join(map(seen.__getitem__, x)))
-        return out
-
-
-_BUILT: dict[tuple, Words] = {}
+        # the normalizer lower-cases: so may this, but for what could be a special token
+        words = [(x if b"<|" in x else x.translate(LOWER)).split() for x in raw]
+        flat = list(chain.from_iterable(words))
+        got = list(map(seen.get, flat))
+        gaps = [i for i, ids in enumerate(got) if ids is None]
+        new = list({flat[i] for i in gaps})
+        # an ASCII punctuation run after a letter is a pre-token of its own
+        cores = [w.rstrip(ENDING) for w in new]
+        cut = [(w, c, w[len(c) :]) for w, c in zip(new, cores, strict=True) if len(c) < len(w) and (c[-1:].islower() or c[-4:].decode("utf-8", "ignore")[-1:].isalpha()) and b"<|" not in w]
+        parts = set(new).difference(w for w, _, _ in cut)
+        parts.update(p for _, c, tail in cut for p in (c, tail) if p not in seen)
+        self._learn(list(parts))
+        for w, c, tail in cut:
+            seen[w] = seen[c] + seen[tail]
+        for i in gaps:
+            got[i] = seen[flat[i]]
+        ends = list(accumulate(map(len, words)))
+        return [b"".join(got[s:e]) for s, e in zip([0, *ends], ends, strict=False)]
+
+    def _learn(self, parts: list[bytes]) -> None:
+        """The library's ids of each part.
+
+        Words of letters alone are one pre-token, whose last token (and no other) ends a
+        word: they go to the library in lines of many, if the number of ends confirms it.
+        """
+        seen, rest = self.seen, []
+        lines: list[tuple[bytes, str]] = []
+        for p in parts:
+            x = p.decode()
+            (lines if x.isalpha() else rest).append((p, x))
+        for at in range(0, len(lines), 20_000):
+            part = lines[at : at + 20_000]
+            ids = np.array(self.lib.encode_batch_fast(["\n".join(x for _, x in part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):
+                rest += part
+                continue
+            data, stops = ids.tobytes(), (ends * 4).tolist()
+            for (p, _), s, e in zip(part, [0, *stops], stops, strict=False):
+                seen[p] = data[s:e]
+        for at in range(0, len(rest), 10_000):
+            part = rest[at : at + 10_000]
+            for (p, _), e in zip(part, self.lib.encode_batch_fast([x for _, x in part], add_special_tokens=False), strict=True):
+                seen[p] = np.array(e.ids, "<u4").tobytes()
 
 
 def built(table: bytes) -> Words:
-    key = (hash(table), len(table))
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = Words(table)
-    return _BUILT[key]
+    """One for each worker process and table."""
+    return kept("tokenfile", hash(table), len(table), build=lambda: Words(table))
 
 
 SEGMENTS = T.StructType(
@@ -187,6 +226,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str | None = None, *, end_
         from pyspark import TaskContext
 
         words, shard = built(table.value), TaskContext.get().partitionId()
+        gc.disable()  # nothing here makes cycles, and each collection would walk all that is remembered
         doc_ids, parts, held, seq, start = [], [], 0, 0, 0
 
         def segment() -> pa.RecordBatch:
@@ -197,9 +237,9 @@ def write(docs: DataFrame, tokenizer_path: str, path: str | None = None, *, end_
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()), strict=True)], SEGMENTS.names)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                for i, x in zip(part.column("id").to_pylist(), words.packed([x or "" for x in part.column("text").to_pylist()]), strict=True):
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                for i, x in zip(part.column("id").to_pylist(), words.packed(text_bytes(part)), strict=True):
                     if held and held + len(x) // 4 + 1 > SEGMENT_IDS:
                         yield segment()
                         start, seq, held, doc_ids, parts = start + held, seq + 1, 0, [], []

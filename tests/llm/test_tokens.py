@@ -88,6 +88,15 @@ def test_codes(high):
             assert segment.get(i) == ids[i]
 
 
+def test_words_equal_library():
+    path = P.path("word_bpe_49k.json")
+    library, words = Tokenizer.from_file(path), tokenfile.Words(open(path, "rb").read())
+    assert words.by_word
+    text = ["The THE the, thé, thé. É! naïve... don't DON'T it'stuff. x's's's, İstanbul, Straße; e\u0301, a\u0338= A1b2,,, 3.14 <|endoftext|> <|ENDOFTEXT|> <|endoftext|>. a<|endoftext|>b", "ﬁne ½ … a…, \u00a0nb\u00a0sp, \u2003 日本語、テスト. K \U0001f600, ok:) --x-- \x1c\x1d z"]
+    for given in (text, noise(7), [x for _, x in texts()]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in words.packed([x.encode() for x in given])] == [library.encode(x, add_special_tokens=False).ids for x in given]
+
+
 def test_token_files(spark, monkeypatch):
     path_ = P.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path_)
