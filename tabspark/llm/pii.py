@@ -7,6 +7,10 @@ number, so one entity has one surrogate everywhere (coreference), whatever its f
 and each occurrence keeps its own format: punctuation, case, length, a card's check digit,
 the gender and script of a name. Attempts rise for all but one of the entities that would
 share a surrogate, or whose surrogate is an entity of the corpus, until none is left.
+
+A given name and its family name are one entity, a person, of the gender that any of its
+forms of address tells. The family name has its surrogate from all who bear it; the given
+name's is drawn for the person.
 """
 
 from __future__ import annotations
@@ -46,6 +50,8 @@ PATTERNS = {
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Attempts before a surrogate space counts as exhausted.
 ATTEMPTS = 64
+#: Attempts in the fixed pool or the own length; each later one adds a syllable.
+PLAIN = 4
 
 
 def _may_have(text: Column) -> Column:
@@ -73,9 +79,9 @@ def _canonical(kind: Column, m: Column) -> Column:
     return F.when(kind == "email", F.lower(m)).when(kind == "ip", m).when(kind == "phone", phone).when(kind.isin("card", "ssn"), d).otherwise(F.lower(m))
 
 
-def _segment(kind, text: Column) -> Column:
+def _segment(kind, text: Column, canon: Column | None = None) -> Column:
     kind = F.lit(kind).cast("string") if not isinstance(kind, Column) else kind
-    return F.struct(kind.alias("kind"), text.alias("text"), F.when(kind.isNotNull(), _canonical(kind, text)).alias("canon"))
+    return F.struct(kind.alias("kind"), text.alias("text"), F.when(kind.isNotNull(), _canonical(kind, text) if canon is None else canon).alias("canon"))
 
 
 def _segments(text: Column) -> Column:
@@ -90,7 +96,7 @@ def _segments(text: Column) -> Column:
         family = F.concat(F.lit("family"), script)
         named = F.when(
             F.size(parts) == 2,
-            F.array(_segment(None, title), _segment(F.concat(F.lit("given_"), gender, script), F.get(parts, F.lit(0))), _segment(None, F.lit(" ")), _segment(family, F.get(parts, F.lit(1)))),
+            F.array(_segment(None, title), _segment(F.concat(F.lit("given_"), gender, script), F.get(parts, F.lit(0)), F.lower(F.array_join(parts, " "))), _segment(None, F.lit(" ")), _segment(family, F.get(parts, F.lit(1)))),
         ).otherwise(F.array(_segment(None, title), _segment(family, F.get(parts, F.lit(0)))))
         return F.when(_kind(m) == "name", named).otherwise(F.array(_segment(_kind(m), m)))
 
@@ -98,8 +104,15 @@ def _segments(text: Column) -> Column:
     return F.filter(F.flatten(pairs), lambda s: s["text"] != "")
 
 
-def _pick(pool: list[str], seed: Column, at: int) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in pool]), (F.conv(F.substring(seed, at, 8), 16, 10).cast("long") % len(pool)).cast("int") + 1)
+def _pick(pool: list[str], seed: Column, at: int | Column, n: int = 8) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in pool]), (F.conv(F.substring(seed, at, n), 16, 10).cast("long") % len(pool)).cast("int") + 1)
+
+
+def _longer(pool: list[str], seed: Column, attempt: Column) -> Column:
+    """Syllables after a name: none in the first PLAIN attempts, then one more in each, up to 32."""
+    more = F.sha2(seed, 256)
+    each = F.transform(F.sequence(F.lit(0), F.least(attempt - PLAIN, F.lit(31))), lambda i: _pick(pool, more, 2 * i + 1, 2))
+    return F.when(attempt < PLAIN, "").otherwise(F.array_join(each, ""))
 
 
 def _shaped(text: Column, stream: Column, letters: Column, keep_from_right: int | None = None) -> Column:
@@ -143,28 +156,50 @@ def render(kind: Column, text: Column, canon: Column, attempt: Column, key: str)
     octet = lambda i: (F.conv(F.substring(seed, 1 + 6 * i, 6), 16, 10).cast("long") % 254 + 1).cast("string")
     out = F.when(kind == "email", F.when((text == F.upper(text)), F.upper(email)).otherwise(email)).when(kind == "ip", F.concat_ws(".", *[octet(i) for i in range(4)])).when(kind == "card", _card(text, canon, stream))
     out = out.when(kind == "phone", _shaped(text, stream, letters, 10)).when(kind == "ssn", _shaped(text, stream, letters))
-    for g, pool in GIVEN.items():
-        out = out.when(kind == f"given_{g}", _pick(pool, seed, 1))
+    for s, pool in SYLLABLES.items():
+        given = F.coalesce(*[F.when(kind == f"given_{g}{s}", _pick(GIVEN[g + s], seed, 1)) for g in "mfu"])
+        out = out.when(kind.isin(*[f"given_{g}{s}" for g in "mfu"]), F.concat(given, _longer(pool, seed, attempt)))
     for s, pool in SYLLABLES.items():
         out = out.when(kind == f"family{s}", F.initcap(F.concat(*[_pick(pool, seed, 1 + 8 * i) for i in range(4)])))
     return out
 
 
+def _space(kind: Column) -> Column:
+    """Entities of one space have distinct surrogates: given names of a script are one, whatever the gender."""
+    return F.regexp_replace(kind, "^given_[mfu]", "given")
+
+
+def persons(entities: DataFrame) -> DataFrame:
+    """``kind, canon, person`` of the distinct ``kind, canon``: the kind with the person's gender.
+
+    A person under a form of address for both genders (Dr) has the gender of the others; only
+    where they tell both, or none, it stays apart. ``person`` is ``kind`` for all else.
+    """
+    same = Window.partitionBy(_space(F.col("kind")), "canon")
+    m, f = (F.max(F.col("kind").startswith(f"given_{g}")).over(same) for g in "mf")
+    told = F.when(m & ~f, "m").when(f & ~m, "f").otherwise("u")
+    kind = F.col("kind")
+    return entities.distinct().select("kind", "canon", F.when(kind.startswith("given_u"), F.concat(F.lit("given_"), told, F.substring(kind, 8, 1))).otherwise(kind).alias("person"))
+
+
 def mapping(entities: DataFrame, key: str) -> DataFrame:
     """``kind, canon, attempt`` with distinct surrogates for the distinct ``kind, canon`` given.
 
-    Given names may be shared (their pool is small; they never stand alone): the family
-    name beside them is what is kept distinct.
+    The ``canon`` of a given name is the whole name. Persons of one family name share its
+    surrogate, so their given names have distinct ones, none of them that of a real person of
+    the family name.
     """
     # entities never equal a surrogate of their kind, so a text never shows another's real data
-    known = entities.select("kind", F.col("canon").alias("_s")).distinct()
+    known = entities.select(_space(F.col("kind")).alias("_space"), F.col("canon").alias("_s")).distinct()
     now = materialize(entities.distinct().withColumn("attempt", F.lit(0)), "pii-mapping")
     for _ in range(ATTEMPTS):
-        own = now.withColumn("_s", _canonical(F.col("kind"), render(F.col("kind"), F.col("canon"), F.col("canon"), F.col("attempt"), key)))
+        drawn = now.withColumn("_new", render(F.col("kind"), F.col("canon"), F.col("canon"), F.col("attempt"), key)).withColumn("_space", _space(F.col("kind")))
+        person = F.when(F.col("_space").startswith("given"), F.concat_ws(" ", "_new", F.substring_index("canon", " ", -1))).otherwise(F.col("_new"))
+        own = drawn.select("kind", "canon", "attempt", "_space", _canonical(F.col("kind"), person).alias("_s"))
         real = known.withColumn("_real", F.lit(True))
-        nth = F.row_number().over(Window.partitionBy("kind", "_s").orderBy("attempt", "canon"))
-        tested = own.withColumn("_n", nth).join(real, ["kind", "_s"], "left")
-        clash = ~F.col("kind").startswith("given") & ((F.col("_n") > 1) | F.coalesce(F.col("_real"), F.lit(False)))
+        nth = F.row_number().over(Window.partitionBy("_space", "_s").orderBy("attempt", "canon", "kind"))
+        tested = own.withColumn("_n", nth).join(real, ["_space", "_s"], "left")
+        clash = (F.col("_n") > 1) | F.coalesce(F.col("_real"), F.lit(False))
         now = materialize(tested.select("kind", "canon", "attempt", clash.alias("_clash")), "pii-mapping")
         if now.where("_clash").isEmpty():
             return now.select("kind", "canon", "attempt")
@@ -189,8 +224,9 @@ def replace(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:
     # copies: any one of the equal segment lists
     parts = hits.select("blob", F.posexplode("segments").alias("at", "s")).select("blob", "at", "s.*").dropDuplicates(["blob", "at"])
     parts = materialize(parts, "pii-segments")
-    attempts = mapping(parts.where("kind IS NOT NULL").select("kind", "canon"), key)
-    named = parts.where("kind IS NOT NULL").join(attempts, ["kind", "canon"]).select("blob", "at", render(F.col("kind"), F.col("text"), F.col("canon"), F.col("attempt"), key).alias("out"), F.lit(1).alias("e"))
+    who = materialize(persons(parts.where("kind IS NOT NULL").select("kind", "canon")), "pii-persons")
+    attempts = who.join(mapping(who.select(F.col("person").alias("kind"), "canon"), key).withColumnRenamed("kind", "person"), ["person", "canon"])
+    named = parts.where("kind IS NOT NULL").join(attempts, ["kind", "canon"]).select("blob", "at", render(F.col("person"), F.col("text"), F.col("canon"), F.col("attempt"), key).alias("out"), F.lit(1).alias("e"))
     whole = named.union(parts.where("kind IS NULL").select("blob", "at", F.col("text").alias("out"), F.lit(0).alias("e")))
     texts = whole.groupBy("blob").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "out"))), lambda x: x["out"]), "").alias("_new"), F.sum("e").alias("_n"))
     changed = hits.select("row", "blob").join(texts, "blob").select(*back(F.col("_new")), F.col("_n").alias("n_entities"))

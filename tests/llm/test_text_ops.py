@@ -386,6 +386,18 @@ def test_distinct_surrogates(spark, monkeypatch):
     assert len({r.s for r in out}) == 12 and any(r.attempt for r in out)
 
 
+def test_persons(spark):
+    given = pii.GIVEN["m"] + ["Given" + x for x in "abcdefghij"]
+    lines = [f"Mr {g} Smith" for g in given] + ["Dr Anna Schmidt", "Frau Anna Schmidt", "Dr. Anna Schmidt", "Mr Kim Lee", "Ms Kim Lee", "Mr Smith"]
+    out = {r.doc_id: r.text for r in pii.replace(docs(spark, [(i, x, "en", "a", 1) for i, x in enumerate(lines)]), "corpus-release-1").collect()}
+    names = [out[i].split()[1:] for i in range(len(lines))]
+    n = len(given)
+    assert len({x[0] for x in names[:n]}) == n and {x[1] for x in names[:n]} == {names[-1][0]}
+    assert not {x[0] for x in names[:n]} & set(given)  # nobody has the name of a real person
+    assert names[n] == names[n + 1] == names[n + 2] and names[n][0] in pii.GIVEN["f"]
+    assert names[n + 3][0] in pii.GIVEN["m"] and names[n + 4][0] in pii.GIVEN["f"]
+
+
 # ---- pipeline ------------------------------------------------------------------------------
 
 
