@@ -15,6 +15,8 @@ name's is drawn for the person.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,9 +50,9 @@ PATTERNS = {
     "name": f"(?<![\\p{{L}}\\p{{N}}])(?:{_ADDRESS})\\.? \\p{{Lu}}\\p{{Ll}}+(?: \\p{{Lu}}\\p{{Ll}}+)?(?![\\p{{L}}\\p{{N}}])",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: Attempts before a surrogate space counts as exhausted.
+#: Attempts between two looks whether a space of fixed length has room.
 ATTEMPTS = 64
-#: Attempts in the fixed pool or the own length; each later one adds a syllable.
+#: Attempts in the fixed pool or the own length; each later one adds a syllable or letter.
 PLAIN = 4
 
 
@@ -152,7 +154,8 @@ def render(kind: Column, text: Column, canon: Column, attempt: Column, key: str)
     letters = F.translate(seed, "0123456789abcdef", "ghjklmnpqrstvwxz")
     domain = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.substring_index(canon, "@", -1)), 256)
     host = F.concat(F.lit("@"), F.translate(F.substring(domain, 1, 8), "0123456789abcdef", "ghjklmnpqrstvwxz"), F.lit(".example."), _pick(["com", "net", "org"], domain, 9))
-    email = F.concat(_shaped(F.substring_index(text, "@", 1), stream, letters), host)
+    longer = F.when(attempt < PLAIN, "").otherwise(F.substring(F.translate(F.sha2(seed, 256), "0123456789abcdef", "ghjklmnpqrstvwxz"), F.lit(1), attempt - PLAIN + 1))
+    email = F.concat(_shaped(F.substring_index(text, "@", 1), stream, letters), longer, host)
     octet = lambda i: (F.conv(F.substring(seed, 1 + 6 * i, 6), 16, 10).cast("long") % 254 + 1).cast("string")
     out = F.when(kind == "email", F.when((text == F.upper(text)), F.upper(email)).otherwise(email)).when(kind == "ip", F.concat_ws(".", *[octet(i) for i in range(4)])).when(kind == "card", _card(text, canon, stream))
     out = out.when(kind == "phone", _shaped(text, stream, letters, 10)).when(kind == "ssn", _shaped(text, stream, letters))
@@ -160,7 +163,7 @@ def render(kind: Column, text: Column, canon: Column, attempt: Column, key: str)
         given = F.coalesce(*[F.when(kind == f"given_{g}{s}", _pick(GIVEN[g + s], seed, 1)) for g in "mfu"])
         out = out.when(kind.isin(*[f"given_{g}{s}" for g in "mfu"]), F.concat(given, _longer(pool, seed, attempt)))
     for s, pool in SYLLABLES.items():
-        out = out.when(kind == f"family{s}", F.initcap(F.concat(*[_pick(pool, seed, 1 + 8 * i) for i in range(4)])))
+        out = out.when(kind == f"family{s}", F.initcap(F.concat(*[_pick(pool, seed, 1 + 8 * i) for i in range(4)], _longer(pool, seed, attempt))))
     return out
 
 
@@ -182,17 +185,24 @@ def persons(entities: DataFrame) -> DataFrame:
     return entities.distinct().select("kind", "canon", F.when(kind.startswith("given_u"), F.concat(F.lit("given_"), told, F.substring(kind, 8, 1))).otherwise(kind).alias("person"))
 
 
+def _full(entities: DataFrame) -> list[str]:
+    """The spaces of fixed length that have no place for every entity: nothing can be distinct and unreal there."""
+    sizes = entities.where(F.col("kind").isin("ip", "phone", "ssn", "card")).groupBy("kind", F.when(F.col("kind") != "ip", F.length("canon")).alias("digits")).count().collect()
+    return [f"{r['count']} of {r.kind} {r.digits or ''}" for r in sizes if (r["count"] > 254**4 if r.kind == "ip" else 2 * r["count"] > 10**r.digits)]
+
+
 def mapping(entities: DataFrame, key: str) -> DataFrame:
     """``kind, canon, attempt`` with distinct surrogates for the distinct ``kind, canon`` given.
 
     The ``canon`` of a given name is the whole name. Persons of one family name share its
     surrogate, so their given names have distinct ones, none of them that of a real person of
-    the family name.
+    the family name. Names and local parts of addresses grow until all are distinct; a number
+    keeps its length, so rounds go on as long as its space has room.
     """
     # entities never equal a surrogate of their kind, so a text never shows another's real data
     known = entities.select(_space(F.col("kind")).alias("_space"), F.col("canon").alias("_s")).distinct()
     now = materialize(entities.distinct().withColumn("attempt", F.lit(0)), "pii-mapping")
-    for _ in range(ATTEMPTS):
+    for attempts in count(1):
         drawn = now.withColumn("_new", render(F.col("kind"), F.col("canon"), F.col("canon"), F.col("attempt"), key)).withColumn("_space", _space(F.col("kind")))
         person = F.when(F.col("_space").startswith("given"), F.concat_ws(" ", "_new", F.substring_index("canon", " ", -1))).otherwise(F.col("_new"))
         own = drawn.select("kind", "canon", "attempt", "_space", _canonical(F.col("kind"), person).alias("_s"))
@@ -204,7 +214,8 @@ def mapping(entities: DataFrame, key: str) -> DataFrame:
         if now.where("_clash").isEmpty():
             return now.select("kind", "canon", "attempt")
         now = now.select("kind", "canon", (F.col("attempt") + F.col("_clash").cast("int")).alias("attempt"))
-    raise ValueError(f"no distinct surrogates after {ATTEMPTS} attempts")
+        if attempts % ATTEMPTS == 0 and (full := _full(now)):
+            raise ValueError(f"more entities than surrogates: {', '.join(full)}")
 
 
 def replace(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:

@@ -398,6 +398,17 @@ def test_persons(spark):
     assert names[n + 3][0] in pii.GIVEN["m"] and names[n + 4][0] in pii.GIVEN["f"]
 
 
+def test_full_spaces(spark, monkeypatch):
+    monkeypatch.setitem(pii.SYLLABLES, "", ["ba"])  # one name of each length
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    locals_ = [*letters, *[a + b for a in letters for b in letters][:300]]  # 16 and 256 places
+    rows = [("email", x + "@mail.example") for x in locals_] + [("family", x) for x in ("smith", "jones")]
+    done = pii.mapping(spark.createDataFrame(rows, "kind string, canon string"), "corpus-release-1")
+    out = done.select("kind", "canon", pii.render(F.col("kind"), F.col("canon"), F.col("canon"), F.col("attempt"), "corpus-release-1").alias("s")).collect()
+    assert {(r.kind, r.canon) for r in out} == set(rows) and len({(r.kind, r.s) for r in out}) == len(rows)
+    assert not {r.s for r in out} & {r.canon for r in out}
+
+
 # ---- pipeline ------------------------------------------------------------------------------
 
 
