@@ -311,11 +311,12 @@ def test_chat_query(spark):
 # ---- language model -----------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("order", [2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_backoff_scores(spark, order, monkeypatch):
-    monkeypatch.setattr(lm, "RANGE", 50)
-    rows = corpus(25)
-    got = sorted(map(tuple, lm.score(docs(spark, rows), order=order, mu=3.0).collect()), key=key)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 4000)  # several blocks, and texts larger than one
+    rows = [*corpus(25), (5000, "the of and w1 " * 1500, "en", "a", 1)]
+    mu = (3.0, 2.0)
+    got = sorted(map(tuple, lm.score(docs(spark, rows), order=order, mu=mu, range_size=50).collect()), key=key)
     end, begin = object(), object()
     fold = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 7
     tokens = [(i, WORDS.findall(x.translate(LOWER)) + [end]) for i, x in texts(rows)]
@@ -337,7 +338,8 @@ def test_backoff_scores(spark, order, monkeypatch):
             for n in range(2, order + 1):
                 if j - n + 1 >= 0:
                     h = tuple(x[j - n + 1 : j])
-                    p = (counts[(*h, x[j])] + 3.0 * p) / ((texts_ if h == (begin,) else counts[h]) + 3.0)
+                    m = mu[min(n - 2, 1)]
+                    p = (counts[(*h, x[j])] + m * p) / ((texts_ if h == (begin,) else counts[h]) + m)
             score += math.log10(p)
         want.append((i, fold(i) == 2, len(w), sum(counts[(t,)] > 0 for t in w), total, base, score))
     want.sort(key=key)
