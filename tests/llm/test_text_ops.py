@@ -49,19 +49,18 @@ def base_stats(text: str):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
 
 
-def mcd(rows):
-    """Brute force of the estimate: (lang, source, stats) rows to verdicts."""
+def mcd(rows, estimates=None):
+    """Brute force of the estimate: (lang, source, stats) rows to verdicts; ``estimates`` takes group -> log determinant."""
     import numpy as np
 
     def vector(s):
         w = max(s[0], 1)
-        raw = [math.log(max(s[1], 1) / w), math.log1p(100 * s[2] / w), s[4] / w, 10 * s[3] / w]
+        raw = [math.log(max(s[1], 1) / w), math.log1p(100 * s[2] / w), s[4] / w, 10 * s[3] / w, math.log(w)]
         return [int(math.floor(abs(x * quality.UNIT) + 0.5) * (1 if x >= 0 else -1)) for x in raw]
 
     failed = lambda s: s[0] < 50 or 100 * s[4] > 50 * s[0]
     name = lambda x: "null" if x is None else "=" + x
-    size = Counter(name(a) + "\t" + name(b) for a, b, s in rows if not failed(s))
-    group = lambda a, b: (name(a) + "\t" + name(b)) if size[name(a) + "\t" + name(b)] >= quality.LEAST else name(a) + "\t*"
+    group = lambda a, b: name(a) + "\t" + name(b)
     data = defaultdict(list)
     for a, b, s in rows:
         if not failed(s):
@@ -76,21 +75,32 @@ def mcd(rows):
             if total >= need:
                 return b
 
+    def of(core):
+        mean = core.mean(axis=0)
+        weight = len(core) / (len(core) + quality.SHRINK) * quality.CONSISTENCY
+        k = np.linalg.cholesky((core.T @ core / len(core) - np.outer(mean, mean)) * weight + np.diag(floors**2))
+        return mean, np.linalg.inv(k), 2 * np.log(np.diag(k)).sum()
+
     for g, xs in data.items():
         x = np.array(xs, float)
-        mean, scale = [], []
-        for j in range(4):
-            bins = [math.floor(v / quality.BIN) for v in x[:, j]]
-            mean.append((cut(bins, 0.5) + 0.5) * quality.BIN)
-            scale.append(max((cut(bins, 0.75) - cut(bins, 0.25)) * quality.BIN / 1.349, floors[j]))
-        mean, inverse = np.array(mean), np.diag(1 / np.array(scale))
-        for _ in range(quality.STEPS):
-            d = (((x - mean) @ inverse.T) ** 2).sum(axis=1)
-            bins = [math.floor(math.log(v + 1e-6) * 50) for v in d]
-            core = x[np.array(bins) <= cut(bins, quality.CORE)]
-            mean = core.mean(axis=0)
-            inverse = np.linalg.inv(np.linalg.cholesky((core.T @ core / len(core) - np.outer(mean, mean)) * quality.CONSISTENCY + np.diag(floors**2)))
+        bins = [[math.floor(v / quality.BIN) for v in x[:, j]] for j in range(x.shape[1])]
+        median = np.array([(cut(b, 0.5) + 0.5) * quality.BIN for b in bins])
+        scale = np.array([max((cut(b, 0.75) - cut(b, 0.25)) * quality.BIN / 1.349, f) for b, f in zip(bins, floors, strict=True)])
+        tried = []
+        for n, (mean, inverse) in enumerate([(median, np.diag(1 / scale)), of(x)[:2], (median, np.diag(1 / floors))]):
+            last = math.inf
+            while True:
+                d = (((x - mean) @ inverse.T) ** 2).sum(axis=1)
+                far = np.array([math.floor(math.log(v + 1e-6) * quality.FINE) for v in d])
+                mean, inverse, logdet = of(x[far <= cut(far.tolist(), quality.CORE)])
+                tried.append((logdet, n, mean, inverse))
+                if logdet >= last - quality.TOLERANCE:
+                    break
+                last = logdet
+        logdet, _, mean, inverse = min(tried, key=lambda e: e[:2])
         est[g] = mean, inverse
+        if estimates is not None:
+            estimates[g] = logdet
     out = []
     for a, b, s in rows:
         found = est.get(group(a, b))
@@ -115,12 +125,19 @@ def quality_rows():
 
 def test_quality(spark):
     rows = quality_rows()
+    # groups of one and of three rows: the rule is the same
+    rows += [(300, rows[20][1], "xx", "a", 1), *[(301 + i, rows[21 + i][1], "xx", "b", 1) for i in range(3)]]
     got = quality.score(docs(spark, rows)).collect()
     stats = [base_stats(r[1] or "") for r in rows]
     want = [(r[0], *s, *v) for r, s, v in zip(rows, stats, mcd([(r[2], r[3], s) for r, s in zip(rows, stats, strict=True)]), strict=True)]
     names = ["doc_id", *quality.STATS, "base_failed", "kept"]
     assert sorted((tuple(g[c] for c in names) for g in got), key=key) == sorted(want, key=key)
     assert any(not w[-1] and not w[-2] for w in want)
+    least = {}
+    mcd([(r[2], r[3], s) for r, s in zip(rows, stats, strict=True)], least)
+    frame = quality.with_stats(docs(spark, rows).drop("n_words")).select("lang", "source", "_s.*")
+    found = {r.g: r.logdet for r in quality.fit(frame).collect()}
+    assert found == pytest.approx(least, rel=1e-9) and len(found) == len(least)
     kept = quality.keep_good(docs(spark, rows)).collect()
     assert sorted((k.doc_id for k in kept), key=str) == sorted((w[0] for w in want if w[-1]), key=str)
     assert quality.score(docs(spark).limit(0)).count() == 0 and quality.keep_good(docs(spark).limit(0)).count() == 0
