@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Largest object, in bytes, that an operator here broadcasts. Callers check before they broadcast.
 BROADCAST_LIMIT = 64 << 20
@@ -24,11 +25,13 @@ SPACE_RE = "[\\x20\\x09-\\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (single-machine tests) a folder under the
-    warehouse is used.
+    Where it is unset, a folder under the warehouse is used if all runs in one process
+    (``local[*]``); a cluster without the setting is an error.
     """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         where = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return where.rstrip("/")
 
@@ -49,7 +52,69 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or scratch(spark, name)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove :func:`materialize`'s files of tables that no pending plan reads any more."""
+    for t in tables:
+        drop_scratch(t.sparkSession, t._scratch)
+
+
+#: Bytes of a row of a task's sketch.
+PIECE = 1 << 16
+
+
+def sum_sketch(df: DataFrame, run, size: int, *, either: bool = False) -> np.ndarray:
+    """The sum (``either``: the bitwise or) of the arrays of ``size`` that ``run`` yields from the batches of each task of ``df``.
+
+    Arrays travel in pieces, those of neighbouring tasks are combined first, and then the
+    results: a task reads pieces of about the square root of the number of tasks. Sums come
+    back in 64 bits, ``or`` in bytes; the size must be bounded by the caller.
+    """
+    wide = "u1" if either else "<u8"
+    step = min(size, PIECE)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
+        for array in run(batches):
+            pieces = array.astype(wide).reshape(-1, step)
+            for i in np.flatnonzero(pieces.any(axis=1)).tolist():
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([task], pa.int32()), pa.array([squeeze(pieces[i])], pa.binary())], ["piece", "task", "data"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        total = np.zeros(step, wide)
+        for x in table.column("data"):
+            piece = expand(x.as_py(), wide)
+            total = total | piece if either else total + piece
+        return pa.Table.from_arrays([table.column("piece")[:1].combine_chunks(), table.column("task")[:1].combine_chunks(), pa.array([squeeze(total)], pa.binary())], ["piece", "task", "data"])
+
+    schema = "piece int, task int, data binary"
+    parts = df.mapInArrow(cut, schema)
+    near = parts.groupBy("piece", F.floor(F.sqrt(F.col("task").cast("double"))).alias("near")).applyInArrow(merge, schema)
+    out = np.zeros((size // step, step), wide)
+    for r in near.groupBy("piece").applyInArrow(merge, schema).collect():
+        out[r.piece] = expand(r.data, wide)
+    return out.ravel()
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    """Unsigned integers as compressed byte planes (high planes are mostly zeros)."""
+    import zstandard
+
+    values = np.ascontiguousarray(values)
+    return zstandard.ZstdCompressor(level=1).compress(values.view("u1").reshape(-1, values.itemsize).T.tobytes())
+
+
+def expand(packed: bytes, kind: str) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "u1").reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, LOWER, kept, materialize, mix, text_blocks, text_bytes
+from .common import BLOCK_BYTES, LOWER, expand, kept, materialize, mix, squeeze, text_blocks, text_bytes
 
 #: Longest n-gram; pseudo-counts of the shorter context, for contexts of one word, two words, ...
 ORDER, MU = 3, (100.0, 10.0)
@@ -47,22 +47,6 @@ LANES = 12
 END, BEGIN = 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3
 
 
-def squeeze(values: np.ndarray) -> bytes:
-    """Unsigned integers as compressed byte planes (high planes are mostly zeros)."""
-    import zstandard
-
-    values = np.ascontiguousarray(values)
-    return zstandard.ZstdCompressor(level=1).compress(values.view("u1").reshape(-1, values.itemsize).T.tobytes())
-
-
-def expand(packed: bytes, kind: str) -> np.ndarray:
-    import zstandard
-
-    size = np.dtype(kind).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "u1").reshape(size, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
-
-
 def _blocks(docs: DataFrame) -> DataFrame:
     """``block, ids, train, lengths, vocabulary, sequence`` and three counts: documents as word numbers, in blocks."""
 

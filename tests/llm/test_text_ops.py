@@ -215,7 +215,7 @@ def test_components(spark):
 # ---- decontamination --------------------------------------------------------------------
 
 
-def test_decontamination(spark, monkeypatch):
+def test_decontamination(spark):
     rows = corpus(30)
     source = rows[0][1].split() * 3
     items = [(1, " ".join(source[3:30])), (2, "One, TWO three"), (10, None), (11, ""), (3, rows[5][1]), (None, "no id here"), (2, "one two three"), (4, "the"), (12, "not there at all")]
@@ -233,9 +233,8 @@ def test_decontamination(spark, monkeypatch):
                         hit.update(range(p, p + n))
                         found.add("null" if name is None else str(name))
         want.append((i, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
-    for size in (decontam.SLICE, 150):  # in one pass, and in several over slices of the benchmark
-        monkeypatch.setattr(decontam, "SLICE", size)
-        got = [tuple(r) for r in decontam.report(docs(spark, rows), benchmark).collect()]
+    for hot in (decontam.HOT, 2):  # all prefix shingles in one task each, and dealt to several
+        got = [tuple(r) for r in decontam.report(docs(spark, rows), benchmark, hot=hot).collect()]
         assert sorted(got, key=key) == sorted(want, key=key)
     clean = decontam.clean(docs(spark, rows), benchmark)
     assert clean.columns == docs(spark).columns and clean.count() == sum(not w[-1] for w in want)
