@@ -3,8 +3,9 @@
 A blob is a text's content address (SHA-256). The ledger is a table of the (blob, rule
 version) pairs scanned so far with their findings. A scan takes one text for each blob that
 the ledger lacks at this rule version, scans those alone, and joins findings back to every
-row (path, version) with that content. Keys are reduced before texts move: a text is
-shuffled only if there is a ledger entry to make for it or another row with its content.
+row (path, version) with that content. Which rows are scanned is settled on keys alone; the
+texts then meet the shorter of two key lists, of the rows to scan or of the rows to leave
+out. So where nearly all or next to nothing is new, that list is small and no text moves.
 """
 
 from __future__ import annotations
@@ -39,11 +40,11 @@ def _spans(text: Column, number: int) -> Column:
     what a split by the same pattern leaves before it, plus the matches before it.
     """
     kind, pattern, least, group = RULES[number]
-    # runs shorter than ``least`` fail anyway and nothing in a run matches on its own: the
-    # bound can stand in the pattern where the whole match is the run
-    if kind in ("access", "hex", "github"):
+    # a run shorter than ``least`` fails anyway and what matches within it, being shorter, fails
+    # too: the bound can stand in the pattern where the match is one run of its last class
+    if kind in ("access", "hex"):
         head, run = pattern[: pattern.rindex("[")], pattern[pattern.rindex("[") : -1]
-        fixed = {"access": 4, "hex": 0, "github": 4}[kind]
+        fixed = {"access": 4, "hex": 0}[kind]
         pattern, least = f"{head}{run}{{{least - fixed},}}", 0
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
@@ -80,28 +81,31 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, *, id_col: str = "doc
     entries of earlier scans. Null text is the empty blob; null ids and repeated rows each
     keep their row; other columns are ignored; empty tables give empty results.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    given = docs.select(F.col(id_col).alias("_id"), text.alias("_t"), F.sha2(text, 256).alias("blob"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    given = docs.select(F.col(f"`{id_col}`").alias("_id"), text.alias("_t"), F.sha2(text, 256).alias("blob"))
     keys = materialize(given.select("_id", "blob"), "blob-keys")
-    unseen = keys
-    if ledger is not None:
-        unseen = keys.join(ledger.where(F.col("version") == version).select("blob").distinct(), "blob", "left_anti")
+    seen = None if ledger is None else ledger.where(F.col("version") == version)
+    unseen = keys if seen is None else keys.join(seen.select("blob").distinct(), "blob", "left_anti")
     # the least id stands for a blob: one row for each after map-side aggregation
-    chosen = unseen.groupBy("blob").agg(F.min("_id").alias("_id"))
-    scanned = find(_texts(given, chosen), "_t")
-    entries = scanned.select("blob", F.lit(version).alias("version"), "spans")
+    chosen = materialize(unseen.groupBy("blob").agg(F.min("_id").alias("_id")), "blob-chosen")
+    scanned = find(_texts(given, keys, chosen), "_t")
     # copies with one id give one entry
-    entries = materialize(entries.dropDuplicates(["blob"]), "blob-ledger")
-    known = entries if ledger is None else entries.unionByName(ledger.where(F.col("version") == version).select("blob", "version", "spans"))
-    hits = known.where(F.size("spans") > 0).select("blob", "spans")
+    entries = materialize(scanned.select("blob", F.lit(version).alias("version"), "spans").dropDuplicates(["blob"]), "blob-ledger")
+    known = entries if seen is None else entries.unionByName(seen.select("blob", "version", "spans"))
+    hits = materialize(known.where(F.size("spans") > 0).select("blob", "spans"), "blob-hits")
     out = keys.join(hits, "blob", "left").select(F.col("_id").alias(id_col), "blob", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
     return out, entries
 
 
-def _texts(given: DataFrame, chosen: DataFrame) -> DataFrame:
+def _texts(given: DataFrame, keys: DataFrame, chosen: DataFrame) -> DataFrame:
     """One text for each chosen blob (more only where rows repeat with their id)."""
-    small = chosen.select(F.col("blob").alias("_b"), F.col("_id").alias("_i")).hint("shuffle_hash")
-    return given.join(small, (F.col("blob") == F.col("_b")) & F.col("_id").eqNullSafe(F.col("_i"))).select("blob", "_t")
+    named = lambda t: t.select(F.col("blob").alias("_b"), F.col("_id").alias("_i"))
+    same = (F.col("blob") == F.col("_b")) & F.col("_id").eqNullSafe(F.col("_i"))
+    pairs = keys.distinct()
+    others = materialize(pairs.join(named(chosen), same, "left_anti"), "blob-others")
+    if others.count() < chosen.count():
+        return given.join(named(others), same, "left_anti").select("blob", "_t")
+    return given.join(named(chosen), same, "left_semi").select("blob", "_t")
 
 
 def _listed(spans: Column) -> Column:
@@ -128,11 +132,12 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, *, id_col: str = "d
     where there is such a column, is set to the new text's length if the text changed.
     """
     findings, _ = scan(docs, ledger, id_col=id_col, text_col=text_col)
-    hits = findings.where(F.size("spans") > 0).select(F.col(id_col).alias("_i"), F.col("blob").alias("_b"), F.col("spans").alias("_spans")).distinct()
+    # as small as the findings: where they are few, the texts stay where they are
+    hits = materialize(findings.where(F.size("spans") > 0).select(F.col("blob").alias("_b"), F.col("spans").alias("_spans")).dropDuplicates(["_b"]), "redact-hits")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     text = F.col(f"`{text_col}`").cast("string")
     given = docs.select(row, text.alias("_t"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("_blob"))
-    found = given.join(hits.hint("shuffle_hash"), (F.col("_blob") == F.col("_b")) & F.col("_row")[id_col].eqNullSafe(F.col("_i")), "left")
+    found = given.join(hits, F.col("_blob") == F.col("_b"), "left")
     pieces = F.aggregate(
         "_spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),

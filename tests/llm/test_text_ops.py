@@ -250,6 +250,7 @@ HOT = [
     (3, "é" * 5 + 'passWD:\'zzzzzz\' tokentoken=1234567 key "' + "0" * 23 + '" ' + "0" * 24, "en", "a", 1),
     (4, "ghp_" + "a1B2" * 9 + " eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.abcdefghijkl", "en", "a", 1),
     (5, 'x password = "hunter22" and token: abc then API_KEY=abcdef/123 é secret=token:abcdef', "en", "a", 1),
+    (6, "ghp_abcghp_" + "a1B2" * 10 + " AKIAAKIA" + "Z9" * 8, "en", "a", 1),
 ]
 
 
@@ -279,10 +280,15 @@ def test_ledger(spark):
     first, entries = secrets.scan(docs(spark, HOT[:2]))
     assert first.count() == 2 and entries.count() == 2
     second, more = secrets.scan(docs(spark, HOT), entries)
-    assert more.count() == 2  # 3 and 4; 5 has the content of 1
+    assert more.count() == 3  # 3, 4 and 6; 5 has the content of 1
     spans = {r.doc_id: r.spans for r in second.collect()}
     assert spans[1] == spans[5] and spans[1] and spans[3]
     assert secrets.scan(docs(spark, HOT[:2]), entries, version="other")[1].count() == 2
+    # nothing new; and one new text among many known ones: the list of rows to scan is the shorter one
+    assert secrets.scan(docs(spark, HOT[:2]), entries)[1].count() == 0
+    whole = entries.union(more)
+    third, one = secrets.scan(docs(spark, [*HOT, (7, "token = abcdefgh", "en", "a", 1), (7, "token = abcdefgh", "en", "a", 1)]), whole)
+    assert one.count() == 1 and third.count() == len(HOT) + 2 and all(r.spans for r in third.where("doc_id = 7").collect())
 
 
 def test_redaction(spark):
