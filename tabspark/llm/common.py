@@ -47,16 +47,35 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Spark then removes a write's shuffle files when it has ended: nothing reads them again.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the lineage ends there."""
     spark = df.sparkSession
     path = path or scratch(spark, name)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
 
 
+def near(table: DataFrame, *columns: str) -> DataFrame:
+    """A materialized table (or columns of it) as the hashed side of a join: broadcast if its
+    files are below an eighth of BROADCAST_LIMIT, shuffled with the other side if not."""
+    spark = table.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._scratch)
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    some = table.select(*columns) if columns else table
+    return F.broadcast(some) if size <= BROADCAST_LIMIT // 8 else some.hint("shuffle_hash")
+
+
 def release(*tables: DataFrame) -> None:
     """Remove :func:`materialize`'s files of tables that no pending plan reads any more."""
     for t in tables:

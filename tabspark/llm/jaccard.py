@@ -14,12 +14,18 @@ passages that many documents share hardly get into prefixes. Then:
    Only a spanning forest of the links found leaves the task, not all pairs of a group;
 2. components of those links; what is left are runs that touch two components or more.
    Their nodes (of runs over the same components together) are searched for pairs over
-   components by R-trees again, a larger set in blocks, each block with each, and every surviving pair is verified. This step alone is
-   complete, so the first may miss pairs and only saves work.
+   components by R-trees again, and every surviving pair is verified. A larger set is cut by
+   bands of set size, of which similar sets are in one or in neighbours, and those into
+   blocks, each searched with each. This step alone is complete, so the first may miss pairs
+   and only saves work.
+
+The run of a shingle that the sketch counts more than ``LIST`` times is cut into parts by
+node, so that no list, and no task's share of one, grows with the most frequent shingle.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import chain
 
@@ -29,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, WordHash, list_array, kept, materialize, mix, text_blocks, text_bytes
+from .common import LOWER, WordHash, kept, list_array, materialize, mix, near, text_blocks, text_bytes
 from .components import components
 from .rtree import RTree, Union, needed, overlap, point, points_of
 
@@ -41,8 +47,10 @@ FLUSH = 2_000_000
 BUCKET, CELL = 1_000_000, 2048
 #: Prefix shingles that a node shares with its centre at least, or it waits for step 2.
 VOTES = 3
-#: Tasks over which the cells around one component are spread.
-SPREAD = 8
+#: Nodes of a list at most, about.
+LIST = 50_000
+#: Tasks over which the cells around one component are spread at least, and rows of such a task about.
+SPREAD, SHARE = 8, 50_000
 #: Times that nodes are sent to centres before the complete step.
 ROUNDS = 1
 
@@ -117,18 +125,25 @@ def _cell(members: np.ndarray) -> np.ndarray:
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
-    """The tasks' sketches summed up, in logarithmic steps (u2): SKETCH counters whatever the input."""
+    """The tasks' sketches summed up, in logarithmic steps (u2): SKETCH counters whatever the input.
+
+    Those of some files are summed first, then these sums: a task reads as many as the
+    square root of the number of files.
+    """
 
     def total(table: pa.Table) -> pa.Table:
         counts = np.zeros(CHUNK, "i8")
         for x in table.column("point"):
-            counts += np.frombuffer(x.as_buffer(), "<u2")
-        steps = np.round(128 * np.log2(1.0 + counts)).astype("<u2")
-        return pa.Table.from_arrays([table.column("node")[:1].combine_chunks(), pa.array([steps.tobytes()], pa.binary())], ["chunk", "steps"])
+            counts += np.frombuffer(x.as_buffer(), "<i8" if len(x.as_buffer()) == 8 * CHUNK else "<u2")
+        return pa.Table.from_arrays([table.column("node")[:1].combine_chunks(), pa.array([counts.tobytes()], pa.binary())], ["node", "point"])
 
+    parts = profiles.where("n = -1").select("node", "point", F.input_file_name().alias("file"))
+    files = parts.select("file").distinct().count()
+    some = F.pmod(F.xxhash64("file"), F.lit(max(1, math.isqrt(files))))
+    near_ = parts.groupBy("node", some.alias("some")).applyInArrow(total, "node long, point binary")
     out = np.zeros((SKETCH // CHUNK, CHUNK), "u2")
-    for r in profiles.where("n = -1").select("node", "point").groupBy("node").applyInArrow(total, "chunk long, steps binary").toLocalIterator():
-        out[r.chunk] = np.frombuffer(r.steps, "<u2")
+    for r in near_.groupBy("node").applyInArrow(total, "node long, point binary").collect():
+        out[r.node] = np.round(128 * np.log2(1.0 + np.frombuffer(r.point, "<i8")))
     return out.ravel()
 
 
@@ -139,8 +154,11 @@ def prefix(members: np.ndarray, percent: int, sketch: np.ndarray) -> np.ndarray:
 
 
 def _postings(given: DataFrame, k: int, percent: int, sketch: np.ndarray, buckets: int) -> DataFrame:
-    """``bucket, hashes, nodes``: packed (32-bit shingle, node) pairs of the prefixes."""
-    shared = given.sparkSession.sparkContext.broadcast(sketch)
+    """``bucket, part, hashes, nodes``: packed (32-bit shingle, node) pairs of the prefixes.
+
+    ``part`` is 0, or that of a shingle whose list is cut.
+    """
+    shared, list_size = given.sparkSession.sparkContext.broadcast(sketch), LIST
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept("jaccard")
@@ -150,14 +168,18 @@ def _postings(given: DataFrame, k: int, percent: int, sketch: np.ndarray, bucket
         def flush() -> pa.RecordBatch:
             h = np.concatenate(held)
             v = np.repeat(np.array(nodes, "i8"), [len(x) for x in held])
-            b = ((h >> np.uint64(32)) % np.uint64(buckets)).astype("i4")
-            order = np.argsort(b, kind="stable")
-            b, low, v = b[order], h[order].astype("<u4"), v[order]
-            found, first = np.unique(b, return_index=True)
+            b = ((h >> np.uint64(32)) % np.uint64(buckets)).astype("i8")
+            parts = np.ceil(np.exp2(order_of[_cell(h)] / 128.0) / list_size).astype("i8")
+            part = np.where(parts > 1, 1 + (mix(v.view(np.uint64)) % np.maximum(parts, 1).astype(np.uint64)).astype("i8"), 0)
+            order = np.lexsort((part, b))
+            b, part, low, v = b[order], part[order], h[order].astype("<u4"), v[order]
+            new = np.ones(len(b), bool)
+            new[1:] = (b[1:] != b[:-1]) | (part[1:] != part[:-1])
+            first = np.flatnonzero(new)
             cuts = [*first.tolist(), len(b)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int32()), pa.array([low[s:e].tobytes() for s, e in zip(cuts, cuts[1:], strict=False)], pa.binary()), pa.array([v[s:e].tobytes() for s, e in zip(cuts, cuts[1:], strict=False)], pa.binary())],
-                ["bucket", "hashes", "nodes"],
+                [pa.array(b[first], pa.int32()), pa.array(part[first], pa.int32()), pa.array([low[s:e].tobytes() for s, e in zip(cuts, cuts[1:], strict=False)], pa.binary()), pa.array([v[s:e].tobytes() for s, e in zip(cuts, cuts[1:], strict=False)], pa.binary())],
+                ["bucket", "part", "hashes", "nodes"],
             )
 
         for batch in text_blocks(batches, 2 << 20):
@@ -176,22 +198,28 @@ def _postings(given: DataFrame, k: int, percent: int, sketch: np.ndarray, bucket
         if held:
             yield flush()
 
-    return given.select("text").mapInArrow(run, "bucket int, hashes binary, nodes binary")
+    return given.select("text").mapInArrow(run, "bucket int, part int, hashes binary, nodes binary")
 
 
 def _runs(postings: DataFrame) -> DataFrame:
-    """``run, nodes array<long>, weight``: the distinct lists of two nodes or more with a prefix shingle in common."""
+    """``run, part, nodes array<long>, weight``: the distinct lists of two nodes or more with a prefix shingle in common.
+
+    Equal lists are one run (named by its nodes), of the weight of their number. The parts of
+    a list that is cut make one run, named by its shingle; it may have one node alone.
+    """
 
     def reduce(table: pa.Table) -> pa.Table:
         h = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("hashes").to_pylist()])
         v = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("nodes").to_pylist()])
+        bucket, part = table.column("bucket")[0].as_py(), table.column("part")[0].as_py()
         order = np.argsort(h, kind="stable")
         h, v = h[order], v[order]
-        many = np.zeros(len(h), bool)  # most shingles occur once: they go before anything else is sorted
-        same = h[1:] == h[:-1]
-        many[1:] |= same
-        many[:-1] |= same
-        h, v = h[many], v[many]
+        if not part:
+            many = np.zeros(len(h), bool)  # most shingles occur once: they go before anything else is sorted
+            same = h[1:] == h[:-1]
+            many[1:] |= same
+            many[:-1] |= same
+            h, v = h[many], v[many]
         order = np.lexsort((v, h))
         h, v = h[order], v[order]
         new = np.ones(len(h), bool)
@@ -199,18 +227,23 @@ def _runs(postings: DataFrame) -> DataFrame:
         h, v = h[new], v[new]
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, "i8")
         sizes = np.diff(np.append(starts, len(h)))
-        runs = np.add.reduceat(mix(v.view(np.uint64)), starts) if len(starts) else np.zeros(0, np.uint64)
-        good = np.flatnonzero(sizes > 1)
-        _, first, weight = np.unique(runs[good], return_index=True, return_counts=True)
-        good = good[first]
+        if part:
+            runs = mix(h[starts].astype(np.uint64) | np.uint64(bucket << 32))
+            good, weight = np.arange(len(starts)), np.ones(len(starts), "i8")
+        else:
+            runs = np.add.reduceat(mix(v.view(np.uint64)), starts) if len(starts) else np.zeros(0, np.uint64)
+            good = np.flatnonzero(sizes > 1)
+            _, first, weight = np.unique(runs[good], return_index=True, return_counts=True)
+            good = good[first]
         keep = np.zeros(len(starts), bool)
         keep[good] = True
         flat = v[np.repeat(keep, sizes)] if len(starts) else v
         by_place = np.argsort(good, kind="stable")
-        return pa.Table.from_arrays([pa.array(runs[good[by_place]].view("i8"), pa.int64()), list_array(flat, sizes[good[by_place]], pa.int64()), pa.array(weight[by_place], pa.int64())], ["run", "nodes", "weight"])
+        names = ["run", "part", "nodes", "weight"]
+        return pa.Table.from_arrays([pa.array(runs[good[by_place]].view("i8"), pa.int64()), pa.array([part] * len(good), pa.int32()), list_array(flat, sizes[good[by_place]], pa.int64()), pa.array(weight[by_place], pa.int64())], names)
 
-    found = postings.groupBy("bucket").applyInArrow(reduce, "run long, nodes array<long>, weight long")
-    return found.groupBy("run").agg(F.first("nodes").alias("nodes"), F.sum("weight").alias("weight"))
+    found = postings.groupBy("bucket", "part").applyInArrow(reduce, "run long, part int, nodes array<long>, weight long")
+    return found.groupBy("run", "part").agg(F.first("nodes").alias("nodes"), F.sum("weight").alias("weight"))
 
 
 def _packed_sets(cands: DataFrame, k: int) -> DataFrame:
@@ -353,7 +386,8 @@ def _texts(given: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     Where ids repeat, texts of other nodes come along: ``node = _node`` once sets are made.
     """
     chosen = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("_id")).join(nodes, "node").withColumnRenamed("node", "_node")
-    return given.join(chosen.hint("shuffle_hash"), given["id"].eqNullSafe(F.col("_id"))).drop("id", "_id")
+    chosen = materialize(chosen, "jaccard-chosen")
+    return given.join(near(chosen), given["id"].eqNullSafe(F.col("_id"))).drop("id", "_id")
 
 
 def _votes(met: DataFrame) -> DataFrame:
@@ -377,7 +411,8 @@ def _linked(given: DataFrame, rows: DataFrame, votes: DataFrame, k: int, percent
 def _stars(given: DataFrame, rows: DataFrame, runs: DataFrame, k: int, percent: int) -> DataFrame:
     """``node, root`` of the nodes that link with another."""
     # 1: every node to the centre with which it shares most; twice, the second time over components
-    members = materialize(runs.select("run", "weight", F.size("nodes").alias("of"), F.explode("nodes").alias("node")), "jaccard-members")
+    members = materialize(runs.select("run", "part", "weight", F.size("nodes").alias("of"), F.explode("nodes").alias("node")), "jaccard-members")
+    parts = runs.select("run", "part")  # what is known of a run goes to each of its parts
     # a node that shares much with many is a good centre of its runs
     known = members.groupBy("node").agg(F.sum(F.col("weight") * F.col("of")).alias("known"))
     members = members.join(known, "node")
@@ -387,25 +422,33 @@ def _stars(given: DataFrame, rows: DataFrame, runs: DataFrame, k: int, percent:
         rooted = rooted.withColumn("root", F.col("node") if first is None else F.coalesce("root", "node"))
         best = F.max(F.struct("known", "node", "root")).alias("best")
         centred = rooted.groupBy("run").agg(best, F.max("root").alias("hi"), F.min("root").alias("lo")).where("lo <> hi").select("run", F.col("best.node").alias("centre"), F.col("best.root").alias("theirs"))
-        forest = materialize(_linked(given, rows, _votes(rooted.join(centred, "run")), k, percent), f"jaccard-forest{step}")
+        met = rooted.join(parts.join(centred, "run"), ["run", "part"])
+        forest = materialize(_linked(given, rows, _votes(met), k, percent), f"jaccard-forest{step}")
         links = forest if links is None else links.union(forest)
         first = materialize(components(links), f"jaccard-first{step}")
     # 2: runs over more than one component, completely
-    inside = members.select("run", "node").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    inside = members.select("run", "part", "node").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # runs over the same components are searched as one: they mostly repeat each other's nodes
-    roots = F.collect_set("root")
-    open_ = inside.groupBy("run").agg(F.xxhash64(F.sort_array(roots)).alias("group"), F.size(roots).alias("c"), F.min("root").alias("home")).where("c > 1").select("run", "group", "home")
-    inside = materialize(inside.join(open_, "run").select("group", "home", "node", "root").distinct(), "jaccard-open")
-    sizes = inside.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"))
-    inside = inside.join(sizes, "group")
-    wanted = inside.select("node").distinct()
-    points = rows.where("n > 0").join(wanted, "node").select("node", "n", "point").dropDuplicates(["node"])
-    blocks = inside.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).select("group", "home", "node", "root", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    touched = inside.select("run", "root").distinct().groupBy("run").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("home"), F.bit_xor(F.xxhash64("root")).alias("x"), F.bit_xor(F.xxhash64("root", F.lit(1))).alias("y"))
+    open_ = touched.where("c > 1").select("run", F.xxhash64("c", "home", "x", "y").alias("group"), "home")
+    inside = inside.join(parts.join(open_, "run"), ["run", "part"]).select("group", "home", "node", "root").distinct()
+    points = rows.where("n > 0").select("node", "n", "point").dropDuplicates(["node"])
+    inside = materialize(inside.join(points.select("node", "n"), "node"), "jaccard-open")
+    sizes = lambda t, *by: t.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"))
+    # similar sets are in one band of sizes or in neighbours: a node goes to its own and the next
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int") if percent < 100 else F.col("n")
+    bands = F.when(F.col("parts") > 1, F.array(band, band + 1)).otherwise(F.array(F.lit(-1).cast("int" if percent < 100 else "long")))
+    banded = inside.join(sizes(inside, "group"), "group").select("group", "home", "node", "root", F.explode(bands).alias("band"))
+    inside = banded.join(sizes(banded, "group", "band"), ["group", "band"])
+    blocks = inside.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).select("group", "band", "home", "node", "root", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    blocks = blocks.select(F.xxhash64("group", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), side.alias("side"), "home", "node", "root")
+    blocks = materialize(blocks.select(F.xxhash64("group", "band", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), side.alias("side"), "home", "node", "root"), "jaccard-blocks")
     # cells of one neighbourhood repeat pairs: they go to a few tasks, each of which gives a pair once
-    deal = F.xxhash64("home", F.pmod("cell", F.lit(SPREAD)))
-    dealt = blocks.join(points, "node").withColumn("deal", deal).repartition("deal").sortWithinPartitions("deal", "cell")
+    wide = blocks.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / SHARE).alias("spread")).where(F.col("spread") > SPREAD)
+    wide = materialize(wide, "jaccard-homes")
+    spread = F.coalesce("spread", F.lit(SPREAD))
+    deal = F.xxhash64("home", F.pmod("cell", spread))
+    dealt = blocks.join(near(wide), "home", "left").withColumn("deal", deal).drop("spread").join(points, "node").repartition("deal").sortWithinPartitions("deal", "cell")
     pairs = materialize(_survivors(dealt, percent), "jaccard-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = materialize(_packed_sets(_texts(given, rows, wanted), k).where("node = _node").select("node", "members"), "jaccard-sets")
@@ -419,15 +462,19 @@ def one_of_each(docs: DataFrame, *, k: int = 5, percent: int = 75, id_col: str =
 
     Rows without words are alone, and stay. Rows that repeat with id and text leave one. A
     null id is the name only of components without any other; where there is such a
-    component, all rows with a null id stay.
+    component, all rows with a null id stay. Other columns stay, whatever their names; an
+    empty table gives an empty result. What meets the texts is the list of ids that go.
     """
-    found = join(docs, k=k, percent=percent, id_col=id_col, text_col=text_col)
-    kept = materialize(found.select(F.col("component_id").alias("_c")).distinct(), "jaccard-kept")
-    repeated = docs.select(F.col(f"`{id_col}`").alias("_r")).groupBy("_r").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("_r")
-    repeated = materialize(repeated, "jaccard-repeated")
-    chosen = docs.join(kept.hint("shuffle_hash"), docs[id_col].eqNullSafe(F.col("_c"))).drop("_c")
-    if repeated.isEmpty():
-        return chosen
-    again = docs[id_col].eqNullSafe(F.col("_r"))
-    once = chosen.join(repeated.hint("shuffle_hash"), again, "left_anti")
-    return once.unionByName(chosen.join(repeated.hint("shuffle_hash"), again, "left_semi").dropDuplicates([id_col, text_col]))
+    found = join(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), k=k, percent=percent, id_col="id")
+    named = found.groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.max(F.col("id").eqNullSafe(F.col("component_id"))).alias("names"))
+    named = materialize(named.where("c > 1 OR NOT names"), "jaccard-named")
+    gone = materialize(named.where("NOT names").select(F.col("id").alias("_gone")), "jaccard-gone")
+    again = materialize(named.where("names").select(F.col("id").alias("_again")), "jaccard-again")
+    given = docs.select(F.col(f"`{id_col}`").alias("_id"), F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"))
+    left = given.join(near(gone), F.col("_id").eqNullSafe(F.col("_gone")), "left_anti")
+    if again.isEmpty():
+        return left.select("_row.*")
+    repeats = F.col("_id").eqNullSafe(F.col("_again"))
+    once = left.join(near(again), repeats, "left_anti")
+    first = left.join(near(again), repeats, "left_semi").withColumn("_t", F.col("_row")[text_col]).dropDuplicates(["_id", "_t"])
+    return once.select("_row").union(first.select("_row")).select("_row.*")

@@ -177,17 +177,22 @@ def test_jaccard(spark, seed, monkeypatch):
     assert sorted(got, key=key) == sorted(brute_components(texts(rows)), key=key)
 
 
-def test_jaccard_in_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("size", [jaccard.LIST, 5])
+def test_jaccard_in_blocks(spark, monkeypatch, size):
+    monkeypatch.setattr(jaccard, "LIST", size)  # lists in one piece, and all cut into parts
     monkeypatch.setattr(jaccard, "CELL", 4)
+    monkeypatch.setattr(jaccard, "SPREAD", 1)
+    monkeypatch.setattr(jaccard, "SHARE", 20)
     monkeypatch.setattr(jaccard, "VOTES", 1000)  # all is left to the complete step
-    rows = [(i, " ".join(["w%d" % j for j in range(60)] + ["x%d" % (i // 3)]), "en", "a", 1) for i in range(30)]
+    # from 60 to 147 words: over several bands of sizes
+    rows = [(i, " ".join(["w%d" % j for j in range(60 + 3 * i)] + ["x%d" % (i // 3)]), "en", "a", 1) for i in range(30)]
     got = [tuple(r) for r in jaccard.join(docs(spark, rows)).collect()]
     assert sorted(got) == sorted(brute_components(texts(rows)))
 
 
 def test_one_of_each(spark):
     rows = corpus()
-    left = jaccard.one_of_each(docs(spark, rows)).collect()
+    left = jaccard.one_of_each(docs(spark, rows).withColumns({x: F.lit(1) for x in ("_c", "_r", "_id", "_row", "_t", "_gone", "_again")})).collect()
     named = {c for _, _, c in brute_components(texts(rows))}
     assert {r.doc_id for r in left} == named and len(left) == len(named)
     assert jaccard.one_of_each(docs(spark).limit(0)).count() == 0
@@ -335,7 +340,7 @@ def test_chat_query(spark):
 
 @pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_backoff_scores(spark, order, monkeypatch):
-    monkeypatch.setattr(lm, "BLOCK_BYTES", 4000)  # several blocks, and texts larger than one
+    monkeypatch.setattr(lm, "BLOCK", 4000)  # several blocks, and texts larger than one
     rows = [*corpus(25), (5000, "the of and w1 " * 1500, "en", "a", 1)]
     mu = (3.0, 2.0)
     got = sorted(map(tuple, lm.score(docs(spark, rows), order=order, mu=mu, range_size=50).collect()), key=key)
