@@ -1,16 +1,17 @@
 """Surrogate generation for personal data, in DataFrame functions only.
 
 A text is cut into segments: literal text and entities (e-mail addresses, phone numbers,
-card numbers, national ids, IP addresses, and names after a form of address). An entity's
-surrogate is drawn from SHA-256 of a key, its type, its canonical form and an attempt
-number, so one entity has one surrogate everywhere (coreference), whatever its formatting,
-and each occurrence keeps its own format: punctuation, case, length, a card's check digit,
-the gender and script of a name. Attempts rise for all but one of the entities that would
-share a surrogate, or whose surrogate is an entity of the corpus, until none is left.
+card numbers, national ids, bank accounts, IP addresses, and names after a form of address or
+beginning with a known given name). An entity's surrogate is drawn from SHA-256 of a key, its
+type, its canonical form and an attempt number, so one entity has one surrogate everywhere
+(coreference), whatever its formatting, and each occurrence keeps its own format:
+punctuation, case, length, check digits that were right or wrong, the gender and script of a
+name. Attempts rise for all but one of the entities that would share a surrogate, or whose
+surrogate is an entity of the corpus, until none is left.
 
 A given name and its family name are one entity, a person, of the gender that any of its
-forms of address tells. The family name has its surrogate from all who bear it; the given
-name's is drawn for the person.
+forms of address, or the given name itself, tells. The family name has its surrogate from all
+who bear it; the given name's is drawn for the person.
 """
 
 from __future__ import annotations
@@ -22,47 +23,78 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Forms of address by gender.
+#: Forms of address by gender; those of Chinese follow the name.
 TITLES = {
-    "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин"],
-    "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа"],
-    "u": ["Dr", "Prof"],
+    "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος", "السيد"],
+    "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία", "السيدة"],
+    "u": ["Dr", "Prof", "الدكتور"],
 }
+AFTER = {"m": ["先生"], "f": ["女士", "小姐"], "u": ["博士", "教授"]}
 #: Given names by gender and script.
 GIVEN = {
     "m": "Adam Albert Anton Bruno Carl Daniel David Emil Felix George Hugo Ivan Jan Jonas Leo Lucas Martin Max Nico Noah Oscar Otto Paul Peter Robert Samuel Simon Theo Thomas Tim Victor Walter".split(),
     "f": "Ada Alice Amelia Anna Clara Diana Elena Ella Emma Eva Flora Greta Helena Ida Irene Julia Laura Lea Lina Lucia Maria Marta Mia Nina Nora Olivia Paula Rosa Sara Sofia Vera Zoe".split(),
     "mc": "Андрей Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Олег Павел Роман Семён Тимур Юрий".split(),
     "fc": "Алина Вера Дарья Елена Жанна Зоя Ирина Клара Лидия Мария Нина Ольга Полина Раиса София Юлия".split(),
+    "mg": "Ανδρέας Γιώργος Δημήτρης Κώστας Μιχάλης Νίκος Πέτρος Σταύρος".split(),
+    "fg": "Άννα Βασιλική Δέσποινα Ειρήνη Ελένη Κατερίνα Μαρία Σοφία".split(),
+    "ma": "أحمد حسن خالد علي عمر كريم محمد يوسف".split(),
+    "fa": "سارة سلمى عائشة فاطمة ليلى مريم نور هدى".split(),
+    "mz": "伟 军 勇 强 明 杰 涛 磊".split(),
+    "fz": "丽 娜 娟 敏 芳 艳 霞 静".split(),
 }
-GIVEN["u"], GIVEN["uc"] = GIVEN["m"] + GIVEN["f"], GIVEN["mc"] + GIVEN["fc"]
-#: Syllables of family names.
-SYLLABLES = {"": "ba be bi bo da de di do ka ke ki ko la le li lo ma me mi mo na ne ni no ra re ri ro sa se so ta".split(), "c": "ба бе би бо да де ди до ка ке ки ко ла ле ли ло ма ме ми мо на не ни но ра ре ри ро са се со та".split()}
-_ADDRESS = "|".join(t for ts in TITLES.values() for t in sorted(ts, key=len, reverse=True))
+#: Further given names by which a name without a form of address is known.
+KNOWN = {
+    "m": "Alexander Andrew Antonio Benjamin Charles Christian Claude Edward François Frank Hans Henry Jack Jacques James Javier Jean Johann John José Juan Karl Klaus Luis Manuel Michael Miguel Pablo Patrick Philip Pierre Richard Steven Wilhelm William".split(),
+    "f": "Andrea Barbara Carmen Catherine Charlotte Christine Elizabeth Emily Helen Ingrid Isabel Jane Jennifer Jessica Karen Linda Louise Margaret Marie Mary Monika Patricia Sabine Sarah Susan Teresa Ursula".split(),
+}
+#: Family names of Chinese of one sign.
+SURNAMES = "王李张刘陈杨黄赵周吴徐孙马朱胡林郭何高罗郑梁谢宋唐许邓韩冯曹彭曾肖田董潘袁蔡蒋余于杜叶程魏苏吕丁任卢姚沈钟姜崔谭陆范汪廖石金韦贾夏付方邹熊白孟秦邱侯江尹薛闫段雷龙黎史陶贺毛郝顾龚邵万覃武钱戴严莫孔向常"
+#: Scripts with syllables of their own, by the letter that marks a kind, and these syllables.
+SCRIPTS = {"c": "Cyrillic", "g": "Greek", "a": "Arabic", "h": "Hebrew", "z": "Han", "k": "Hangul", "d": "Devanagari", "e": "Armenian", "o": "Georgian"}
+SYLLABLES = {
+    "": "ba be bi bo da de di do ka ke ki ko la le li lo ma me mi mo na ne ni no ra re ri ro sa se so ta".split(),
+    "c": "ба бе би бо да де ди до ка ке ки ко ла ле ли ло ма ме ми мо на не ни но ра ре ри ро са се со та".split(),
+    "g": "βα βε δα δε δο κα κε κο λα λε λι λο μα με μι μο να νε νι νο πα πε πο ρα ρε ρι ρο σα σε σι τα το".split(),
+    "a": "با بي دا دي را ري سا سي شا شي عا فا في قا كا كي لا لي ما مي نا ني ها هي وا وي يا تا تي جا حا زا".split(),
+    "h": "בא גא דא הא וא זא חא טא יא כא לא מא נא סא עא פא צא קא רא שא תא בי די לי מי ני קי רי שי תי גי פי".split(),
+    "z": list(SURNAMES[:64]),
+    "k": "가 나 다 라 마 바 사 아 자 차 카 타 파 하 고 노 도 로 모 보 소 오 조 초 기 니 디 리 미 비 시 지".split(),
+    "d": "क ख ग घ च छ ज झ ट ड त थ द ध न प फ ब भ म य र ल व श स ह का ना मा रा ला".split(),
+    "e": "բա գա դա զա կա լա մա նա պա ռա սա վա տա րա քա ֆա բե գե դե կե լե մե նե սե տե րե բի գի դի կի լի մի".split(),
+    "o": "ბა გა და ვა ზა თა კა ლა მა ნა პა რა სა ტა ფა ქა ბე გე დე ვე კე ლე მე ნე რე სე ბი გი დი კი ლი მი".split(),
+}
+#: Syllables of a family name, and of a given name where a script has no list of these.
+LENGTH = {"z": 1, "k": 1}
+FOUR, TWO = 4, 2
+_ADDRESS = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
+_AFTER = "|".join(t for ts in AFTER.values() for t in ts)
+_BY_NAME = "|".join(sorted({n for k in ("m", "f") for n in GIVEN[k] + KNOWN[k]} | {n for k in ("mc", "fc", "mg", "fg") for n in GIVEN[k]}, key=lambda n: (-len(n), n)))
 _LOCAL = "[\\p{L}\\p{N}._%+-]"
+_WORD = "(?:\\p{Lu}['’])?\\p{Lu}\\p{Ll}+(?:[-'’]\\p{Lu}\\p{Ll}+)*"
+_BARE = "(?<![\\p{L}\\p{N}])"
+_END = "(?![\\p{L}\\p{N}])"
+_HEX = "[0-9A-Fa-f]{1,4}"
 #: What is an entity, by type; the first type that matches at a place wins.
 PATTERNS = {
     "email": f"(?<!{_LOCAL}){_LOCAL}++@[\\p{{L}}\\p{{N}}-]++(?:\\.[\\p{{L}}\\p{{N}}-]++)+",
+    "ipv6": f"(?<![\\p{{L}}\\p{{N}}:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?:(?:{_HEX}:){{1,5}}{_HEX}|[fF][cdCDeE][0-9A-Fa-f]{{2}})::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\\p{{L}}\\p{{N}}:])",
     "ip": "(?<![\\p{L}\\p{N}.])(?:(?:25[0-5]|2[0-4]\\d|1\\d\\d|\\d?\\d)\\.){3}(?:25[0-5]|2[0-4]\\d|1\\d\\d|\\d?\\d)(?![\\p{L}\\p{N}]|\\.\\d)",
-    "ssn": "(?<![\\p{L}\\p{N}-])\\d{3}-\\d{2}-\\d{4}(?![\\p{L}\\p{N}]|-\\d)",
-    "card": "(?<![\\p{L}\\p{N}])(?:\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3})(?![\\p{L}\\p{N}])",
-    "phone": "(?<![\\p{L}\\p{N}+])(?:\\+\\d{1,3}[ .-]?)?(?:\\(\\d{2,4}\\) ?|\\d{2,4}[ .-])\\d{3,4}[ .-]\\d{4}(?![\\p{L}\\p{N}]|[.-]\\d)|(?<![\\p{L}\\p{N}+])\\+\\d{8,15}(?![\\p{L}\\p{N}])",
-    "name": f"(?<![\\p{{L}}\\p{{N}}])(?:{_ADDRESS})\\.? \\p{{Lu}}\\p{{Ll}}+(?: \\p{{Lu}}\\p{{Ll}}+)?(?![\\p{{L}}\\p{{N}}])",
+    "iban": f"{_BARE}[A-Z]{{2}}\\d{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?){_END}",
+    "ssn": f"(?<![\\p{{L}}\\p{{N}}-])(?:\\d{{3}}-\\d{{2}}-\\d{{4}}|\\d{{9}})(?![\\p{{L}}\\p{{N}}]|-\\d)",
+    "card": f"{_BARE}(?:\\d{{13,19}}|\\d{{4}}(?:[ -]\\d{{4}}){{3}}){_END}",
+    "phone": f"(?<![\\p{{L}}\\p{{N}}+])(?:\\+\\d{{1,3}}[ .-]?)?(?:\\(\\d{{2,4}}\\) ?|\\d{{2,4}}[ .-])\\d{{3,4}}[ .-]\\d{{4}}(?![\\p{{L}}\\p{{N}}]|[.-]\\d)|(?<![\\p{{L}}\\p{{N}}+])\\+\\d{{8,15}}{_END}|(?<![\\p{{L}}\\p{{N}}+.-])\\d{{10,12}}(?![\\p{{L}}\\p{{N}}]|[.-]\\d)",
+    "name": f"{_BARE}(?:(?:{_ADDRESS})\\.? (?:{_WORD}(?: {_WORD})?|\\p{{Lo}}+(?: \\p{{Lo}}+)?)|(?=\\p{{Lu}}\\p{{Ll}}+ \\p{{Lu}})(?:{_BY_NAME}) {_WORD}){_END}|[{SURNAMES}]\\p{{IsHan}}{{1,2}}(?:{_AFTER})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: What a text has at least where any of them matches.
+SOME = f"[0-9@]|::|\\p{{Lu}}\\p{{Ll}}+ \\p{{Lu}}|(?:{_ADDRESS})\\.? |{_AFTER}"
 #: Attempts between two looks whether a space of fixed length has room.
 ATTEMPTS = 64
 #: Attempts in the fixed pool or the own length; each later one adds a syllable or letter.
 PLAIN = 4
 
 
-def _may_have(text: Column) -> Column:
-    found = text.rlike("[0-9@]")
-    for t in (t for ts in TITLES.values() for t in ts):
-        found = found | text.contains(t + " ") | text.contains(t + ". ")
-    return found
-
-
 def _kind(m: Column) -> Column:
     out = None
     for kind, p in PATTERNS.items():
@@ -78,7 +110,7 @@ def _digits(x: Column) -> Column:
 def _canonical(kind: Column, m: Column) -> Column:
     d = _digits(m)
     phone = F.when(F.length(d) > 10, F.substring(d, -10, 10)).otherwise(d)
-    return F.when(kind == "email", F.lower(m)).when(kind == "ip", m).when(kind == "phone", phone).when(kind.isin("card", "ssn"), d).otherwise(F.lower(m))
+    return F.when(kind.isin("email", "ipv6"), F.lower(m)).when(kind == "iban", F.upper(F.replace(m, F.lit(" "), F.lit("")))).when(kind == "ip", m).when(kind == "phone", phone).when(kind.isin("card", "ssn"), d).otherwise(F.lower(m))
 
 
 def _segment(kind, text: Column, canon: Column | None = None) -> Column:
@@ -90,27 +122,48 @@ def _segments(text: Column) -> Column:
     """array<struct<kind,text,canon>>: the text in order; kind is null for what stays."""
     found, gaps = F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), F.split(text, ANY, -1)
 
+    def person(title: Column, given: Column, family: Column, between: Column, after: Column, gender: Column, han: bool) -> Column:
+        script = F.lit("")
+        for mark, name in SCRIPTS.items():
+            script = F.when(family.rlike(f"\\p{{Is{name}}}"), mark).otherwise(script)
+        first = _segment(F.concat(F.lit("given_"), gender, script), given, F.lower(F.concat_ws(" ", given, family)))
+        last = _segment(F.concat(F.lit("family"), script), family)
+        named = F.array(last, first, _segment(None, after)) if han else F.array(_segment(None, title), first, _segment(None, between), last)
+        return named if han else F.when(given != "", named).otherwise(F.array(_segment(None, title), last))
+
     def entity(m: Column) -> Column:
         title = F.regexp_extract(m, f"^((?:{_ADDRESS})\\.? )", 1)
+        bare = F.regexp_replace(title, "[. ]", "")
         parts = F.split(F.substring(m, F.length(title) + 1, F.length(m)), " ")
-        script = F.when(F.get(parts, F.lit(0)).rlike("\\p{IsCyrillic}"), "c").otherwise("")
-        gender = F.when(F.regexp_replace(title, "[. ]", "").isin(TITLES["m"]), "m").when(F.regexp_replace(title, "[. ]", "").isin(TITLES["f"]), "f").otherwise("u")
-        family = F.concat(F.lit("family"), script)
-        named = F.when(
-            F.size(parts) == 2,
-            F.array(_segment(None, title), _segment(F.concat(F.lit("given_"), gender, script), F.get(parts, F.lit(0)), F.lower(F.array_join(parts, " "))), _segment(None, F.lit(" ")), _segment(family, F.get(parts, F.lit(1)))),
-        ).otherwise(F.array(_segment(None, title), _segment(family, F.get(parts, F.lit(0)))))
+        two = F.size(parts) == 2
+        given, family = F.when(two, F.get(parts, F.lit(0))).otherwise(""), F.when(two, F.get(parts, F.lit(1))).otherwise(F.get(parts, F.lit(0)))
+        told = F.when(title != "", F.when(bare.isin(TITLES["m"]), "m").when(bare.isin(TITLES["f"]), "f").otherwise("u"))
+        known = lambda g: given.isin([n for k in (GIVEN, KNOWN) for kind, ns in k.items() if kind[0] == g for n in ns])
+        gender = F.coalesce(told, F.when(known("m"), "m").when(known("f"), "f").otherwise("u"))
+        after = F.regexp_extract(m, f"({_AFTER})$", 1)
+        whole = F.substring(m, F.lit(2), F.length(m) - F.length(after) - 1)
+        han = person(F.lit(""), whole, F.substring(m, 1, 1), F.lit(""), after, F.when(after.isin(AFTER["m"]), "m").when(after.isin(AFTER["f"]), "f").otherwise("u"), True)
+        named = F.when((after != "") & (title == ""), han).otherwise(person(title, given, family, F.lit(" "), F.lit(""), gender, False))
         return F.when(_kind(m) == "name", named).otherwise(F.array(_segment(_kind(m), m)))
 
     pairs = F.zip_with(gaps, found, lambda g, m: F.concat(F.array(_segment(None, g)), F.when(m.isNotNull(), entity(m)).otherwise(F.array(_segment(None, F.lit(""))))))
     return F.filter(F.flatten(pairs), lambda s: s["text"] != "")
 
 
-def _pick(pool: list[str], seed: Column, at: int | Column, n: int = 8) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in pool]), (F.conv(F.substring(seed, at, n), 16, 10).cast("long") % len(pool)).cast("int") + 1)
+def _pick(pool: Column, seed: Column, at: int | Column, n: int = 8) -> Column:
+    return F.element_at(pool, F.pmod(F.conv(F.substring(seed, at, n), 16, 10).cast("long"), F.size(pool)).cast("int") + 1)
+
+
+def _table(lists: dict[str, list[str]]) -> Column:
+    """A literal map."""
+    return F.create_map(*[x for k, xs in lists.items() for x in (F.lit(k), F.array(*[F.lit(v) for v in xs]))])
+
 
+def _syllables(pool: Column, seed: Column, many: Column) -> Column:
+    return F.array_join(F.transform(F.sequence(F.lit(0), many - 1), lambda i: _pick(pool, seed, 1 + 8 * i)), "")
 
-def _longer(pool: list[str], seed: Column, attempt: Column) -> Column:
+
+def _longer(pool: Column, seed: Column, attempt: Column) -> Column:
     """Syllables after a name: none in the first PLAIN attempts, then one more in each, up to 32."""
     more = F.sha2(seed, 256)
     each = F.transform(F.sequence(F.lit(0), F.least(attempt - PLAIN, F.lit(31))), lambda i: _pick(pool, more, 2 * i + 1, 2))
@@ -147,24 +200,45 @@ def _card(text: Column, canon: Column, stream: Column) -> Column:
     return F.array_join(spread, "")
 
 
+def _remainder(account: Column) -> Column:
+    """The remainder by 97 of a bank account: its first four signs at the end, letters as 10 to 35."""
+    signs = F.filter(F.split(F.concat(F.substring(account, F.lit(5), F.length(account)), F.substring(account, 1, 4)), ""), lambda c: c != "")
+    return F.aggregate(signs, F.lit(0), lambda r, c: F.when(c.rlike("[0-9]"), (r * 10 + F.ascii(c) - 48) % 97).otherwise((r * 100 + F.ascii(c) - 55) % 97))
+
+
+def _iban(text: Column, canon: Column, stream: Column, letters: Column) -> Column:
+    body = _shaped(F.substring(canon, F.lit(5), F.length(canon)), stream, letters)
+    country = F.substring(canon, 1, 2)
+    check = 98 - _remainder(F.concat(country, F.lit("00"), body))
+    wrong = (check + 1 + F.ascii(F.substring(stream, 40, 1)) % 90) % 97
+    whole = F.concat(country, F.lpad(F.when(_remainder(canon) == 1, check).otherwise(wrong).cast("string"), 2, "0"), body)
+    spread = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c, i: F.when(c == " ", c).otherwise(F.substring(whole, i + 1 - F.length(F.regexp_replace(F.substring(text, F.lit(1), i), "[^ ]", "")), F.lit(1))))
+    return F.array_join(spread, "")
+
+
 def render(kind: Column, text: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The surrogate of an occurrence ``text`` of the entity (kind, canon)."""
     seed = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string")), 256)
     stream = F.translate(seed, "abcdef", "274905")
     letters = F.translate(seed, "0123456789abcdef", "ghjklmnpqrstvwxz")
     domain = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.substring_index(canon, "@", -1)), 256)
-    host = F.concat(F.lit("@"), F.translate(F.substring(domain, 1, 8), "0123456789abcdef", "ghjklmnpqrstvwxz"), F.lit(".example."), _pick(["com", "net", "org"], domain, 9))
+    host = F.concat(F.lit("@"), F.translate(F.substring(domain, 1, 8), "0123456789abcdef", "ghjklmnpqrstvwxz"), F.lit(".example."), _pick(F.array(F.lit("com"), F.lit("net"), F.lit("org")), domain, 9))
     longer = F.when(attempt < PLAIN, "").otherwise(F.substring(F.translate(F.sha2(seed, 256), "0123456789abcdef", "ghjklmnpqrstvwxz"), F.lit(1), attempt - PLAIN + 1))
     email = F.concat(_shaped(F.substring_index(text, "@", 1), stream, letters), longer, host)
     octet = lambda i: (F.conv(F.substring(seed, 1 + 6 * i, 6), 16, 10).cast("long") % 254 + 1).cast("string")
+    signs = F.filter(F.split(text, ""), lambda c: c != "")
+    nibble = lambda i: F.substring(seed, F.pmod(i, F.lit(64)) + 1, F.lit(1))
+    ipv6 = F.array_join(F.transform(signs, lambda c, i: F.when(c == ":", c).when(c.rlike("[A-F]"), F.upper(nibble(i))).otherwise(nibble(i))), "")
     out = F.when(kind == "email", F.when((text == F.upper(text)), F.upper(email)).otherwise(email)).when(kind == "ip", F.concat_ws(".", *[octet(i) for i in range(4)])).when(kind == "card", _card(text, canon, stream))
-    out = out.when(kind == "phone", _shaped(text, stream, letters, 10)).when(kind == "ssn", _shaped(text, stream, letters))
-    for s, pool in SYLLABLES.items():
-        given = F.coalesce(*[F.when(kind == f"given_{g}{s}", _pick(GIVEN[g + s], seed, 1)) for g in "mfu"])
-        out = out.when(kind.isin(*[f"given_{g}{s}" for g in "mfu"]), F.concat(given, _longer(pool, seed, attempt)))
-    for s, pool in SYLLABLES.items():
-        out = out.when(kind == f"family{s}", F.initcap(F.concat(*[_pick(pool, seed, 1 + 8 * i) for i in range(4)], _longer(pool, seed, attempt))))
-    return out
+    out = out.when(kind == "phone", _shaped(text, stream, letters, 10)).when(kind == "ssn", _shaped(text, stream, letters)).when(kind == "ipv6", ipv6).when(kind == "iban", _iban(text, canon, stream, letters))
+    script = F.regexp_replace(kind, "^(given_.|family)", "")
+    pools = {k: v for k, v in GIVEN.items()} | {f"u{s}": GIVEN[f"m{s}"] + GIVEN[f"f{s}"] for s in ("", *SCRIPTS) if f"m{s}" in GIVEN}
+    syllables = F.element_at(_table(SYLLABLES), script)
+    drawn = F.try_element_at(_table(pools), F.substring(kind, 7, 2))
+    given = F.when(drawn.isNull(), F.initcap(_syllables(syllables, seed, F.lit(TWO)))).otherwise(_pick(drawn, seed, 1))
+    many = F.coalesce(*[F.when(script == s, n) for s, n in LENGTH.items()], F.lit(FOUR))
+    family = F.initcap(F.concat(_syllables(syllables, seed, many), _longer(syllables, seed, attempt)))
+    return out.when(kind.startswith("given"), F.concat(given, _longer(syllables, seed, attempt))).otherwise(family)
 
 
 def _space(kind: Column) -> Column:
@@ -228,7 +302,7 @@ def replace(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:
     own = [c for c in docs.columns if c != "n_entities"]
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     given = docs.select(F.struct(*[f"`{c}`" for c in own]).alias("row"), text.alias("text"))
-    has = _may_have(F.col("text")) & F.col("text").rlike(ANY)
+    has = F.col("text").rlike(SOME) & F.col("text").rlike(ANY)
     back = lambda t: [t.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in own]
     rest = given.where(~has).select(*back(F.col("row")[text_col]), F.lit(0).cast("long").alias("n_entities"))
     hits = materialize(given.where(has).select("row", F.sha2("text", 256).alias("blob"), _segments(F.col("text")).alias("segments")), "pii-hits")
