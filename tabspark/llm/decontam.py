@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_LIMIT, WordHash, kept, materialize, mix, release, sum_sketch, text_blocks, text_bytes
+from .common import BROADCAST_LIMIT, WordHash, kept, materialize, mix, near, release, sum_sketch, text_blocks, text_bytes
 
 #: Words of a window.
 WINDOW = 10
@@ -233,7 +233,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW,
     start = F.col("place") - F.col("offset")
     fits = (start >= F.col("first")) & (start + F.col("n") <= F.col("n_words"))
     same = F.array_join(F.transform(F.slice("around", start - F.col("first") + 1, F.col("n")), lambda w: w.cast("string")), " ") == F.col("words")
-    met = places.join(prefixes, ["shingle", "salt"]).where(fits).where(same)
+    met = places.join(near(prefixes), ["shingle", "salt"]).where(fits).where(same)
     found = materialize(met.select("content", start.alias("start"), (start + F.col("n")).alias("stop"), "words").distinct(), "decontam-found")
     release(prefixes)
     # merge the windows of a text, in order, into runs of hit words
@@ -263,4 +263,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, text_c
     """The rows of ``docs`` in which no item window occurs, with their own columns; null texts stay."""
     _, hits = occurrences(docs, benchmark, window=window, text_col=text_col)
     given = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), content(F.col(f"`{text_col}`")).alias("content"))
-    return given.join(hits.select("content"), "content", "left_anti").select("_row.*")
+    return given.join(near(hits, "content"), "content", "left_anti").select("_row.*")

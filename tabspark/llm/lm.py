@@ -38,7 +38,9 @@ from .common import BLOCK_BYTES, LOWER, expand, kept, materialize, mix, squeeze,
 #: Longest n-gram; pseudo-counts of the shorter context, for contexts of one word, two words, ...
 ORDER, MU = 3, (100.0, 10.0)
 #: n-grams of a hash range, about; bits of a hash beyond those that number the n-grams.
-RANGE, SPARE = 2_000_000, 24
+RANGE, SPARE = 2_000_000, 20
+#: Bytes of text of a block: what a task holds of the model is a small multiple.
+BLOCK = BLOCK_BYTES // 2
 #: Partitions of the exchange of questions at most: a task answers its ranges one by one.
 PARTS = 20_000
 #: Lanes from which on texts are read side by side; fewer are read one by one.
@@ -79,10 +81,10 @@ def _blocks(docs: DataFrame) -> DataFrame:
             seq, held, parts = seq + 1, 0, []
             return out
 
-        for part in text_blocks(batches, BLOCK_BYTES):
+        for part in text_blocks(batches, BLOCK):
             parts.append(part)
             held += part.column("text").nbytes
-            if held >= BLOCK_BYTES:
+            if held >= BLOCK:
                 yield block()
         if parts:
             yield block()
@@ -215,7 +217,7 @@ class Automaton:
         self.begin = 1 + grams.words
         base = [None, 1, 2 + grams.words]  # first state of each depth
         for n in range(2, self.order):
-            base.append(base[-1] + len(grams.distinct[n - 1]))
+            base.append(base[-1] + len(grams.where[n - 1]))
         states = base[self.order] if self.order > 1 else 1
         self.fail, self.fail_weight = np.zeros(states, "i4"), np.zeros(states)
         keys, weights, targets = [], [], []
@@ -314,6 +316,7 @@ def _scored(blocks: DataFrame, answers: DataFrame, kind: str, order: int, bits:
         whole = [r for r in table.select(["ids", "train", "lengths", "vocabulary", "sequence"]).to_pylist() if r["sequence"] is not None][0]
         ids = table.column("ids").combine_chunks().flatten()
         grams = Grams(whole["lengths"], whole["vocabulary"], whole["sequence"], order, bits)
+        grams.distinct = None  # only their numbers matter from here on
         gram, which, answer = table.column("gram").to_pylist(), table.column("range").to_pylist(), table.column("answer")
         counts = []
         for n in range(1, order + 1):

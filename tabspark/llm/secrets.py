@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, near
 
 #: Kind, pattern (Java), least characters, group that they count in. In the
 #: order in which kinds are listed; the first three are the base.
@@ -87,7 +87,7 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, *, id_col: str = "doc
     seen = None if ledger is None else ledger.where(F.col("version") == version)
     unseen = keys if seen is None else keys.join(seen.select("blob").distinct(), "blob", "left_anti")
     # the least id stands for a blob: one row for each after map-side aggregation
-    chosen = materialize(unseen.groupBy("blob").agg(F.min("_id").alias("_id")), "blob-chosen")
+    chosen = materialize(unseen.groupBy(F.col("blob").alias("_b")).agg(F.min("_id").alias("_i")), "blob-chosen")
     scanned = find(_texts(given, keys, chosen), "_t")
     # copies with one id give one entry
     entries = materialize(scanned.select("blob", F.lit(version).alias("version"), "spans").dropDuplicates(["blob"]), "blob-ledger")
@@ -99,13 +99,12 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, *, id_col: str = "doc
 
 def _texts(given: DataFrame, keys: DataFrame, chosen: DataFrame) -> DataFrame:
     """One text for each chosen blob (more only where rows repeat with their id)."""
-    named = lambda t: t.select(F.col("blob").alias("_b"), F.col("_id").alias("_i"))
     same = (F.col("blob") == F.col("_b")) & F.col("_id").eqNullSafe(F.col("_i"))
-    pairs = keys.distinct()
-    others = materialize(pairs.join(named(chosen), same, "left_anti"), "blob-others")
+    others = keys.distinct().join(chosen, same, "left_anti").select(F.col("blob").alias("_b"), F.col("_id").alias("_i"))
+    others = materialize(others, "blob-others")
     if others.count() < chosen.count():
-        return given.join(named(others), same, "left_anti").select("blob", "_t")
-    return given.join(named(chosen), same, "left_semi").select("blob", "_t")
+        return given.join(near(others), same, "left_anti").select("blob", "_t")
+    return given.join(near(chosen), same, "left_semi").select("blob", "_t")
 
 
 def _listed(spans: Column) -> Column:
@@ -137,7 +136,7 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, *, id_col: str = "d
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     text = F.col(f"`{text_col}`").cast("string")
     given = docs.select(row, text.alias("_t"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("_blob"))
-    found = given.join(hits, F.col("_blob") == F.col("_b"), "left")
+    found = given.join(near(hits), F.col("_blob") == F.col("_b"), "left")
     pieces = F.aggregate(
         "_spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
