@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import shape_mask, substantive
-from .profile import unpivot
+from .profile import running, unpivot
 
 
 def sided(source: DataFrame, synthetic: DataFrame) -> DataFrame:
@@ -25,9 +25,9 @@ def census(both: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def shares(counted: DataFrame, *by: str) -> DataFrame:
-    """Adds n_src, n_syn, p, q: the sides' totals and shares."""
-    w = Window.partitionBy(*by)
-    out = counted.withColumn("n_src", F.sum("c_src").over(w)).withColumn("n_syn", F.sum("c_syn").over(w))
+    """Adds n_src, n_syn, k, p, q: the sides' totals, the number of rows, and shares. Totals are a row for each ``by``."""
+    totals = counted.groupBy(*by).agg(F.sum("c_src").alias("n_src"), F.sum("c_syn").alias("n_syn"), F.count(F.lit(1)).alias("k"))
+    out = counted.join(F.broadcast(totals), list(by))
     return out.withColumn("p", F.col("c_src") / F.col("n_src")).withColumn("q", F.col("c_syn") / F.col("n_syn"))
 
 
@@ -39,10 +39,8 @@ def frequency_distances(counted: DataFrame, *by: str) -> DataFrame:
     """by..., tvd, jsd (bits), hellinger, cohens_w (over the source support), psi_smoothed of c_src and c_syn."""
     s = shares(counted, *by)
     p, q, m = F.col("p"), F.col("q"), (F.col("p") + F.col("q")) / 2
-    k = F.count(F.lit(1))
     a = (F.col("c_src") + 0.5) / (F.col("n_src") + 0.5 * F.col("k"))
     b = (F.col("c_syn") + 0.5) / (F.col("n_syn") + 0.5 * F.col("k"))
-    s = s.withColumn("k", k.over(Window.partitionBy(*by)))
     r6 = lambda x, name: F.round(x, 6).alias(name)
     return s.groupBy(*by).agg(
         r6(F.sum(F.abs(p - q)) / 2, "tvd"),
@@ -165,25 +163,30 @@ def correlation_summary(deltas: DataFrame) -> DataFrame:
     return deltas.agg(F.round(F.sqrt(F.avg(F.col("pearson_delta") * F.col("pearson_delta"))), 5).alias("corr_rms_delta"), F.round(F.max("pearson_delta"), 6).alias("corr_max_delta"))
 
 
-def midranks(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """``df`` with ``rank``: average rank of ties within ``by``; ranks of distinct values from counts, joined back."""
-    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
-    up = F.sum("_c").over(Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranks = counts.withColumn("rank", up - F.col("_c") + (F.col("_c") + 1) / 2).drop("_c")
-    return df.join(ranks, [*by, value])
+def ranked(counted: DataFrame, value: str, count: str, by: tuple[str, ...]) -> DataFrame:
+    """by..., value, rank: the average rank of a value's rows, from its count and those of the smaller ones."""
+    own = counted.groupBy(*by, value).agg(F.sum(count).alias("_c"))
+    return running(own, value, "_c", by=by).select(*by, value, (F.col("before") + (F.col("_c") + 1) / 2).alias("rank"))
 
 
 def spearman(both: DataFrame, a: str, b: str) -> DataFrame:
-    """side, spearman: Pearson correlation of midranks."""
-    ranked = midranks(both.select("side", F.col(a).alias("_a"), F.col(b).alias("_b")).where("_a IS NOT NULL AND _b IS NOT NULL"), "_a", ["side"]).withColumnRenamed("rank", "_ra")
-    ranked = midranks(ranked, "_b", ["side"])
-    return ranked.groupBy("side").agg(F.round(F.corr("_ra", "rank"), 6).alias("spearman"))
+    """side, spearman: Pearson correlation of midranks, weighted by the counts of the distinct pairs of values."""
+    pairs = both.select("side", F.col(a).alias("_a"), F.col(b).alias("_b")).where("_a IS NOT NULL AND _b IS NOT NULL").groupBy("side", "_a", "_b").agg(F.count(F.lit(1)).alias("c"))
+    x = ranked(pairs, "_a", "c", ("side",)).withColumnRenamed("rank", "x")
+    y = ranked(pairs, "_b", "c", ("side",)).withColumnRenamed("rank", "y")
+    met = pairs.join(x, ["side", "_a"]).join(y, ["side", "_b"])
+    # ranks have the mean (n + 1) / 2: sums of centred products don't lose digits
+    centred = met.join(F.broadcast(pairs.groupBy("side").agg(((F.sum("c") + 1) / 2).alias("m"))), "side").withColumn("x", F.col("x") - F.col("m")).withColumn("y", F.col("y") - F.col("m"))
+    s = lambda v: F.sum(F.col("c") * v)
+    one = centred.groupBy("side").agg(s(F.col("x") * F.col("y")).alias("xy"), s(F.col("x") * F.col("x")).alias("xx"), s(F.col("y") * F.col("y")).alias("yy"))
+    return one.select("side", F.round(F.col("xy") / F.sqrt(F.col("xx") * F.col("yy")), 6).alias("spearman"))
 
 
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
     """One row: chi-square, bias-corrected Cramer's V, mutual information over the smaller entropy."""
     cells = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    t = cells.withColumn("ra", F.sum("c").over(Window.partitionBy("a"))).withColumn("rb", F.sum("c").over(Window.partitionBy("b"))).crossJoin(F.broadcast(cells.agg(F.sum("c").alias("n"), F.countDistinct("a").alias("ka"), F.countDistinct("b").alias("kb"))))
+    margin = lambda x: cells.groupBy(x).agg(F.sum("c").alias(f"r{x}"))
+    t = cells.join(margin("a"), "a").join(margin("b"), "b").crossJoin(F.broadcast(cells.agg(F.sum("c").alias("n"), F.countDistinct("a").alias("ka"), F.countDistinct("b").alias("kb"))))
     p, e = F.col("c") / F.col("n"), F.col("ra") * F.col("rb") / F.col("n")
     pa, pb = F.col("ra") / F.col("n"), F.col("rb") / F.col("n")
     one = t.agg(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashed, unit
-from .profile import running
+from .profile import quantiles, running
 
 
 def categorical(ids: DataFrame, source: DataFrame, column: str, id_col: str, salt: str) -> DataFrame:
@@ -33,7 +33,8 @@ def numeric(ids: DataFrame, grid: DataFrame, column: str, id_col: str, salt: str
 
 def quantile_grid(source: DataFrame, column: str, points: int) -> DataFrame:
     """One row, array ``q``: ``points`` interpolated percentiles."""
-    return source.agg(F.percentile(column, F.array(*[F.lit(i / (points - 1)) for i in range(points)])).alias("q"))
+    q = quantiles(source, column, [i / (points - 1) for i in range(points)])
+    return q.agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "value"))), lambda x: x["value"]).alias("q"))
 
 
 def pooled(ids: DataFrame, pool: Column, column: str, id_col: str, salt: str, null_share: float = 0.0) -> DataFrame:

@@ -27,11 +27,15 @@ def counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def value_mix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """column, entropy (bits), entropy_norm, top1_share of the non-null values."""
+    """column, entropy (bits), entropy_norm, top1_share of the non-null values.
+
+    With counts c of n rows the entropy is log n - sum(c log c) / n: one aggregation more, no
+    row meets the others of its column.
+    """
     by_value = unpivot(df, columns).where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
-    total = by_value.withColumn("p", F.col("c") / F.sum("c").over(Window.partitionBy("column")))
-    out = total.groupBy("column").agg((-F.sum(F.col("p") * F.log2("p"))).alias("h"), F.count(F.lit(1)).alias("k"), F.max("p").alias("top1"))
-    return out.select("column", F.round("h", 6).alias("entropy"), F.when(F.col("k") > 1, F.round(F.col("h") / F.log2(F.col("k").cast("double")), 6)).otherwise(0.0).alias("entropy_norm"), F.round("top1", 6).alias("top1_share"))
+    n = F.sum("c").cast("double")
+    out = by_value.groupBy("column").agg((F.log2(n) - F.sum(F.col("c") * F.log2("c")) / n).alias("h"), F.count(F.lit(1)).alias("k"), (F.max("c") / n).alias("top1"))
+    return out.select("column", F.round(F.abs("h"), 6).alias("entropy"), F.when(F.col("k") > 1, F.round(F.col("h") / F.log2(F.col("k").cast("double")), 6)).otherwise(0.0).alias("entropy_norm"), F.round("top1", 6).alias("top1_share"))
 
 
 def top_values(df: DataFrame, columns: list[str], k: int) -> DataFrame:
@@ -64,24 +68,53 @@ def deciles(df: DataFrame, column: str) -> DataFrame:
     return placed.join(F.broadcast(wanted), (F.col("at") >= F.col("before")) & (F.col("at") < F.col("before") + F.col("c"))).select("i", "value")
 
 
-def running(df: DataFrame, order: str, count: str) -> DataFrame:
-    """``df`` with ``before``: the sum of ``count`` over the rows of smaller ``order``.
+#: Bytes (as the optimizer estimates them) that one task orders in a running total.
+PART = 64 << 20
+
+
+def cuts(df: DataFrame, order: str) -> list:
+    """Values that cut ``df`` into ranges of about PART bytes: none for a small table.
+
+    They come from the values of a hash band, so they are the same whenever they are asked for.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    parts = min(1000, size // PART + 1)
+    if parts < 2:
+        return []
+    band = F.pmod(F.xxhash64(order), F.lit(max(1, size // 16 // (parts * 50)))) == 0
+    found = sorted(r[0] for r in df.where(F.col(order).isNotNull() & band).select(order).distinct().collect())
+    return found[:: max(1, len(found) // parts)][1:]
+
+
+def running(df: DataFrame, order: str, *sums: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with ``before`` (``before_x`` of several): the sum over the rows of smaller ``order`` of the same ``by``.
 
-    Two levels: rows are dealt by ranges and summed within each; totals of the ranges (a row
-    for each partition) are summed up and joined back.
+    Two levels: rows fall into ranges by fixed cuts and are summed within each; totals of the
+    ranges (a row for each) are summed up and joined back.
     """
-    ranged = df.repartitionByRange(order).withColumn("_p", F.spark_partition_id())
-    within = F.sum(count).over(Window.partitionBy("_p").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(count)
-    inner = ranged.withColumn("_w", within)
-    totals = ranged.groupBy("_p").agg(F.sum(count).alias("_t"))
-    offsets = totals.select("_p", (F.sum("_t").over(Window.orderBy("_p")) - F.col("_t")).alias("_before"))
-    return inner.join(F.broadcast(offsets), "_p").withColumn("before", F.col("_w") + F.col("_before")).drop("_p", "_w", "_before")
+    names = ["before"] if len(sums) == 1 else [f"before_{x}" for x in sums]
+    bounds = cuts(df, order)
+    upto = Window.partitionBy(*by, "_p").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranged = df.withColumn("_p", F.size(F.filter(F.array(*[F.lit(x) for x in bounds]), lambda c: c <= F.col(order))) if bounds else F.lit(0))
+    inner = ranged.withColumns({n: F.sum(x).over(upto) - F.col(x) for n, x in zip(names, sums, strict=True)})
+    if not bounds:
+        return inner.drop("_p")
+    totals = ranged.groupBy(*by, "_p").agg(*[F.sum(x).alias(f"_t{i}") for i, x in enumerate(sums)])
+    ranges = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # as many rows as cuts
+    offsets = totals.select(*by, "_p", *[(F.sum(f"_t{i}").over(ranges) - F.col(f"_t{i}")).alias(f"_o{i}") for i in range(len(sums))])
+    met = inner.join(F.broadcast(offsets), [*by, "_p"])
+    return met.select(*df.columns, *[(F.col(n) + F.col(f"_o{i}")).alias(n) for i, n in enumerate(names)])
 
 
 def quantiles(df: DataFrame, column: str, probabilities: list[float]) -> DataFrame:
-    """p, value: interpolated exact percentiles."""
-    values = df.agg(F.percentile(column, F.array(*[F.lit(p) for p in probabilities])).alias("q"))
-    return values.select(F.posexplode("q").alias("at", "value")).select(F.element_at(F.array(*[F.lit(p) for p in probabilities]), F.col("at") + 1).alias("p"), F.round("value", 6).alias("value"))
+    """p, value: interpolated exact percentiles, from counts by distinct value and their running total."""
+    by_value = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("x")).agg(F.count(F.lit(1)).alias("c"))
+    placed, n = running(by_value, "x", "c"), by_value.agg(F.sum("c").alias("n"))
+    at = F.col("p") * (F.col("n") - 1)
+    wanted = n.select(F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p"), "n").select("p", F.floor(at).alias("lo"), F.ceil(at).alias("hi"), (at - F.floor(at)).alias("part"))
+    holds = lambda i: (F.col(i) >= F.col("before")) & (F.col(i) < F.col("before") + F.col("c"))
+    met = placed.join(F.broadcast(wanted), holds("lo") | holds("hi")).groupBy("p", "part").agg(F.min("x").cast("double").alias("a"), F.max("x").cast("double").alias("b"))
+    return met.select("p", F.round(F.col("a") + (F.col("b") - F.col("a")) * F.col("part"), 6).alias("value"))
 
 
 def lengths(df: DataFrame, column: str) -> DataFrame:
@@ -157,11 +190,12 @@ def sketches(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.approx_count_distinct(column, 0.02).alias("distinct_about"), F.percentile_approx(column, [0.25, 0.5, 0.75], 10000).alias("quartiles_about"))
 
 
-def digest(df: DataFrame, buckets: int = 1 << 16) -> DataFrame:
-    """An order-free digest of a table: SHA-256 over bucket digests of its sorted row hashes.
+def digest(df: DataFrame) -> DataFrame:
+    """One row: an order-free digest of a table, SHA-256 over the number of rows and the sums of four parts of their SHA-256.
 
-    Only one hash list of a bucket is ever held; identical rows enter as hash and count.
+    Sums combine map-side, so nothing but one row moves; repeated rows count each.
     """
-    rows = df.select(F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-    by = rows.groupBy(F.substring("h", 1, 4).alias("b")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat_ws(":", "h", F.col("c").cast("string")))), ","), 256).alias("d"))
-    return by.agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat("b", "d"))), ","), 256).alias("digest"))
+    h = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in sorted(df.columns)]), 256)
+    parts = [F.conv(F.substring(h, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    one = df.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(p), F.lit(0).cast("decimal(20,0)")).alias(f"s{i}") for i, p in enumerate(parts)])
+    return one.select("n", F.sha2(F.concat_ws(":", F.col("n").cast("string"), *[F.col(f"s{i}").cast("string") for i in range(4)]), 256).alias("digest"))

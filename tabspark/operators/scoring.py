@@ -108,7 +108,8 @@ def ks_critical(n: Column, m: Column, alpha: float = 0.05) -> Column:
 
 
 def fisher_floor(n: Column, m: Column, z: float = Z) -> Column:
-    return F.tanh(F.lit(z) * F.sqrt(1 / (n - 3) + 1 / (m - 3)))
+    """Noise of a difference of correlations, by Fisher's transform near 0."""
+    return F.lit(z) * F.sqrt(1 / (n - 3) + 1 / (m - 3))
 
 
 def status(value: Column, direction: Column, target: Column, warn: Column, fail: Column, noise: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,17 +43,20 @@ def unique(df: DataFrame, key: list[str], identity: list[str]) -> DataFrame:
 
     One row survives for each digest of the non-identity columns; of those, the least digest
     of each key; of those, the least digest of each identity. NULL counts as the text None.
-    Each step ranks only within one digest or key.
+    Equal rows are counted first and each least row is found by aggregation, so that a
+    frequent row or key takes no task more than its partial results.
     """
     text = lambda cs: F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in cs])
-    rows = df.withColumn("_d", row_digest(df, [c for c in df.columns if c not in identity])).withColumn("_i", text(identity))
-    rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_d").orderBy("_i")))
-    rows = rows.withColumn("_k", text(key)).withColumn("_s1", (F.col("_n") > 1).cast("int"))
-    rows = rows.withColumn("_m", F.row_number().over(Window.partitionBy("_k").orderBy("_s1", "_d", "_i")))
-    rows = rows.withColumn("_s2", F.greatest("_s1", (F.col("_m") > 1).cast("int")))
-    rows = rows.withColumn("_o", F.row_number().over(Window.partitionBy("_i").orderBy("_s2", "_d", "_k")))
-    verdict = F.when(F.col("_s1") == 1, "duplicate.row").when(F.col("_s2") == 1, "duplicate.pk").when(F.col("_o") > 1, "duplicate.identity").otherwise("ok")
-    return rows.select(*df.columns, verdict.alias("verdict"))
+    rows = df.select(F.struct(*df.columns).alias("_row"), row_digest(df, [c for c in df.columns if c not in identity]).alias("_d"), text(identity).alias("_i"), text(key).alias("_k"))
+    rows = rows.groupBy("_d", "_i", "_k").agg(F.first("_row").alias("_row"), F.count(F.lit(1)).alias("_c"))
+    lost, mine = F.lit(0), {"_d": F.struct("_i"), "_k": F.struct("_s", "_d", "_i"), "_i": F.struct("_s", "_d", "_k")}
+    rows = rows.withColumn("_s", lost)
+    for step, (by, order) in enumerate(mine.items(), 1):
+        first = rows.groupBy(by).agg(F.min(order).alias("_first"))
+        rows = rows.join(first, by).withColumn("_s", F.when((F.col("_s") == 0) & (order != F.col("_first")), step).otherwise(F.col("_s"))).drop("_first")
+    verdict = F.element_at(F.array(*[F.lit(x) for x in ("ok", "duplicate.row", "duplicate.pk", "duplicate.identity")]), F.col("_s") + 1)
+    each = rows.select("_row", verdict.alias("_v"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))).alias("_n"))
+    return each.select("_row.*", F.when(F.col("_n") > 1, "duplicate.row").otherwise(F.col("_v")).alias("verdict"))
 
 
 def unique_counts(df: DataFrame, key: list[str], identity: list[str]) -> DataFrame:
@@ -82,9 +85,15 @@ def weighted_rules(letters: DataFrame, weights: dict[str, Column] | None = None)
     return letters.groupBy("rule").agg(F.sum(w).cast("long").alias("weight"))
 
 
-def run_summary(rule_weights: DataFrame, valid: int | Column, excluded: list[str], budget: float) -> DataFrame:
-    """One row: blockers, total, ratio, status. Excluded rules leave both sides of the ratio."""
-    kept = rule_weights.where(~F.col("rule").isin(excluded)) if excluded else rule_weights
-    one = kept.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("blockers"))
-    total = F.col("blockers") + valid
+def run_summary(ruled: DataFrame, weights: dict[str, Column], excluded: list[str], budget: float) -> DataFrame:
+    """One row: blockers, total, ratio, status, of rows with their first broken ``rule`` (null: valid).
+
+    Excluded rules leave both sides of the ratio. One aggregation over the rows.
+    """
+    w = F.lit(1)
+    for rule, value in weights.items():
+        w = F.when(F.col("rule") == rule, value).otherwise(w)
+    blocks = F.col("rule").isNotNull() & ~F.col("rule").isin(excluded)
+    one = ruled.agg(F.coalesce(F.sum(F.when(blocks, w)), F.lit(0)).cast("long").alias("blockers"), F.count_if(F.col("rule").isNull()).alias("valid"))
+    total = F.col("blockers") + F.col("valid")
     return one.select("blockers", total.alias("total"), F.round(F.col("blockers") / total, 6).alias("ratio"), F.when(F.col("blockers") / total > budget, "FAILED").otherwise("PASSED").alias("status"))

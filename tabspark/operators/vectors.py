@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .profile import running
+
 
 def inner_product(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -41,20 +43,41 @@ def hashing_counts(df: DataFrame, id_col: str, text_col: str, dims: int, salt: s
     return counted.select("id", bucket.alias("bucket"), (sign * F.col("c")).alias("w")).groupBy("id", "bucket").agg(F.sum("w").alias("weight")).where("weight <> 0")
 
 
+def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
+    """score, p, n and how many positives and negatives have smaller scores: a row for each distinct score."""
+    by = df.groupBy(F.col(score).alias("score")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
+    return running(by, "score", "p", "n")
+
+
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """One row: area under the ROC curve by midranks, from counts by distinct score."""
-    by = df.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    below = F.sum("n").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-    return by.withColumn("b", below).agg(F.round(F.sum(F.col("p") * (F.col("b") + F.col("n") / 2)) / (F.sum("p") * F.sum("n")), 6).alias("auc"))
+    by = _by_score(df, score, label)
+    return by.agg(F.round(F.sum(F.col("p") * (F.col("before_n") + F.col("n") / 2)) / (F.sum("p") * F.sum("n")), 6).alias("auc"))
+
+
+def delong(df: DataFrame, score: str, label: str, z: float = 1.959964) -> DataFrame:
+    """One row: auc and its DeLong interval, clipped to [0, 1], from counts by distinct score.
+
+    The placement of a positive is the share of negatives below it (ties half), that of a
+    negative the share of positives above it; the variance is that of both means.
+    """
+    by = _by_score(df, score, label)
+    t = by.agg(F.sum("p").alias("tp"), F.sum("n").alias("tn"))
+    v = by.crossJoin(F.broadcast(t)).select("p", "n", "tp", "tn", ((F.col("before_n") + F.col("n") / 2) / F.col("tn")).alias("v10"), ((F.col("tp") - F.col("before_p") - F.col("p") / 2) / F.col("tp")).alias("v01"))
+    s = lambda c, x: F.sum(F.col(c) * x)
+    one = v.agg(F.max("tp").alias("tp"), F.max("tn").alias("tn"), s("p", F.col("v10")).alias("a"), s("p", F.col("v10") * F.col("v10")).alias("aa"), s("n", F.col("v01")).alias("b"), s("n", F.col("v01") * F.col("v01")).alias("bb"))
+    mean = F.col("a") / F.col("tp")
+    spread = lambda x, xx, n: (F.col(xx) - F.col(x) * F.col(x) / F.col(n)) / (F.col(n) - 1) / F.col(n)
+    half = z * F.sqrt(F.greatest(F.lit(0.0), spread("a", "aa", "tp") + spread("b", "bb", "tn")))
+    return one.select(F.round(mean, 6).alias("auc"), F.round(F.greatest(F.lit(0.0), mean - half), 6).alias("ci_low"), F.round(F.least(F.lit(1.0), mean + half), 6).alias("ci_high"))
 
 
 def roc(df: DataFrame, score: str, label: str) -> DataFrame:
     """score, fpr, tpr: one vertex for each distinct score, from the highest down."""
-    by = df.groupBy(F.col(score).alias("score")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    w = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by = _by_score(df, score, label)
     t = by.agg(F.sum("p").alias("tp"), F.sum("n").alias("tn"))
-    up = by.select("score", F.sum("p").over(w).alias("a"), F.sum("n").over(w).alias("b"))
-    return up.crossJoin(F.broadcast(t)).select("score", F.round(F.col("b") / F.col("tn"), 6).alias("fpr"), F.round(F.col("a") / F.col("tp"), 6).alias("tpr"))
+    above = lambda total, before: F.round((F.col(total) - F.col(before)) / F.col(total), 6)
+    return by.crossJoin(F.broadcast(t)).select("score", above("tn", "before_n").alias("fpr"), above("tp", "before_p").alias("tpr"))
 
 
 def gower_nearest(queries: DataFrame, reference: DataFrame, numeric: dict[str, float], categorical: list[str], id_col: str) -> DataFrame:

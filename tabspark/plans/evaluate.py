@@ -45,9 +45,8 @@ def metrics(source: DataFrame, synthetic: DataFrame, spec: TableSpec, edges: int
     if spec.numeric:
         parts.append(_melt(C.moment_deltas(both, spec.numeric), F.col("column"), {"column.smd": "smd", "column.std_ratio": "std_ratio", "column.range_coverage": "range_coverage", "field.range_adherence": "range_adherence"}))
         # one planning scan gives the interior edges of all columns: a few numbers for each
-        grid = source.agg(*[F.percentile(c, F.array(*[F.lit(i / edges) for i in range(1, edges)])).alias(c) for c in spec.numeric]).first()
         for c in spec.numeric:
-            cut = sorted(set(grid[c] or [0.0]))
+            cut = sorted({r.value for r in P.quantiles(source, c, [i / edges for i in range(1, edges)]).collect() if r.value is not None}) or [0.0]
             parts.append(_melt(C.binned_distances(C.binned(both, F.col(c).cast("double"), cut), cut), F.lit(c), {"column.ks": "ks", "column.pit_w1": "pit_w1", "column.psi": "psi", "column.wasserstein": "w1"}))
         pairs = [(a, b) for i, a in enumerate(spec.numeric) for b in spec.numeric[i + 1 :]]
         if pairs:

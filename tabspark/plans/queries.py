@@ -114,7 +114,8 @@ add("column_kinds", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CASE WHEN c
 add("key_report", "SELECT sum(c)::bigint AS n_rows, count(*) AS n_keys, max(c) AS max_repeat FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)")(lambda t: P.key_report(t.lineitem, ["l_orderkey", "l_linenumber"]))
 add("frequency_of_frequencies", "SELECT multiplicity, count(*) AS records FROM (SELECT count(*) AS multiplicity FROM lineitem GROUP BY l_partkey, l_suppkey) GROUP BY 1")(lambda t: M.frequency_of_frequencies(t.lineitem, ["l_partkey", "l_suppkey"]))
 add("sketches", None)(lambda t: P.sketches(t.lineitem, "l_extendedprice"))
-add("table_digest", None)(lambda t: P.digest(t.nation))
+_row = "sha256(concat_ws('|', " + ", ".join(f"coalesce({c}::varchar, '\\N')" for c in sorted(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"])) + "))"
+add("table_digest", "SELECT count(*) AS n, sha256(concat_ws(':', count(*)::varchar, " + ", ".join(f"sum(('0x' || substr(h, {1 + 15 * i}, 15))::bigint)::varchar" for i in range(4)) + f")) AS digest FROM (SELECT {_row} AS h FROM lineitem)")(lambda t: P.digest(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")))
 
 # ---- two-sided distances -----------------------------------------------------------------
 
@@ -188,7 +189,7 @@ def _ruled(t: Tables) -> DataFrame:
 RULED = f"(SELECT p.*, CASE WHEN o_orderkey IS NULL THEN 'pk.null' WHEN o_orderstatus = '' THEN 'schema.blank' WHEN o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = p.o_custkey) THEN 'fk.orphan' WHEN o_totalprice > 400000 THEN 'range.price' END AS rule FROM {PLANTED} p)"
 add("record_rules", f"SELECT rule, count(*) AS n FROM {RULED} WHERE rule IS NOT NULL GROUP BY rule")(lambda t: _ruled(t).where("rule IS NOT NULL").groupBy("rule").agg(F.count(F.lit(1)).alias("n")))
 add("run_summary", f"WITH w AS (SELECT sum(CASE WHEN rule = 'fk.orphan' THEN 3 ELSE 1 END) FILTER (WHERE rule IS NOT NULL AND rule <> 'range.price') AS b, count(*) FILTER (WHERE rule IS NULL) AS v FROM {RULED}) SELECT b::bigint AS blockers, (b + v)::bigint AS total, round(b / (b + v), 6) AS ratio, CASE WHEN b / (b + v) > 0.05 THEN 'FAILED' ELSE 'PASSED' END AS status FROM w")(
-    lambda t: V.run_summary(V.weighted_rules(_ruled(t).where("rule IS NOT NULL").select("rule"), {"fk.orphan": F.lit(3)}).crossJoin(F.broadcast(_ruled(t).agg(F.count_if(F.col("rule").isNull()).alias("valid")))), F.coalesce(F.lit(None).cast("long"), F.lit(_ruled(t).where("rule IS NULL").count())), ["range.price"], 0.05)
+    lambda t: V.run_summary(_ruled(t), {"fk.orphan": F.lit(3)}, ["range.price"], 0.05)
 )
 add("dead_letters", f"SELECT rule, count(*) AS n, count(DISTINCT o_orderkey) AS n_payloads FROM {RULED} WHERE rule IS NOT NULL GROUP BY rule")(lambda t: V.dead_letters(_ruled(t)).groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.get_json_object("payload", "$.o_orderkey")).alias("n_payloads")))
 UNI = ["o_custkey", "o_orderstatus", "o_orderpriority", "o_orderkey"]
@@ -209,7 +210,7 @@ def _counted(t: Tables) -> DataFrame:
 
 
 add("wilson_intervals", f"SELECT o_orderpriority, round({_wl.format(k='k', n='n', z=_z, s='-')}, 6) AS low, round({_wl.format(k='k', n='n', z=_z, s='+')}, 6) AS high FROM ({_W})")(lambda t: _counted(t).select("o_orderpriority", F.round(K.wilson(F.col("k"), F.col("n"))[0], 6).alias("low"), F.round(K.wilson(F.col("k"), F.col("n"))[1], 6).alias("high")))
-add("noise_floors", f"SELECT o_orderpriority, round(sqrt(ln(40.0) / (2 * n)), 6) AS dkw, round(sqrt(-ln(0.025) / 2) * sqrt((n + 500) / (n * 500)), 6) AS ks, round(tanh({_z} * sqrt(1 / (n - 3) + 1 / 497.0::double)), 6) AS fisher FROM ({_W})")(lambda t: _counted(t).select("o_orderpriority", F.round(K.dkw(F.col("n")), 6).alias("dkw"), F.round(K.ks_critical(F.col("n"), F.lit(500.0)), 6).alias("ks"), F.round(K.fisher_floor(F.col("n"), F.lit(500.0)), 6).alias("fisher")))
+add("noise_floors", f"SELECT o_orderpriority, round(sqrt(ln(40.0) / (2 * n)), 6) AS dkw, round(sqrt(-ln(0.025) / 2) * sqrt((n + 500) / (n * 500)), 6) AS ks, round({_z} * sqrt(1 / (n - 3) + 1 / 497.0::double), 6) AS fisher FROM ({_W})")(lambda t: _counted(t).select("o_orderpriority", F.round(K.dkw(F.col("n")), 6).alias("dkw"), F.round(K.ks_critical(F.col("n"), F.lit(500.0)), 6).alias("ks"), F.round(K.fisher_floor(F.col("n"), F.lit(500.0)), 6).alias("fisher")))
 METRICS = [("column.ks", "orders", "o_totalprice", 0.15, 0.2), ("column.tvd", "orders", "o_orderstatus", 0.15, 0.01), ("column.std_ratio", "orders", "o_totalprice", 1.3, 0.0), ("relationship.orphan_rate", "orders", "customer", 0.01, 0.5), ("row.exact_match_rate", "orders", "*", 0.0, 0.0), ("column.wasserstein", "orders", "o_totalprice", 9.0, 0.0), ("row.coverage", "customer", "*", 0.75, 0.0), ("column.psi", "customer", "c_acctbal", None, 0.0)]
 _mv = "(VALUES " + ", ".join(f"('{m}', '{tb}', '{u}', {'NULL' if v is None else f'{v}::double'}, {n}::double)" for m, tb, u, v, n in METRICS) + ") AS m(metric_id, table_name, unit, value, noise)"
 _cv = "(VALUES " + ", ".join(f"('{m}', '{f}', '{d}', {t}::double, {'NULL' if w is None else f'{w}::double'}, {'NULL' if x is None else f'{x}::double'})" for m, f, d, t, w, x in K.CATALOGUE) + ") AS c(metric_id, family, direction, target, warn, fail)"
@@ -229,8 +230,8 @@ add("metric_scores", f"SELECT metric_id, table_name, unit, status, score FROM {S
 add("score_rollup", f"WITH u AS (SELECT table_name, family, unit, avg(score) AS s FROM {SCORED} WHERE score IS NOT NULL GROUP BY ALL), f AS (SELECT table_name, family, avg(s) AS s FROM u GROUP BY ALL), t AS (SELECT table_name, avg(s) AS s FROM f GROUP BY ALL) SELECT 'family' AS level, table_name, family, round(s, 6) AS score FROM f UNION ALL SELECT 'table', table_name, NULL, round(s, 6) FROM t UNION ALL SELECT 'model', NULL, NULL, round(avg(s), 6) FROM t")(lambda t: K.rollup(_scored(t)))
 add("headline_counts", f"SELECT status, count(*) AS n FROM {SCORED} GROUP BY status")(lambda t: K.headline(_scored(t)))
 add("metric_catalogue", f"SELECT * FROM {_cv}")(lambda t: K.catalogue(t.spark))
-add("compare_runs", "WITH a AS (SELECT o_custkey AS k, NULLIF(o_orderstatus, 'F') AS s, round(sum(o_totalprice), 2) AS value FROM orders WHERE o_orderkey % 2 = 0 GROUP BY ALL), b AS (SELECT o_custkey AS k, NULLIF(o_orderstatus, 'F') AS s, round(sum(o_totalprice), 2) AS value FROM orders WHERE o_orderkey % 3 = 0 GROUP BY ALL) SELECT coalesce(a.k, b.k) AS k, coalesce(a.s, b.s) AS s, a.value AS value_a, b.value AS value_b, round(b.value - a.value, 2) AS delta, CASE WHEN a.value IS NULL THEN 'added' WHEN b.value IS NULL THEN 'removed' WHEN a.value = b.value THEN 'same' ELSE 'changed' END AS change FROM a FULL OUTER JOIN b ON a.k IS NOT DISTINCT FROM b.k AND a.s IS NOT DISTINCT FROM b.s")(
-    lambda t: K.compare_runs(*[t.orders.where(f"o_orderkey % {m} = 0").groupBy(F.col("o_custkey").alias("k"), F.expr("nullif(o_orderstatus, 'F')").alias("s")).agg(F.round(F.sum("o_totalprice"), 2).alias("value")) for m in (2, 3)], ["k", "s"]).withColumn("delta", F.round("delta", 2))
+add("compare_runs", "WITH a AS (SELECT o_custkey AS k, NULLIF(o_orderstatus, 'F') AS s, round(sum(o_totalprice), 2) AS value FROM orders WHERE o_orderkey % 2 = 0 GROUP BY ALL), b AS (SELECT o_custkey AS k, NULLIF(o_orderstatus, 'F') AS s, round(sum(o_totalprice), 2) AS value FROM orders WHERE o_orderkey % 2 = 1 OR o_orderkey % 3 = 0 GROUP BY ALL) SELECT coalesce(a.k, b.k) AS k, coalesce(a.s, b.s) AS s, a.value AS value_a, b.value AS value_b, round(b.value - a.value, 2) AS delta, CASE WHEN a.value IS NULL THEN 'added' WHEN b.value IS NULL THEN 'removed' WHEN a.value = b.value THEN 'same' ELSE 'changed' END AS change FROM a FULL OUTER JOIN b ON a.k IS NOT DISTINCT FROM b.k AND a.s IS NOT DISTINCT FROM b.s")(
+    lambda t: K.compare_runs(*[t.orders.where(m).groupBy(F.col("o_custkey").alias("k"), F.expr("nullif(o_orderstatus, 'F')").alias("s")).agg(F.round(F.sum("o_totalprice"), 2).alias("value")) for m in ("o_orderkey % 2 = 0", "o_orderkey % 2 = 1 OR o_orderkey % 3 = 0")], ["k", "s"]).withColumn("delta", F.round("delta", 2))
 )
 
 # ---- generation --------------------------------------------------------------------------
@@ -289,7 +290,7 @@ def _points(t: Tables, s: int) -> DataFrame:
 
 add("density_coverage", f"WITH r AS {_pan.format(s=0)}, s AS {_pan.format(s=1)}, d AS (SELECT a.id, a.x, a.y, b.id AS j, round((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y), 8) AS d FROM r a JOIN r b ON a.id <> b.id), k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, j) AS n FROM d) WHERE n = 5), m AS (SELECT k.id, count(*) AS c FROM k JOIN s ON round((s.x - k.x) * (s.x - k.x) + (s.y - k.y) * (s.y - k.y), 8) <= k.d GROUP BY k.id) SELECT round(coalesce(sum(c), 0) / (5 * (SELECT count(*) FROM s)), 6) AS density, round(count(*) / (SELECT count(*) FROM r), 6) AS coverage FROM m")(lambda t: Y.density_coverage(_points(t, 0), _points(t, 1), ["x", "y"], 5, id_col="id"))
 add("rarefied_duplicates", "WITH f AS (SELECT k, count(*) AS r FROM (SELECT count(*) AS k FROM lineitem GROUP BY l_partkey) GROUP BY k), n AS (SELECT sum(k * r)::double AS n FROM f) SELECT round(1 - sum(r * (1 - CASE WHEN n - k < 3000 THEN 0 ELSE exp(lgamma(n - k + 1) + lgamma(n - 3000 + 1) - lgamma(n - k - 3000 + 1) - lgamma(n + 1)) END)) / 3000, 6) AS duplicate_share FROM f, n")(lambda t: Y.rarefied_duplicates(M.frequency_of_frequencies(t.lineitem, ["l_partkey"]), 3000))
-add("matched_size", f"WITH b AS (SELECT 0 AS side, o_orderkey FROM orders WHERE o_orderkey % 4 = 0 UNION ALL SELECT 1, o_orderkey FROM orders WHERE o_orderkey % 4 > 1), r AS (SELECT side, (SELECT min(c) FROM (SELECT count(*) AS c FROM b GROUP BY side)) / count(*) AS p FROM b GROUP BY side) SELECT side, count(*) AS n, sum(o_orderkey)::bigint AS keys FROM b JOIN r USING (side) WHERE {U.format(salt='m', key='o_orderkey')} < p GROUP BY side")(lambda t: Y.matched(C.sided(t.orders.where("o_orderkey % 4 = 0"), t.orders.where("o_orderkey % 4 > 1")), F.col("o_orderkey"), "m").groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys")))
+add("matched_size", f"WITH b AS (SELECT 0 AS side, o_orderkey FROM orders WHERE o_orderkey % 4 = 0 UNION ALL SELECT 1, o_orderkey FROM orders WHERE o_orderkey % 4 <> 0), r AS (SELECT side, (SELECT min(c) FROM (SELECT count(*) AS c FROM b GROUP BY side)) / count(*) AS p FROM b GROUP BY side) SELECT side, count(*) AS n, sum(o_orderkey)::bigint AS keys FROM b JOIN r USING (side) WHERE {U.format(salt='m', key='o_orderkey')} < p GROUP BY side")(lambda t: Y.matched(C.sided(t.orders.where("o_orderkey % 4 = 0"), t.orders.where("o_orderkey % 4 <> 0")), F.col("o_orderkey"), "m").groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys")))
 add("row_flags", f"SELECT status, o_orderkey, rank FROM (SELECT *, row_number() OVER (PARTITION BY status ORDER BY o_totalprice, o_orderkey) AS rank FROM (SELECT DISTINCT o_orderstatus AS status, o_orderkey, o_totalprice FROM {PLANTED})) WHERE rank <= 5")(lambda t: Y.row_flags(t.planted().select(F.col("o_orderstatus").alias("status"), "o_orderkey", "o_totalprice"), "status", "o_orderkey", "o_totalprice", 5).select("status", "o_orderkey", F.col("rank").cast("long").alias("rank")))
 add("length_ks", "WITH l AS (SELECT length(p_name) AS len, count(*) FILTER (WHERE p_partkey % 2 = 0) AS a, count(*) FILTER (WHERE p_partkey % 2 = 1) AS b FROM part GROUP BY 1) SELECT round(max(d), 6) AS length_ks FROM (SELECT abs(sum(a) OVER (ORDER BY len) / sum(a) OVER () - sum(b) OVER (ORDER BY len) / sum(b) OVER ()) AS d FROM l WHERE len <= 64)")(lambda t: C.binned_distances(C.binned(t.both("part", "p_partkey"), F.length("p_name").cast("double"), [float(i) for i in range(1, 65)]), [float(i) for i in range(1, 65)]).select(F.col("ks").alias("length_ks")))
 _npt = "SELECT CASE WHEN nullif(o_orderstatus, 'F') IS NULL THEN '1' ELSE '0' END || CASE WHEN nullif(o_orderpriority, '5-LOW') IS NULL THEN '1' ELSE '0' END AS value, o_orderkey % 2 AS s FROM orders"
