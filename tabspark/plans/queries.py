@@ -270,12 +270,8 @@ add("gower_nearest", _g2.format(g=_gow.format(n=70, o=0)))(lambda t: _gower(t, "
 add("dcr_share", f"WITH r AS ({_g2.format(g=_gow.format(n=70, o=0))}), h AS ({_g2.format(g=_gow.format(n=70, o=70))}) SELECT round(avg(CASE WHEN r.d1 < h.d1 THEN 1.0 WHEN r.d1 = h.d1 THEN 0.5 ELSE 0.0 END), 6) AS dcr_share, round(avg(CASE WHEN r.d2 > 0 THEN r.d1 / r.d2 ELSE 1.0 END), 5) AS nndr_mean FROM r JOIN h USING (id)")(lambda t: X.nearest_summary(_gower(t, "R"), _gower(t, "H")))
 add("rag_chunks", "SELECT md5(i || '|' || kind) AS chunk_id, kind, text FROM (SELECT p_partkey::varchar AS i, 'row_doc' AS kind, 'p_brand is ' || p_brand || ', p_size is ' || p_size::varchar AS text FROM part UNION ALL SELECT p_partkey::varchar, 'free_text:p_name', p_name FROM part WHERE p_name IS NOT NULL)")(lambda t: X.chunks(t.part, "p_partkey", ["p_name"], ["p_brand", "p_size"]))
 
-# ---- named read-only queries over registry-like views ----------------------------------------
+# ---- streams ---------------------------------------------------------------------------------
 
-add("service_dlq_summary", f"SELECT rule, o_orderpriority, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM {RULED} WHERE rule IS NOT NULL GROUP BY ALL")(lambda t: _ruled(t).where("rule IS NOT NULL").groupBy("rule", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key")))
-add("service_sets", "SELECT user_id, count(DISTINCT CASE WHEN event_type = 'error' THEN (props->>'$.k') END) AS n_error_keys, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS kinds, max(event_id) AS last_event FROM events GROUP BY user_id")(lambda t: t.events.groupBy("user_id").agg(F.countDistinct(F.when(F.col("event_type") == "error", F.get_json_object("props", "$.k"))).alias("n_error_keys"), F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("kinds"), F.max("event_id").alias("last_event")))
-add("service_trend", "WITH l AS (SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id) SELECT e.user_id, e.event_id, e.event_type, round(e.value, 4) AS value FROM events e JOIN l USING (user_id, event_id)")(lambda t: t.events.groupBy("user_id").agg(F.max("event_id").alias("event_id")).join(t.events, ["user_id", "event_id"]).select("user_id", "event_id", "event_type", F.round("value", 4).alias("value")))
-add("service_pools", "SELECT n_nationkey, coalesce(c.n, 0) AS customers, s.least AS least_balance FROM nation LEFT JOIN (SELECT c_nationkey AS n_nationkey, count(*) AS n FROM customer GROUP BY 1) c USING (n_nationkey) LEFT JOIN (SELECT s_nationkey AS n_nationkey, min(s_acctbal) AS least FROM supplier GROUP BY 1) s USING (n_nationkey)")(lambda t: t.nation.select("n_nationkey").join(t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("customers")), "n_nationkey", "left").join(t.supplier.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.min("s_acctbal").alias("least_balance")), "n_nationkey", "left").select("n_nationkey", F.coalesce("customers", F.lit(0)).alias("customers"), "least_balance"))
 add("streaming_windows", "SELECT epoch_us(time_bucket(INTERVAL '1 hour', ts)) AS start_us, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")(lambda t: E.batch(t.events, "1 hour"))
 
 # ---- privacy, detection, whole runs ------------------------------------------------------------

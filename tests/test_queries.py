@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from tabspark.plans.queries import ORACLES, QUERIES
+from tabspark.plans import ORACLES, QUERIES
 
 from .oracle import connect, differences
 
