@@ -6,6 +6,8 @@ closed forms then run on the few aggregated rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,10 +88,10 @@ def rates(both: DataFrame, column: str) -> DataFrame:
     return by.agg(*[F.round(F.abs(side(x, 1) - side(x, 0)), 6).alias(f"{x}_rate_delta") for x in ("null", "empty", "zero")])
 
 
-def binned(both: DataFrame, value: Column, edges: list[float]) -> DataFrame:
-    """bin, c_src, c_syn for (-inf, e0], (e0, e1], ..., (ek, inf); every bin has a row."""
+def binned(both: DataFrame, value: Column, edges: list[float], left: bool = False) -> DataFrame:
+    """bin, c_src, c_syn for (-inf, e0], (e0, e1], ..., (ek, inf), or closed on the ``left``; every bin has a row."""
     array = F.array(*[F.lit(float(e)) for e in edges])
-    at = F.size(F.filter(array, lambda e: e < value)).cast("long")
+    at = F.size(F.filter(array, lambda e: (e <= value) if left else (e < value))).cast("long")
     got = both.where(value.isNotNull()).groupBy(at.alias("bin")).agg(F.count_if(F.col("side") == 0).alias("c_src"), F.count_if(F.col("side") == 1).alias("c_syn"))
     bins = both.sparkSession.range(len(edges) + 1).withColumnRenamed("id", "bin")
     return bins.join(F.broadcast(got), "bin", "left").select("bin", F.coalesce("c_src", F.lit(0)).alias("c_src"), F.coalesce("c_syn", F.lit(0)).alias("c_syn"))
@@ -237,3 +239,98 @@ def publishable(df: DataFrame, column: str, least: int) -> DataFrame:
     by = df.groupBy(F.col(column).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("c"))
     rare = by.where(F.col("c") < least).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n")).select(F.lit("<rare>").alias("value"), "n")
     return by.where(F.col("c") >= least).select(F.col("v").alias("value"), F.col("c").alias("n")).union(rare)
+
+
+def tail_masses(counted: DataFrame, edges: list[float]) -> DataFrame:
+    """One row: the shares of each side below the first edge and above the last."""
+    share = lambda c, cond: F.round(F.sum(F.when(cond, F.col(c)).otherwise(0)) / F.sum(c), 6)
+    low, high = F.col("bin") == 0, F.col("bin") == len(edges)
+    return counted.agg(share("c_src", low).alias("below_source"), share("c_src", high).alias("above_source"), share("c_syn", low).alias("below_synthetic"), share("c_syn", high).alias("above_synthetic"))
+
+
+def quantiles_from_bins(counted: DataFrame, count: str, edges: list[float], probabilities: list[float]) -> DataFrame:
+    """p, value: quantiles by linear interpolation of the distribution function at the edges, flat outside them."""
+    up = F.sum(count).over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow))  # as many rows as bins
+    at = counted.withColumn("f", up / F.lit(counted.agg(F.sum(count)).first()[0])).where(F.col("bin") < len(edges))
+    x = F.get(F.array(*[F.lit(float(e)) for e in edges]), F.col("bin").cast("int"))
+    points = at.select("f", x.alias("x")).agg(F.sort_array(F.collect_list(F.struct("x", "f"))).alias("g"))  # a few edges
+    wanted = points.select(F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p"), "g")
+    below = F.filter("g", lambda e: e["f"] <= F.col("p"))
+    lo, hi = F.get(below, F.size(below) - 1), F.get("g", F.size(below))
+    inside = lo["x"] + (hi["x"] - lo["x"]) * (F.col("p") - lo["f"]) / (hi["f"] - lo["f"])
+    return wanted.select("p", F.round(F.when(F.size(below) == 0, F.get("g", F.lit(0))["x"]).when(F.size(below) == F.size("g"), F.element_at("g", -1)["x"]).otherwise(inside), 6).alias("value"))
+
+
+def chao_shen(counted: DataFrame, count: str, *by: str) -> DataFrame:
+    """by..., entropy in bits with coverage-adjusted shares and inclusion weights, from counts by value.
+
+    The chance that a value is seen, 1 - (1 - p) ** n, is taken by expm1 and log1p: it doesn't
+    vanish however small p is.
+    """
+    c = F.col(count)
+    totals = counted.where(c > 0).groupBy(*by).agg(F.sum(c).cast("double").alias("_n"), F.count_if(c == 1).cast("double").alias("_f"))
+    cover = 1 - F.when(F.col("_f") < F.col("_n"), F.col("_f")).otherwise(F.col("_n") - 1) / F.col("_n")
+    p = cover * c / F.col("_n")
+    term = F.when(p < 1, -p * F.log2(p) / -F.expm1(F.col("_n") * F.log1p(-p))).otherwise(0.0)
+    return counted.where(c > 0).join(F.broadcast(totals), list(by)).groupBy(*by).agg(F.round(F.sum(term), 6).alias("chao_shen"))
+
+
+def chance_floors(counted: DataFrame, *by: str) -> DataFrame:
+    """by..., tvd_floor, jsd_floor: what two samples of the sides' sizes from the source distribution differ by on average."""
+    s = shares(counted, *by)
+    r = 1 / F.col("n_src") + 1 / F.col("n_syn")
+    return s.groupBy(*by).agg(F.round(F.sum(F.sqrt(2 * F.col("p") * (1 - F.col("p")) * r / math.pi)) / 2, 6).alias("tvd_floor"), F.round(F.max((F.col("k") - 1) * r) / (8 * math.log(2.0)), 6).alias("jsd_floor"))
+
+
+def power_sums(df: DataFrame, column: str, *by: str) -> DataFrame:
+    """by..., n, mean, m2, m3, m4: central sums, which :func:`merge_moments` adds up."""
+    x = F.col(column).cast("double")
+    means = df.where(x.isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"))
+    d = df.where(x.isNotNull()).join(F.broadcast(means), list(by)) if by else df.where(x.isNotNull()).crossJoin(F.broadcast(means))
+    e = x - F.col("mean")
+    return d.groupBy(*by, "n", "mean").agg(*[F.sum(F.pow(e, F.lit(float(k)))).alias(f"m{k}") for k in (2, 3, 4)])
+
+
+def merge_moments(parts: DataFrame, *by: str) -> DataFrame:
+    """by..., n, mean, variance, skewness, kurtosis (population) of the union of parts, from their central sums alone."""
+    whole = parts.groupBy(*by).agg(F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_mean"))
+    met = parts.join(F.broadcast(whole), list(by)) if by else parts.crossJoin(F.broadcast(whole))
+    n, d = F.col("n"), F.col("mean") - F.col("_mean")
+    one = met.groupBy(*by, "_n", "_mean").agg(
+        F.sum(F.col("m2") + n * d * d).alias("s2"),
+        F.sum(F.col("m3") + 3 * d * F.col("m2") + n * d * d * d).alias("s3"),
+        F.sum(F.col("m4") + 4 * d * F.col("m3") + 6 * d * d * F.col("m2") + n * d * d * d * d).alias("s4"),
+    )
+    t = F.col("_n")
+    return one.select(*by, t.alias("n"), F.round("_mean", 6).alias("mean"), F.round(F.col("s2") / t, 4).alias("variance"), F.round(F.sqrt(t) * F.col("s3") / F.pow("s2", F.lit(1.5)), 6).alias("skewness"), F.round(t * F.col("s4") / (F.col("s2") * F.col("s2")) - 3, 6).alias("kurtosis"))
+
+
+def side_deltas(both: DataFrame, measure, columns: dict[str, str]) -> DataFrame:
+    """One row: for each of ``columns`` (measure's column to new name) the absolute difference of a one-row measure of each side."""
+    a, b = (measure(both.where(F.col("side") == s)).select(*[F.col(c).alias(f"_{s}_{n}") for c, n in columns.items()]) for s in (0, 1))
+    return a.crossJoin(F.broadcast(b)).select(*[F.round(F.abs(F.col(f"_1_{n}") - F.col(f"_0_{n}")), 6).alias(n) for n in columns.values()])
+
+
+def ratios(counted: DataFrame, *by: str) -> DataFrame:
+    """by..., entropy_ratio, distinct_ratio of a census at matched sizes. Both sides constant: 1; the synthetic alone: 0; the source alone: not known."""
+    d = diversity(counted, *by)
+    ratio = F.when((F.col("entropy_src") == 0) & (F.col("entropy_syn") == 0), 1.0).when(F.col("entropy_src") == 0, None).otherwise(F.round(F.col("entropy_syn") / F.col("entropy_src"), 5))
+    return d.select(*by, ratio.alias("entropy_ratio"), F.round(F.col("distinct_syn") / F.col("distinct_src"), 6).alias("distinct_ratio"))
+
+
+def ceiling_hit(counted: DataFrame, ceilings: list[int], *by: str) -> DataFrame:
+    """by..., distinct_syn, hit: 1.0 where the number of distinct synthetic values is one of the ceilings."""
+    return counted.groupBy(*by).agg(F.count_if(F.col("c_syn") > 0).alias("distinct_syn")).withColumn("hit", F.col("distinct_syn").isin(ceilings).cast("double"))
+
+
+def type_validity(df: DataFrame, columns: list[str]) -> DataFrame:
+    """column, validity: the share of non-null values that are a finite number, or text that reads as one."""
+    x = lambda c: F.col(c).try_cast("double")
+    good = lambda c: x(c).isNotNull() & ~F.isnan(x(c)) & (F.abs(x(c)) != float("inf"))
+    one = df.agg(*[F.round(F.count_if(good(c)) / F.count(c), 6).alias(c) for c in columns])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("validity")) for c in columns])).alias("s")).select("s.*")
+
+
+def merged_edges(a: Column, b: Column) -> Column:
+    """The ascending distinct finite edges of two grids."""
+    return F.array_sort(F.array_distinct(F.filter(F.concat(a, b), lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf")))))

@@ -71,3 +71,33 @@ def duplicate_rate(df: DataFrame, key: list[str]) -> DataFrame:
     for k in key:
         whole = whole & F.col(k).isNotNull()
     return by.agg(F.sum("c").alias("n"), F.coalesce(F.sum(F.when(whole & (F.col("c") > 1), F.col("c"))), F.lit(0)).alias("duplicates")).withColumn("rate", F.round(F.col("duplicates") / F.col("n"), 6))
+
+
+def exposure_lift(synthetic: DataFrame, panel: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: distinct records of the exposed rows that H lacks, against those of R's others that H lacks: how many of each are reproduced, and the lift."""
+    has = lambda cond: F.max(cond.cast("int"))
+    sides = panel.select(_key(cells(panel, columns)).alias("k"), "side", "exposed").groupBy("k").agg(has(F.col("side") == "R").alias("r"), has(F.col("side") == "H").alias("h"), has(F.col("exposed")).alias("e"))
+    hit = synthetic.select(_key(cells(synthetic, columns)).alias("k")).distinct().withColumn("s", F.lit(1))
+    met = sides.where("r = 1 AND h = 0").join(hit, "k", "left")
+    seen = F.col("s") == 1
+    out = met.agg(F.count_if(F.col("e") == 1).alias("e_only"), F.count_if(F.col("e") == 0).alias("r_only"), F.count_if((F.col("e") == 1) & seen).alias("e_hit"), F.count_if((F.col("e") == 0) & seen).alias("r_hit"))
+    return out.withColumn("lift", F.round(F.when(F.col("r_hit") > 0, (F.col("e_hit") / F.col("e_only")) / (F.col("r_hit") / F.col("r_only"))), 6))
+
+
+def near_match_lift(synthetic: DataFrame, panel: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: synthetic rows near a row of R, near a row of H, and the ratio of these rates."""
+    r, h = (near_matches(synthetic, panel.where(F.col("side") == s), columns).select(F.col("near").alias(f"near_{s}"), F.col("n").alias(f"n_{s}")) for s in "RH")
+    out = r.crossJoin(F.broadcast(h))
+    return out.select("near_R", "near_H", F.round(F.when(F.col("near_H") > 0, (F.col("near_R") / F.col("n_R")) / (F.col("near_H") / F.col("n_H"))), 6).alias("lift"))
+
+
+def value_lift(reproduced: DataFrame, panel: DataFrame, column: str, rare: int) -> DataFrame:
+    """One row: values of fewer than ``rare`` rows that only R or only H has, how many of each are among the
+    values ``reproduced`` (a synthetic column, or a pool of values), and the lift."""
+    by = panel.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count_if(F.col("side") == "R").alias("r"), F.count_if(F.col("side") == "H").alias("h"))
+    only = by.where((F.col("r") + F.col("h") < rare) & ((F.col("r") == 0) | (F.col("h") == 0)))
+    hit = reproduced.select(F.col(column).alias("v")).distinct().withColumn("s", F.lit(1))
+    met = only.join(hit, "v", "left")
+    r, seen = F.col("r") > 0, F.col("s") == 1
+    out = met.agg(F.count_if(r).alias("r_only"), F.count_if(~r).alias("h_only"), F.count_if(r & seen).alias("r_hit"), F.count_if(~r & seen).alias("h_hit"))
+    return out.withColumn("lift", F.round(F.when(F.col("h_hit") > 0, (F.col("r_hit") / F.col("r_only")) / (F.col("h_hit") / F.col("h_only"))), 6))

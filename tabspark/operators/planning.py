@@ -21,23 +21,8 @@ def decile_ks(a: list[float], b: list[float]) -> float:
     return max(abs(cdf(a, x) - cdf(b, x)) for x in {*a, *b})
 
 
-def chao_shen(counts: list[int]) -> float:
-    """Entropy in bits with coverage-adjusted shares and Horvitz-Thompson weights."""
-    n = sum(counts)
-    if not n:
-        return 0.0
-    singles = sum(c == 1 for c in counts)
-    cover = 1 - (singles if singles < n else n - 1) / n
-    out = 0.0
-    for c in counts:
-        p = cover * c / n
-        if p:
-            out -= p * math.log2(p) / (1 - (1 - p) ** n)
-    return out
-
-
 def water_fill(wants: list[float], budget: float) -> list[float]:
-    """Max-min fair shares of a budget: nobody gets more than wanted, the least served get the most possible."""
+    """Shares of a budget: smallest wishes first, each gets its wish or an equal part of what is left."""
     out, left, open_ = [0.0] * len(wants), budget, sorted(range(len(wants)), key=lambda i: wants[i])
     while open_:
         share = left / len(open_)

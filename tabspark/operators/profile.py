@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import canonical, null_pattern, shape_mask
+from ..functions import canonical, hashed, null_pattern, shape_mask
 
 
 def unpivot(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
@@ -199,3 +199,43 @@ def digest(df: DataFrame) -> DataFrame:
     parts = [F.conv(F.substring(h, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)") for i in range(4)]
     one = df.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(p), F.lit(0).cast("decimal(20,0)")).alias(f"s{i}") for i, p in enumerate(parts)])
     return one.select("n", F.sha2(F.concat_ws(":", F.col("n").cast("string"), *[F.col(f"s{i}").cast("string") for i in range(4)]), 256).alias("digest"))
+
+
+def planning(df: DataFrame, columns: list[str]) -> DataFrame:
+    """column, n_rows, n_null, n_distinct, mean, std, minimum, maximum: everything that plans need, in one select over the table."""
+    aggs = []
+    for c in columns:
+        x = F.col(c).cast("double")
+        aggs.append(F.struct(F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(c).isNull()).alias("n_null"), F.countDistinct(c).alias("n_distinct"), F.round(F.avg(x), 6).alias("mean"), F.round(F.stddev_pop(x), 6).alias("std"), F.min(x).alias("minimum"), F.max(x).alias("maximum")).alias(c))
+    return df.agg(*aggs).select(F.explode(F.array(*columns)).alias("s")).select("s.*")
+
+
+def strings(df: DataFrame, column: str) -> DataFrame:
+    """One row: n, null, blank, distinct, least, greatest and mean length."""
+    c = F.col(column)
+    return df.agg(F.count(F.lit(1)).alias("n"), F.count_if(c.isNull()).alias("n_null"), F.count_if(F.trim(c) == "").alias("n_empty"), F.countDistinct(c).alias("n_distinct"), F.min(F.length(c)).cast("long").alias("min_length"), F.max(F.length(c)).cast("long").alias("max_length"), F.round(F.avg(F.length(c)), 6).alias("mean_length"))
+
+
+def temporal(df: DataFrame, column: str, now: str) -> DataFrame:
+    """One row: first and last time in microseconds, the shares of whole days and of times after ``now``."""
+    c = F.col(column)
+    later = F.unix_micros(c.cast("timestamp")) > F.unix_micros(F.lit(now).cast("timestamp"))
+    return df.agg(F.unix_micros(F.min(c).cast("timestamp")).alias("first_us"), F.unix_micros(F.max(c).cast("timestamp")).alias("last_us"), F.round(F.avg((c == F.date_trunc("day", c)).cast("double")), 6).alias("day_share"), F.round(F.avg(later.cast("double")), 6).alias("future_share"))
+
+
+def null_patterns_tail(df: DataFrame, columns: list[str], k: int) -> DataFrame:
+    """pattern, n: the k most frequent null patterns, ties by pattern, and one row for all others."""
+    by = df.groupBy(null_pattern(*[F.col(c) for c in columns]).alias("pattern")).agg(F.count(F.lit(1)).alias("n"))
+    top = by.orderBy(F.desc("n"), "pattern").limit(k).select("pattern", F.lit(True).alias("_top"))
+    met = by.join(F.broadcast(top), "pattern", "left")
+    return met.groupBy(F.when(F.col("_top"), F.col("pattern")).otherwise("<tail>").alias("pattern")).agg(F.sum("n").alias("n"))
+
+
+def literals(df: DataFrame, column: str, salt: str) -> DataFrame:
+    """code, literal: the least text of each value code."""
+    return df.where(F.col(column).isNotNull()).groupBy(hashed(F.col(column), salt).alias("code")).agg(F.min(F.col(column).cast("string")).alias("literal"))
+
+
+def payloads(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``payload``: each as JSON, as profiles are stored."""
+    return rows.withColumn("payload", F.to_json(F.struct(*rows.columns)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import none_null
@@ -39,8 +39,7 @@ def orphan_rate(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFr
 
 
 def fanout_metrics(source: DataFrame, synthetic: DataFrame) -> DataFrame:
-    """One row from two :func:`fanout` frames: TVD and W1 of the capped histograms, mean ratio, childless
-    difference, adherence to the source range, coverage ratio."""
+    """One row from two :func:`fanout` frames: TVD of the capped histograms, mean ratio, childless difference, adherence to the source range, coverage ratio."""
     both = source.withColumn("side", F.lit(0)).union(synthetic.withColumn("side", F.lit(1)))
     by = both.groupBy("side", F.least("k", F.lit(CAP)).alias("b")).agg(F.count(F.lit(1)).alias("c"), F.sum("k").alias("s"))
     bins = by.groupBy("b").agg(*[F.coalesce(F.sum(F.when(F.col("side") == s, F.col(x))), F.lit(0)).alias(f"{x}{s}") for x in ("c", "s") for s in (0, 1)])
@@ -58,6 +57,26 @@ def fanout_metrics(source: DataFrame, synthetic: DataFrame) -> DataFrame:
     return shape.crossJoin(F.broadcast(inside))
 
 
+def fanout_w1(source: DataFrame, synthetic: DataFrame) -> DataFrame:
+    """One row: the Wasserstein distance of two :func:`fanout` frames, parents of CAP children or more at their side's own mean."""
+    both = source.withColumn("side", F.lit(0)).union(synthetic.withColumn("side", F.lit(1)))
+    bins = both.groupBy("side", F.least("k", F.lit(CAP)).alias("b")).agg(F.count(F.lit(1)).alias("c"), F.avg("k").alias("x"))
+    sizes = bins.groupBy("side").agg(F.sum("c").alias("n"))
+    mass = bins.join(F.broadcast(sizes), "side").groupBy("x").agg(*[F.sum(F.when(F.col("side") == s, F.col("c") / F.col("n")).otherwise(0.0)).alias(f"p{s}") for s in (0, 1)])
+    w = Window.orderBy("x")  # of CAP + 2 rows at most
+    up = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    gaps = mass.select((F.lead("x").over(w) - F.col("x")).alias("width"), F.abs(F.sum("p0").over(up) - F.sum("p1").over(up)).alias("gap"))
+    return gaps.agg(F.round(F.sum(F.col("width") * F.col("gap")), 6).alias("fanout_w1"))
+
+
+def broadcast_orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str, most: int = 10_000_000) -> DataFrame:
+    """One row as :func:`orphan_rate`'s: the parent's keys are broadcast if there are ``most`` at most, shuffled if more."""
+    keys = parent.select(F.col(pk).alias("_p")).where("_p IS NOT NULL").distinct()
+    side = F.broadcast(keys) if keys.count() <= most else keys
+    met = child.where(F.col(fk).isNotNull()).join(side, F.col(fk) == F.col("_p"), "left")
+    return met.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_p").isNull()).alias("orphans")).withColumn("orphan_rate", F.round(F.col("orphans") / F.col("n"), 6))
+
+
 def cells(df: DataFrame, columns: list[str]) -> DataFrame:
     """columns..., n: the joint counts of the columns that complete a key."""
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-Z = 1.959963984540054
+Z = 1.959964
 
 #: Metric id, family, direction (L lower, H higher, T target), target, warn, fail.
 CATALOGUE = [
@@ -112,6 +112,41 @@ def fisher_floor(n: Column, m: Column, z: float = Z) -> Column:
     return F.lit(z) * F.sqrt(1 / (n - 3) + 1 / (m - 3))
 
 
+def folded(low: Column, high: Column) -> tuple[Column, Column]:
+    """Bounds of an absolute value from those of the signed one."""
+    a, b = F.abs(low), F.abs(high)
+    return F.when((low <= 0) & (high >= 0), 0.0).otherwise(F.least(a, b)), F.greatest(a, b)
+
+
+#: How far chance alone moves a metric, by metric; those without an entry have an interval or none.
+NOISE = {
+    "ks_two_sample": ["column.ks", "column.length_ks"],
+    "jsd_null": ["column.jsd"],
+    "fisher_z": ["pair.pearson_delta", "pair.spearman_delta"],
+    "mi_bias": ["pair.nmi_delta"],
+    "tvd_null": ["column.tvd", "column.dow_tvd", "column.month_tvd", "column.hour_tvd", "column.shape_head_tv", "pair.contingency_tvd", "row.null_pattern_tvd", "relationship.fanout_tvd"],
+}
+
+
+def noise_floors(rows: DataFrame) -> DataFrame:
+    """``rows`` (metric_id and sizes n, m; k categories, r rows and c columns, or ``floor`` where it was measured) with ``noise``.
+
+    Null where the metric has no scalar floor or a size is missing or too small.
+    """
+    has = lambda x: F.col(x) if x in rows.columns else F.lit(None).cast("double")
+    n, m, k, r, c = (has(x) for x in "nmkrc")
+    good = (n > 0) & (m > 0)
+    of = lambda method: F.col("metric_id").isin(NOISE[method])
+    noise = (
+        F.when(of("ks_two_sample"), F.when(good, ks_critical(n, m)))
+        .when(of("jsd_null"), F.when(good & (k > 0), (k - 1) * (1 / n + 1 / m) / (8 * math.log(2.0))))
+        .when(of("fisher_z"), F.when((n > 3) & (m > 3), fisher_floor(n, m)))
+        .when(of("mi_bias"), F.when((n > 0) & (r > 0) & (c > 0), (r - 1) * (c - 1) / (2 * n)))
+        .when(of("tvd_null"), has("floor"))
+    )
+    return rows.withColumn("noise", noise)
+
+
 def status(value: Column, direction: Column, target: Column, warn: Column, fail: Column, noise: Column) -> Column:
     """NOT_EVALUATED, INFO, PASS, WARN or FAIL. Crossings are inclusive; one within noise passes, but
     for metrics with both thresholds 0 any excess fails."""

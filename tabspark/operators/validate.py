@@ -97,3 +97,8 @@ def run_summary(ruled: DataFrame, weights: dict[str, Column], excluded: list[str
     one = ruled.agg(F.coalesce(F.sum(F.when(blocks, w)), F.lit(0)).cast("long").alias("blockers"), F.count_if(F.col("rule").isNull()).alias("valid"))
     total = F.col("blockers") + F.col("valid")
     return one.select("blockers", total.alias("total"), F.round(F.col("blockers") / total, 6).alias("ratio"), F.when(F.col("blockers") / total > budget, "FAILED").otherwise("PASSED").alias("status"))
+
+
+def without_failed(rows: DataFrame, failed: DataFrame, unit: str) -> DataFrame:
+    """``rows`` but those of units (tables) that are listed as failed: their results are withheld."""
+    return rows.join(failed.select(unit).distinct(), unit, "left_anti")

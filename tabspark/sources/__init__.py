@@ -43,6 +43,30 @@ def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
 
 
+def as_of(df: DataFrame, time: str, at: str) -> DataFrame:
+    """The rows that a table had at a time, by its append time."""
+    return df.where(F.col(time) <= F.lit(at).cast(df.schema[time].dataType))
+
+
+def appends(df: DataFrame, time: str, after: str, upto: str) -> DataFrame:
+    """The rows that came in a window of append times."""
+    kind = df.schema[time].dataType
+    return df.where((F.col(time) > F.lit(after).cast(kind)) & (F.col(time) <= F.lit(upto).cast(kind)))
+
+
+def distinct_capped(df: DataFrame, column: str, cap: int) -> DataFrame:
+    """One row, array ``values``: the distinct values in order, null if there are more than ``cap`` (a feature limit)."""
+    some = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("v")).distinct().limit(cap + 1)
+    return some.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("v")).alias("v")).select(F.when(F.col("n") <= cap, F.col("v")).alias("values"))
+
+
+def null_keys(df: DataFrame, key: list[str]) -> DataFrame:
+    """One row: n rows, of which ``dropped`` have a NULL in the key and take part in no join."""
+    from ..functions import none_null
+
+    return df.agg(F.count(F.lit(1)).alias("n"), F.count_if(~none_null(*[F.col(c) for c in key])).alias("dropped"))
+
+
 def frequent_values(df: DataFrame, column: str, least: int) -> DataFrame:
     """Values that at least ``least`` rows have."""
     return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
