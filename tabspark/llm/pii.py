@@ -75,20 +75,23 @@ _WORD = "(?:\\p{Lu}['’])?\\p{Lu}\\p{Ll}+(?:[-'’]\\p{Lu}\\p{Ll}+)*"
 _BARE = "(?<![\\p{L}\\p{N}])"
 _END = "(?![\\p{L}\\p{N}])"
 _HEX = "[0-9A-Fa-f]{1,4}"
+_NAME = f"{_BARE}(?=[\\p{{Lu}}\\p{{Lo}}])(?:(?:{_ADDRESS})\\.? (?:{_WORD}(?: {_WORD})?|\\p{{Lo}}+(?: \\p{{Lo}}+)?)|(?=\\p{{Lu}}\\p{{Ll}}+ \\p{{Lu}})(?:{_BY_NAME}) {_WORD}){_END}"
+_HAN = f"(?=[一-鿿])[{SURNAMES}]\\p{{IsHan}}{{1,2}}(?:{_AFTER})"
 #: What is an entity, by type; the first type that matches at a place wins.
 PATTERNS = {
     "email": f"(?<!{_LOCAL}){_LOCAL}++@[\\p{{L}}\\p{{N}}-]++(?:\\.[\\p{{L}}\\p{{N}}-]++)+",
-    "ipv6": f"(?<![\\p{{L}}\\p{{N}}:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?:(?:{_HEX}:){{1,5}}{_HEX}|[fF][cdCDeE][0-9A-Fa-f]{{2}})::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\\p{{L}}\\p{{N}}:])",
+    "ipv6": f"(?<![\\p{{L}}\\p{{N}}:.])(?={_HEX}:)(?:(?:{_HEX}:){{7}}{_HEX}|(?:(?:{_HEX}:){{1,5}}{_HEX}|[fF][cdCDeE][0-9A-Fa-f]{{2}})::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\\p{{L}}\\p{{N}}:])",
     "ip": "(?<![\\p{L}\\p{N}.])(?:(?:25[0-5]|2[0-4]\\d|1\\d\\d|\\d?\\d)\\.){3}(?:25[0-5]|2[0-4]\\d|1\\d\\d|\\d?\\d)(?![\\p{L}\\p{N}]|\\.\\d)",
     "iban": f"{_BARE}[A-Z]{{2}}\\d{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?){_END}",
     "ssn": f"(?<![\\p{{L}}\\p{{N}}-])(?:\\d{{3}}-\\d{{2}}-\\d{{4}}|\\d{{9}})(?![\\p{{L}}\\p{{N}}]|-\\d)",
     "card": f"{_BARE}(?:\\d{{13,19}}|\\d{{4}}(?:[ -]\\d{{4}}){{3}}){_END}",
     "phone": f"(?<![\\p{{L}}\\p{{N}}+])(?:\\+\\d{{1,3}}[ .-]?)?(?:\\(\\d{{2,4}}\\) ?|\\d{{2,4}}[ .-])\\d{{3,4}}[ .-]\\d{{4}}(?![\\p{{L}}\\p{{N}}]|[.-]\\d)|(?<![\\p{{L}}\\p{{N}}+])\\+\\d{{8,15}}{_END}|(?<![\\p{{L}}\\p{{N}}+.-])\\d{{10,12}}(?![\\p{{L}}\\p{{N}}]|[.-]\\d)",
-    "name": f"{_BARE}(?:(?:{_ADDRESS})\\.? (?:{_WORD}(?: {_WORD})?|\\p{{Lo}}+(?: \\p{{Lo}}+)?)|(?=\\p{{Lu}}\\p{{Ll}}+ \\p{{Lu}})(?:{_BY_NAME}) {_WORD}){_END}|[{SURNAMES}]\\p{{IsHan}}{{1,2}}(?:{_AFTER})",
+    "name": f"{_NAME}|{_HAN}",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: All types at once: all but names of Chinese begin where no letter or digit stands before, which is looked at first.
+ANY = f"{_BARE}(?:" + "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k != "name") + f"|{_NAME})|{_HAN}"
 #: What a text has at least where any of them matches.
-SOME = f"[0-9@]|::|\\p{{Lu}}\\p{{Ll}}+ \\p{{Lu}}|(?:{_ADDRESS})\\.? |{_AFTER}"
+SOME = f"[0-9@]|::|{_BARE}(?=[\\p{{Lu}}\\p{{Lo}}])(?:\\p{{Lu}}\\p{{Ll}}+ \\p{{Lu}}|(?:{_ADDRESS})\\.? )|{_HAN}"
 #: Attempts between two looks whether a space of fixed length has room.
 ATTEMPTS = 64
 #: Attempts in the fixed pool or the own length; each later one adds a syllable or letter.
