@@ -90,3 +90,79 @@ def expected_duplicates(n: float, k: float) -> float:
     import math
 
     return 1 - k / n * (1 - math.exp(-n / k))
+
+
+def temporal(ids: DataFrame, grid: DataFrame, column: str, id_col: str, salt: str, spread: float = 0.1) -> DataFrame:
+    """``ids`` with ``column`` in microseconds: by inverse CDF between the points of ``grid`` (one row: array ``q``
+    of microseconds), or, with probability ``spread``, anywhere between its ends. Nothing lies outside them."""
+    n = F.size("q") - 1
+    u = unit(F.col(id_col), salt)
+    at = F.floor(u * n).cast("int")
+    lo, hi = F.get("q", at), F.get("q", F.least(at + 1, n))
+    first, last = F.get("q", F.lit(0)), F.get("q", n)
+    anchored, anywhere = lo + (hi - lo) * (u * n - at), first + (last - first) * u
+    drawn = F.when(unit(F.col(id_col), salt + "|spread") < spread, anywhere).otherwise(anchored)
+    return ids.crossJoin(F.broadcast(grid)).select(*ids.columns, F.floor(drawn).cast("long").alias(column))
+
+
+def clamped(value: Column, low: Column, high: Column, places: int) -> Column:
+    """A drawn number within the source's range, at the source's scale; NULL stays."""
+    return F.when(value.isNotNull(), F.round(F.greatest(low, F.least(high, value)), places))
+
+
+def scrubbed(ids: DataFrame, taken: DataFrame, column: str, id_col: str, salt: str, modulus: int, attempts: int = 8) -> DataFrame:
+    """``ids`` with an identity number below ``modulus`` that is not in ``taken`` (column ``value``): the first of
+    some draws that isn't; one that always collides gets a number above the modulus, from its own id."""
+    draws = ids.select(id_col, F.posexplode(F.array(*[F.pmod(hashed(F.col(id_col), f"{salt}|{i}"), F.lit(modulus)) for i in range(attempts)])).alias("_at", "_v"))
+    free = draws.join(taken.select(F.col("value").alias("_t")).distinct(), F.col("_v") == F.col("_t"), "left_anti")
+    first = free.groupBy(id_col).agg(F.min_by("_v", "_at").alias("_v"))
+    return ids.join(first, id_col, "left").select(*ids.columns, F.coalesce("_v", F.lit(modulus) + hashed(F.col(id_col), salt + "|rest")).alias(column))
+
+
+def fitted_tuples(parents: DataFrame, child: DataFrame, columns: list[tuple[str, str]], sweeps: int, floor: float = 0.5) -> DataFrame:
+    """parent columns..., ``weight`` (whole numbers, in millionths): parent key tuples weighted so that their column
+    sums follow the child's shares (iterative proportional fitting; a value that no child row has counts ``floor`` rows)."""
+    keys = [p for _, p in columns]
+    now = parents.select(*keys).na.drop().distinct().withColumn("w", F.lit(1.0))
+    n = child.agg(F.count(F.lit(1)).alias("_n"))
+    wants = {p: child.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(p)).agg(F.count(F.lit(1)).cast("double").alias("want")).crossJoin(F.broadcast(n)) for c, p in columns}
+    for _ in range(sweeps):
+        for p in keys:
+            sums = now.groupBy(p).agg(F.sum("w").alias("s"))
+            scale = sums.join(wants[p], p, "left").select(p, (F.coalesce(F.col("want"), F.lit(floor)) / F.col("s")).alias("scale"))
+            now = now.join(scale, p).select(*keys, (F.col("w") * F.col("scale")).alias("w"))
+    total = now.agg(F.sum("w").alias("t"))
+    return now.crossJoin(F.broadcast(total)).select(*keys, F.greatest(F.lit(1), F.round(F.col("w") / F.col("t") * 1e6)).cast("long").alias("weight"))
+
+
+def joint_keys(ids: DataFrame, tuples: DataFrame, keys: list[str], id_col: str, salt: str) -> DataFrame:
+    """``ids`` with whole parent tuples drawn by their ``weight``: the running total of the tuples in order of their text."""
+    ordered = tuples.withColumn("_o", F.concat_ws("|", *[F.lpad(F.col(k).cast("string"), 20, "0") for k in keys]))
+    placed = running(ordered, "_o", "weight").crossJoin(F.broadcast(tuples.agg(F.sum("weight").alias("_n"))))
+    drawn = ids.crossJoin(F.broadcast(tuples.agg(F.sum("weight").alias("_m")))).withColumn("_x", F.floor(unit(F.col(id_col), salt) * F.col("_m")).cast("long")).drop("_m")
+    met = drawn.join(placed, (F.col("_x") >= F.col("before")) & (F.col("_x") < F.col("before") + F.col("weight")))
+    return met.select(*ids.columns, *keys)
+
+
+def numbered(df: DataFrame, key: str) -> DataFrame:
+    """Distinct non-null keys with ``place`` from 0 in their order."""
+    keys = df.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_one", F.lit(1))
+    return running(keys, key, "_one").select(key, F.col("before").cast("long").alias("place"))
+
+
+def multi_parent(ids: DataFrame, index: str, dimensions: list[tuple[str, DataFrame]], sizes: list[int]) -> DataFrame:
+    """``ids`` with a key of each parent: the digits of the index over the numbered parents (column, :func:`numbered`).
+
+    Below the product of the sizes no combination comes twice.
+    """
+    digits = mixed_radix(F.col(index), sizes)
+    out = ids
+    for (name, keys), d in zip(dimensions, digits, strict=True):
+        own = [c for c in keys.columns if c != "place"][0]
+        out = out.withColumn("_d", d).join(keys.select(F.col(own).alias(name), F.col("place").alias("_d")), "_d").drop("_d")
+    return out
+
+
+def plan_log(columns: dict[str, str]) -> list[tuple[str, str]]:
+    """column, strategy in order: what a generation run will do to each column."""
+    return sorted(columns.items())

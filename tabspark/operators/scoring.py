@@ -208,3 +208,31 @@ def compare_runs(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     met = a.alias("a").join(b.alias("b"), on, "full_outer")
     change = F.when(F.col("a.value").isNull(), "added").when(F.col("b.value").isNull(), "removed").when(F.col("a.value") == F.col("b.value"), "same").otherwise("changed")
     return met.select(*[F.coalesce(F.col(f"a.{k}"), F.col(f"b.{k}")).alias(k) for k in keys], F.col("a.value").alias("value_a"), F.col("b.value").alias("value_b"), F.round(F.col("b.value") - F.col("a.value"), 6).alias("delta"), change.alias("change"))
+
+
+def overridden(metrics: DataFrame, thresholds: dict[str, tuple[float, float]]) -> DataFrame:
+    """Scored rows under other warn and fail limits for some metrics (a few literals)."""
+    rows = scored(metrics)
+    for name, (warn, fail) in thresholds.items():
+        mine = F.col("metric_id") == name
+        rows = rows.withColumn("warn", F.when(mine, F.lit(float(warn))).otherwise(F.col("warn"))).withColumn("fail", F.when(mine, F.lit(float(fail))).otherwise(F.col("fail")))
+    c = F.col
+    rows = rows.withColumn("status", status(c("value"), c("direction"), c("target"), c("warn"), c("fail"), c("noise")))
+    return rows.withColumn("score", F.when(~c("status").isin("NOT_EVALUATED", "INFO"), F.round(score(c("value"), c("direction"), c("target"), c("fail")), 6)))
+
+
+def fail_on(rows: DataFrame, statuses: list[str]) -> DataFrame:
+    """One row: how many rows have one of the statuses, and the exit code of a run that fails on them."""
+    return rows.agg(F.count_if(F.col("status").isin(statuses)).alias("hits")).withColumn("exit_code", F.when(F.col("hits") > 0, 1).otherwise(0))
+
+
+def shape_and_trend(rows: DataFrame) -> DataFrame:
+    """table_name, column_shape_score, pair_trend_score: means of the column and of the pair metrics' scores."""
+    mean = lambda p: F.round(F.avg(F.when(F.col("metric_id").startswith(p), F.col("score"))), 6)
+    return rows.groupBy("table_name").agg(mean("column.").alias("column_shape_score"), mean("pair.").alias("pair_trend_score"))
+
+
+def model_families(rows: DataFrame) -> DataFrame:
+    """family, score: each family's mean over tables, of means over units."""
+    unit = rows.where("score IS NOT NULL").groupBy("table_name", "family", "unit").agg(F.avg("score").alias("s"))
+    return unit.groupBy("table_name", "family").agg(F.avg("s").alias("s")).groupBy("family").agg(F.round(F.avg("s"), 6).alias("score"))

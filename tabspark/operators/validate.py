@@ -102,3 +102,70 @@ def run_summary(ruled: DataFrame, weights: dict[str, Column], excluded: list[str
 def without_failed(rows: DataFrame, failed: DataFrame, unit: str) -> DataFrame:
     """``rows`` but those of units (tables) that are listed as failed: their results are withheld."""
     return rows.join(failed.select(unit).distinct(), unit, "left_anti")
+
+
+#: Rule, dimension, severity, threshold (null: judged after the run by limits of its own).
+RULES = [
+    ("schema.types", "validity", "BLOCKER", 1.0),
+    ("null.required", "completeness", "BLOCKER", 0.0),
+    ("pk.duplicate", "uniqueness", "BLOCKER", 0.0),
+    ("fk.orphan", "consistency", "BLOCKER", 0.0),
+    ("row.duplicate", "uniqueness", "BLOCKER", 0.0),
+    ("identity.unique", "uniqueness", "BLOCKER", 0.0),
+    ("engine_failure", "reliability", "BLOCKER", 0.0),
+    ("schema.batch", "validity", "CRITICAL", 1.0),
+    ("null.optional", "completeness", "MAJOR", 0.05),
+    ("range.numeric", "validity", "CRITICAL", 1.0),
+    ("enum.member", "validity", "CRITICAL", 1.0),
+    ("regex.format", "validity", "MAJOR", 0.999),
+    ("freetext.empty_parity", "fidelity", "MAJOR", 0.10),
+    ("freetext.distinct_floor", "fidelity", "MAJOR", 0.5),
+    ("freetext.copy_fraction", "privacy", "BLOCKER", 0.0001),
+    ("numeric.decile_ks", "fidelity", "MAJOR", 0.4),
+]
+#: Share of blocked rows that a run may have, by environment.
+BUDGETS = {"dev": 0.20, "uat": 0.05, "prd": 0.01}
+
+
+def rule_catalogue(spark) -> DataFrame:
+    return spark.createDataFrame(RULES, "rule string, dimension string, severity string, threshold double")
+
+
+def batch(df: DataFrame, types: dict[str, str], required: list[str] = (), max_length: dict[str, int] | None = None, ranges: dict[str, tuple[float, float]] | None = None, members: dict[str, list] | None = None, formats: dict[str, str] | None = None, key: list[str] = ()) -> DataFrame:
+    """rule, column, checked, failed: every rule of a declared table over all its rows, in one aggregation, and one for the key.
+
+    A column that is missing, too many, or of another type fails for all rows (schema.batch, schema.types).
+    """
+    own, n, rows = dict(df.dtypes), F.count(F.lit(1)), []
+    fail = lambda cond: F.count_if(F.coalesce(cond, F.lit(False)))
+
+    def rule(name: str, column: str, checked: Column, failed: Column) -> None:
+        rows.append(F.struct(F.lit(name).alias("rule"), F.lit(column).alias("column"), checked.cast("long").alias("checked"), failed.cast("long").alias("failed")))
+
+    for c, t in types.items():
+        rule("schema.types", c, n, F.lit(0) if own.get(c) == t else n)
+    for c in sorted(set(own) ^ set(types)):
+        rule("schema.batch", c, n, n)
+    for c in required:
+        rule("null.required", c, n, fail(F.col(c).isNull()))
+    for c, most in (max_length or {}).items():
+        rule("schema.batch", c, F.count(c), fail(F.length(c) > most))
+    for c, (low, high) in (ranges or {}).items():
+        rule("range.numeric", c, F.count(c), fail((F.col(c) < low) | (F.col(c) > high)))
+    for c, values in (members or {}).items():
+        rule("enum.member", c, F.count(c), fail(~F.col(c).isin(values)))
+    for c, pattern in (formats or {}).items():
+        rule("regex.format", c, F.count(c), fail(~F.col(c).rlike(pattern)))
+    out = df.agg(*[x.alias(f"r{i}") for i, x in enumerate(rows)]).select(F.explode(F.array(*[f"r{i}" for i in range(len(rows))])).alias("x")).select("x.*")
+    if key:
+        by = df.groupBy(*key).agg(n.alias("c")).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("checked"), F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("failed"))
+        out = out.union(by.select(F.lit("pk.duplicate"), F.lit(",".join(key)), "checked", "failed"))
+    return out
+
+
+def gate(failures: DataFrame, severities: tuple[str, ...] = ("BLOCKER", "CRITICAL")) -> DataFrame:
+    """One row: rules broken of each severity, and the verdict, from :func:`batch`."""
+    known = rule_catalogue(failures.sparkSession).select("rule", "severity")
+    broken = failures.where("failed > 0").join(F.broadcast(known), "rule")
+    one = broken.agg(*[F.count_if(F.col("severity") == s).alias(s.lower()) for s in ("BLOCKER", "CRITICAL", "MAJOR")])
+    return one.withColumn("verdict", F.when(sum(F.col(s.lower()) for s in severities) > 0, "FAILED").otherwise("PASSED"))

@@ -107,3 +107,67 @@ def nearest_summary(to_r: DataFrame, to_h: DataFrame) -> DataFrame:
     met = to_r.alias("r").join(to_h.alias("h"), "id")
     nndr = F.when(F.col("r.d2") > 0, F.col("r.d1") / F.col("r.d2")).otherwise(1.0)
     return met.agg(F.round(F.avg(F.when(F.col("r.d1") < F.col("h.d1"), 1.0).when(F.col("r.d1") == F.col("h.d1"), 0.5).otherwise(0.0)), 6).alias("dcr_share"), F.round(F.avg(nndr), 5).alias("nndr_mean"))
+
+
+def nearest_percentiles(synthetic: DataFrame, holdout: DataFrame, p: float = 0.05) -> DataFrame:
+    """One row from two :func:`gower_nearest` frames against one reference: percentiles of the nearest distance and of
+    its ratio to the second nearest (1 where that is 0), synthetic over holdout."""
+    from .profile import quantiles
+
+    ratio = F.when(F.col("d2") > 0, F.col("d1") / F.col("d2")).otherwise(1.0)
+    parts = {}
+    for side, frame in (("s", synthetic), ("h", holdout)):
+        both = frame.select("d1", F.round(ratio, 8).alias("r"))
+        parts |= {f"{side}_{c}": quantiles(both, c, [p]).select(F.col("value").alias(f"{side}_{c}")) for c in ("d1", "r")}
+    one = parts["s_d1"]
+    for name in ("s_r", "h_d1", "h_r"):
+        one = one.crossJoin(F.broadcast(parts[name]))
+    over = lambda c: F.round(F.when(F.col(f"h_{c}") > 0, F.col(f"s_{c}") / F.col(f"h_{c}")), 4)
+    return one.select(over("d1").alias("dcr_p5_ratio"), over("r").alias("nndr_p5_ratio"))
+
+
+def nearest_to_centroid(df: DataFrame, by: str, k: int) -> DataFrame:
+    """by, vec_id, rank: the k vectors of each group with the greatest inner product with its centroid, ties by id."""
+    means = centroids(df, by).groupBy(by).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "mean"))), lambda x: x["mean"]).alias("_m"))
+    scored = df.join(F.broadcast(means), by).select(by, "vec_id", F.round(inner_product(F.col("embedding"), F.col("_m")), 5).alias("score"))
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(F.desc("score"), "vec_id"))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select(by, "vec_id", F.col("rank").cast("long").alias("rank"))
+
+
+def k_center(df: DataFrame, k: int) -> DataFrame:
+    """vec_id, step: farthest-first choice of k vectors, from the least id on; ties by id.
+
+    Each step is one aggregation over the table; only the chosen vectors (k rows) come to the driver.
+    """
+    spark, chosen = df.sparkSession, [df.orderBy("vec_id").select("vec_id", "embedding").first()]
+    while len(chosen) < k:
+        points = F.array(*[F.array(*[F.lit(float(x)) for x in r.embedding]) for r in chosen])
+        near = F.array_min(F.transform(points, lambda p: F.aggregate(F.zip_with("embedding", p, lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)), F.lit(0.0), lambda a, x: a + x)))
+        best = df.select("vec_id", "embedding", F.round(near, 6).alias("d")).where(~F.col("vec_id").isin([r.vec_id for r in chosen])).orderBy(F.desc("d"), "vec_id").select("vec_id", "embedding").first()
+        if best is None:
+            break
+        chosen.append(best)
+    return spark.createDataFrame([(r.vec_id, i) for i, r in enumerate(chosen)], "vec_id long, step int")
+
+
+def marginal_relevance(found: DataFrame, base: DataFrame, k: int, balance: float) -> DataFrame:
+    """query_id, vec_id, place: k of each query's search results (query_id, vec_id, score) by relevance less likeness to those
+    already taken. A query's results are a stated few rows, taken up one by one in an aggregate."""
+    rows = found.join(base.select("vec_id", "embedding"), "vec_id").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct(F.col("vec_id").alias("id"), "score", "embedding"))).alias("all"))
+    kind = rows.schema["all"].dataType.simpleString()
+
+    def take(state, _):
+        taken = F.transform(state, lambda s: s["id"])
+        left = F.filter("all", lambda c: ~F.array_contains(taken, c["id"]))
+        value = lambda c: balance * c["score"] - (1 - balance) * F.coalesce(F.array_max(F.transform(state, lambda s: inner_product(s["embedding"], c["embedding"]))), F.lit(0.0))
+        ranked = F.array_sort(F.transform(left, lambda c: F.struct((-F.round(value(c), 5)).alias("v"), c["id"].alias("id"))))
+        best = F.filter(left, lambda c: c["id"] == F.get(ranked, F.lit(0))["id"])
+        return F.concat(state, F.slice(best, 1, 1))
+
+    chosen = F.aggregate(F.sequence(F.lit(1), F.lit(k)), F.array().cast(kind), take)
+    return rows.select("query_id", F.posexplode(chosen).alias("place", "c")).select("query_id", F.col("c.id").alias("vec_id"), "place")
+
+
+def prefix(chunks_: DataFrame, order: str, most: int) -> DataFrame:
+    """The first ``most`` chunks in order: the stated prefix that a store is filled with (a feature limit)."""
+    return chunks_.orderBy(order).limit(most)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import sources as S
 from ..operators import compare as C
+from ..operators import generate as G
 from ..operators import membership as M
 from ..operators import privacy as Y
 from ..operators import profile as P
@@ -16,7 +17,7 @@ from ..operators import scoring as K
 from ..operators import text as X
 from ..operators import validate as V
 from ..operators import vectors as W
-from .queries import CENSUS, EDGES, H, MEM, NUM, PLANTED, SHARES, Tables, U, _bin, _fan, _rk, add
+from .queries import CENSUS, EDGES, H, MEM, NUM, PLANTED, SCORED, SHARES, Tables, U, _bin, _fan, _rk, _scored, add
 
 # ---- scopes and filters -------------------------------------------------------------------
 
@@ -33,7 +34,7 @@ add("deferred_failures", "SELECT o_orderpriority, count(*) AS n FROM orders WHER
     lambda t: V.without_failed(t.orders, t.orders.groupBy("o_orderpriority").agg(F.max("o_totalprice").alias("x"), F.min("o_orderkey").alias("y")).where("x > 400000 AND y = 0").select("o_orderpriority"), "o_orderpriority").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 )
 add("in_subquery", "SELECT count(*) AS n FROM lineitem WHERE l_partkey IN (SELECT l_partkey FROM lineitem GROUP BY 1 HAVING count(*) >= 35)")(lambda t: t.lineitem.join(S.frequent_values(t.lineitem, "l_partkey", 35).select(F.col("value").alias("l_partkey")), "l_partkey", "left_semi").agg(F.count(F.lit(1)).alias("n")))
-add("panel_exclusives", "WITH p AS (SELECT o_custkey, rank <= 200 AS r, rank <= 50 AS e FROM (SELECT o_custkey, row_number() OVER (ORDER BY md5(o_orderkey::varchar)) AS rank FROM orders) WHERE rank <= 400), k AS (SELECT o_custkey, bool_or(r) AS r, bool_or(NOT r) AS h, bool_or(e) AS e FROM p GROUP BY 1) SELECT count(*) FILTER (WHERE r AND NOT h) AS r_not_h, count(*) FILTER (WHERE h AND NOT r) AS h_not_r, count(*) FILTER (WHERE e AND NOT h) AS e_not_h, count(*) FILTER (WHERE r AND NOT h AND NOT e) AS r_not_h_e FROM k")(
+add("panel_exclusives", "WITH p AS (SELECT o_custkey, rank <= (least(400, (SELECT count(*) FROM orders)) + 1) // 2 AS r, rank <= 50 AS e FROM (SELECT o_custkey, row_number() OVER (ORDER BY md5(o_orderkey::varchar)) AS rank FROM orders) WHERE rank <= 400), k AS (SELECT o_custkey, bool_or(r) AS r, bool_or(NOT r) AS h, bool_or(e) AS e FROM p GROUP BY 1) SELECT count(*) FILTER (WHERE r AND NOT h) AS r_not_h, count(*) FILTER (WHERE h AND NOT r) AS h_not_r, count(*) FILTER (WHERE e AND NOT h) AS e_not_h, count(*) FILTER (WHERE r AND NOT h AND NOT e) AS r_not_h_e FROM k")(
     lambda t: S.panel(t.orders.select("o_orderkey", "o_custkey"), F.col("o_orderkey"), 200, 50).groupBy("o_custkey").agg(F.bool_or(F.col("side") == "R").alias("r"), F.bool_or(F.col("side") == "H").alias("h"), F.bool_or("exposed").alias("e")).agg(F.count_if(F.expr("r AND NOT h")).alias("r_not_h"), F.count_if(F.expr("h AND NOT r")).alias("h_not_r"), F.count_if(F.expr("e AND NOT h")).alias("e_not_h"), F.count_if(F.expr("r AND NOT h AND NOT e")).alias("r_not_h_e"))
 )
 
@@ -103,7 +104,7 @@ _atoms = lambda s, f: f"SELECT b, CASE WHEN b = 50 THEN avg(k) ELSE b END AS x,
 add("fanout_w1", f"WITH a AS ({_atoms(0, _fan.format(s=0))} UNION ALL {_atoms(1, _fan.format(s=1))}), m AS (SELECT x, sum(p) FILTER (WHERE s = 0) AS p, sum(p) FILTER (WHERE s = 1) AS q FROM a GROUP BY x), g AS (SELECT lead(x) OVER (ORDER BY x) - x AS w, abs(sum(coalesce(p, 0)) OVER (ORDER BY x) - sum(coalesce(q, 0)) OVER (ORDER BY x)) AS gap FROM m) SELECT round(sum(w * gap), 6) AS fanout_w1 FROM g")(lambda t: R.fanout_w1(*[R.fanout(t.side("orders", "o_orderkey", s), t.customer, "o_custkey", "c_custkey").select("k") for s in (0, 1)]))
 add("broadcast_orphans", f"SELECT count(*) AS n, count(*) FILTER (WHERE c_custkey IS NULL) AS orphans, round(count(*) FILTER (WHERE c_custkey IS NULL) / count(*), 6) AS orphan_rate FROM {PLANTED} LEFT JOIN customer ON o_custkey = c_custkey WHERE o_custkey IS NOT NULL")(lambda t: R.broadcast_orphans(t.planted(), t.customer, "o_custkey", "c_custkey"))
 add("orphan_rate_source", "SELECT count(*) AS n, count(*) FILTER (WHERE c_custkey IS NULL) AS orphans, round(count(*) FILTER (WHERE c_custkey IS NULL) / count(*), 6) AS orphan_rate FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 2 = 0")(lambda t: R.orphan_rate(t.side("orders", "o_orderkey", 0), t.customer, "o_custkey", "c_custkey"))
-_pan = "(SELECT *, CASE WHEN rank <= 3000 THEN 'R' ELSE 'H' END AS side, rank <= 500 AS exposed FROM (SELECT *, row_number() OVER (ORDER BY md5(o_orderkey::varchar)) AS rank FROM orders WHERE o_orderkey % 2 = 0) WHERE rank <= 6000)"
+_pan = "(SELECT *, CASE WHEN rank <= (least(6000, (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0)) + 1) // 2 THEN 'R' ELSE 'H' END AS side, rank <= 500 AS exposed FROM (SELECT *, row_number() OVER (ORDER BY md5(o_orderkey::varchar)) AS rank FROM orders WHERE o_orderkey % 2 = 0) WHERE rank <= 6000)"
 _panel = lambda t: S.panel(t.side("orders", "o_orderkey", 0), F.col("o_orderkey"), 3000, 500)
 add("exposure_lift", f"WITH k AS (SELECT o_custkey, o_orderstatus, bool_or(side = 'R') AS r, bool_or(side = 'H') AS h, bool_or(exposed) AS e FROM {_pan} GROUP BY ALL), j AS (SELECT k.*, EXISTS (SELECT 1 FROM {PLANTED} p WHERE p.o_custkey = k.o_custkey AND p.o_orderstatus = k.o_orderstatus) AS s FROM k WHERE r AND NOT h), c AS (SELECT count(*) FILTER (WHERE e) AS e_only, count(*) FILTER (WHERE NOT e) AS r_only, count(*) FILTER (WHERE e AND s) AS e_hit, count(*) FILTER (WHERE NOT e AND s) AS r_hit FROM j) SELECT *, CASE WHEN r_hit > 0 THEN round((e_hit / e_only) / (r_hit / r_only), 6) END AS lift FROM c")(lambda t: M.exposure_lift(t.planted(), _panel(t), ["o_custkey", "o_orderstatus"]))
 _nr = lambda s: "(" + " OR ".join("EXISTS (SELECT 1 FROM pan s WHERE side = '" + s + "' AND " + " AND ".join(f"s.{c} {'<>' if c == x else '='} p.{c}" for c in MEM) + ")" for x in MEM) + f") AND NOT EXISTS (SELECT 1 FROM pan s WHERE side = '{s}' AND " + " AND ".join(f"s.{c} = p.{c}" for c in MEM) + ")"
@@ -147,3 +148,71 @@ add("temporal_profile", "SELECT epoch_us(min(ts)) AS first_us, epoch_us(max(ts))
 add("null_patterns_with_tail", "WITH p AS (SELECT CASE WHEN nullif(l_linenumber % 3, 0) IS NULL THEN '1' ELSE '0' END || CASE WHEN nullif(l_returnflag, 'A') IS NULL THEN '1' ELSE '0' END || CASE WHEN l_linenumber = 1 THEN '1' ELSE '0' END AS pattern, count(*) AS n FROM lineitem GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, pattern) AS r FROM p) SELECT CASE WHEN r <= 3 THEN pattern ELSE '<tail>' END AS pattern, sum(n)::bigint AS n FROM r GROUP BY 1")(lambda t: P.null_patterns_tail(t.lineitem.select(F.expr("nullif(l_linenumber % 3, 0)").alias("a"), F.expr("nullif(l_returnflag, 'A')").alias("b"), F.expr("CASE WHEN l_linenumber = 1 THEN NULL ELSE 1 END").alias("c")), ["a", "b", "c"], 3))
 add("value_literals", f"SELECT {H.format(salt='code', key='o_orderpriority')} AS code, min(o_orderpriority) AS literal FROM orders GROUP BY 1")(lambda t: P.literals(t.orders, "o_orderpriority", "code"))
 add("profile_payloads", "SELECT o_orderpriority AS value, count(*) AS n, '{\"value\":\"' || o_orderpriority || '\",\"n\":' || count(*)::varchar || '}' AS payload FROM orders GROUP BY 1")(lambda t: P.payloads(t.orders.groupBy(F.col("o_orderpriority").alias("value")).agg(F.count(F.lit(1)).alias("n"))))
+
+
+# ---- vectors ---------------------------------------------------------------------------------------
+
+_c1 = "SELECT c_custkey AS id, c_acctbal, c_nationkey, rank FROM (SELECT *, row_number() OVER (ORDER BY md5(c_custkey::varchar)) AS rank FROM customer) WHERE rank <= 4000"
+_half = "(least(4000, (SELECT count(*) FROM customer)) + 1) // 2"
+_pair = lambda q: f"SELECT id, min(d) FILTER (WHERE n = 1) AS d1, min(d) FILTER (WHERE n = 2) AS d2 FROM (SELECT q.id, d, row_number() OVER (PARTITION BY q.id ORDER BY d) AS n FROM (SELECT q.id, round((least(1.0, abs(q.x - r.c_acctbal) / 11000) + (q.y <> r.c_nationkey)::int) / 2, 8) AS d FROM ({q}) q, (SELECT * FROM p WHERE rank <= {_half}) r) q) WHERE n <= 2 GROUP BY id"
+_p5 = lambda x: f"SELECT round(quantile_cont(d1, 0.05), 6) AS a, round(quantile_cont(round(CASE WHEN d2 > 0 THEN d1 / d2 ELSE 1.0 END, 8), 0.05), 6) AS b FROM ({x})"
+
+
+def _near(t: Tables, synthetic: bool) -> DataFrame:
+    both = S.panel(t.customer.select("c_custkey", F.col("c_acctbal").alias("s_acctbal"), F.col("c_nationkey").alias("s_nationkey")), F.col("c_custkey"), 2000, 1)
+    asked = t.supplier if synthetic else both.where("side = 'H'").withColumnRenamed("c_custkey", "s_suppkey")
+    return W.gower_nearest(asked, both.where("side = 'R'"), {"s_acctbal": 11_000.0}, ["s_nationkey"], "s_suppkey")
+
+
+add("nearest_percentiles", f"WITH p AS ({_c1}), s AS ({_p5(_pair('SELECT s_suppkey AS id, s_acctbal AS x, s_nationkey AS y FROM supplier'))}), h AS ({_p5(_pair(f'SELECT id, c_acctbal AS x, c_nationkey AS y FROM p WHERE rank > {_half}'))}) SELECT round(CASE WHEN h.a > 0 THEN s.a / h.a END, 4) AS dcr_p5_ratio, round(CASE WHEN h.b > 0 THEN s.b / h.b END, 4) AS nndr_p5_ratio FROM s, h")(lambda t: W.nearest_percentiles(_near(t, True), _near(t, False)))
+_cen = "SELECT label, list(mean ORDER BY pos) AS m FROM (SELECT label, pos, round(avg(x::double), 5) AS mean FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings) GROUP BY label, pos) GROUP BY label"
+add("centroid_exemplars", f"WITH c AS ({_cen}), s AS (SELECT label, vec_id, round(list_sum(list_transform(list_zip(embedding, m), lambda z: z[1]::double * z[2])), 5) AS score FROM embeddings JOIN c USING (label)) SELECT label, vec_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 3")(lambda t: W.nearest_to_centroid(t.embeddings, "label", 3))
+add("farthest_first", None)(lambda t: W.k_center(t.embeddings, 5))
+add("marginal_relevance", None)(lambda t: W.marginal_relevance(W.search(t.embeddings.where("vec_id % 100 = 0"), t.embeddings, 10), t.embeddings, 4, 0.5))
+
+# ---- generation ---------------------------------------------------------------------------------------
+
+add("temporal_draw", "WITH q AS (SELECT list_transform(quantile_cont(epoch_us(ts)::double, [0.0, 0.25, 0.5, 0.75, 1.0]), lambda z: round(z, 6)) AS q FROM events), e AS (SELECT o_orderkey, {u} AS u, {v} AS v, floor({u} * 4)::int AS a, q FROM orders, q) SELECT o_orderkey, (floor(CASE WHEN v < 0.1 THEN q[1] + (q[5] - q[1]) * u ELSE q[a + 1] + (q[least(a + 2, 5)] - q[a + 1]) * (u * 4 - a) END))::bigint // 1000 AS ms FROM e".format(u=U.format(salt="tmp", key="o_orderkey"), v=U.format(salt="tmp|spread", key="o_orderkey")))(
+    lambda t: G.temporal(t.orders.select("o_orderkey"), G.quantile_grid(t.events.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("us")), "us", 5), "us", "o_orderkey", "tmp").select("o_orderkey", F.floor(F.col("us") / 1000).cast("long").alias("ms"))
+)
+add("clamped_draw", f"SELECT o_orderkey, round(greatest(-500.0, least(7000.0, {U.format(salt='clamp', key='o_orderkey')} * 12000 - 2000)), 1) AS balance FROM orders")(lambda t: t.orders.select("o_orderkey", G.clamped(G.unit(F.col("o_orderkey"), "clamp") * 12000 - 2000, F.lit(-500.0), F.lit(7000.0), 1).alias("balance")))
+_scr = " UNION ALL ".join(f"SELECT o_orderkey, {i} AS a, {H.format(salt=f'scrub|{i}', key='o_orderkey')} % 4000 AS v FROM orders" for i in range(8))
+add("collision_scrub", f"WITH d AS ({_scr}), f AS (SELECT o_orderkey, min_by(v, a) AS v FROM d WHERE v NOT IN (SELECT c_custkey FROM customer) GROUP BY 1) SELECT o_orderkey, coalesce(v, 4000 + {H.format(salt='scrub|rest', key='o_orderkey')}) AS new_id FROM orders LEFT JOIN f USING (o_orderkey)")(lambda t: G.scrubbed(t.orders.select("o_orderkey"), t.customer.select(F.col("c_custkey").alias("value")), "new_id", "o_orderkey", "scrub", 4000))
+
+
+def _ipf(sweeps: int) -> str:
+    parts = ["w0 AS (SELECT DISTINCT c_nationkey AS a, c_mktsegment AS b, 1.0::double AS w FROM customer)", "ma AS (SELECT s_nationkey AS a, count(*)::double AS want FROM supplier GROUP BY 1)", "mb AS (SELECT c_mktsegment AS b, count(*)::double AS want FROM customer WHERE c_acctbal > 0 GROUP BY 1)"]
+    for i in range(2 * sweeps):
+        x = "ab"[i % 2]
+        parts.append(f"w{i + 1} AS (SELECT a, b, w * coalesce((SELECT want FROM m{x} WHERE m{x}.{x} = w{i}.{x}), 0.5) / sum(w) OVER (PARTITION BY {x}) AS w FROM w{i})")
+    return ", ".join(parts) + f", wt AS (SELECT a, b, greatest(1, round(w / sum(w) OVER () * 1e6))::bigint AS weight FROM w{2 * sweeps})"
+
+
+def _fitted(t: Tables) -> DataFrame:
+    child = t.supplier.select(F.col("s_nationkey").alias("x"), F.lit(None).cast("string").alias("y")).union(t.customer.where("c_acctbal > 0").select(F.lit(None).cast("int"), "c_mktsegment"))
+    return G.fitted_tuples(t.customer.select(F.col("c_nationkey").alias("a"), F.col("c_mktsegment").alias("b")), child, [("x", "a"), ("y", "b")], 2)
+
+
+add("fitted_tuples", f"WITH {_ipf(2)} SELECT a, b, round(weight / 10.0)::bigint AS tens FROM wt")(lambda t: _fitted(t).select("a", "b", F.round(F.col("weight") / 10).cast("long").alias("tens")))
+_tu = "SELECT l_partkey, l_suppkey, count(*) AS weight, lpad(l_partkey::varchar, 20, '0') || '|' || lpad(l_suppkey::varchar, 20, '0') AS o FROM lineitem WHERE l_partkey % 10 = 3 GROUP BY 1, 2"
+add("joint_keys", f"WITH t AS ({_tu}), c AS (SELECT *, sum(weight) OVER (ORDER BY o) - weight AS lo, sum(weight) OVER () AS n FROM t), d AS (SELECT c_custkey, floor({U.format(salt='joint', key='c_custkey')} * (SELECT sum(weight) FROM t))::bigint AS x FROM customer) SELECT c_custkey, l_partkey, l_suppkey FROM d JOIN c ON x >= lo AND x < lo + weight")(lambda t: G.joint_keys(t.customer.select("c_custkey"), t.lineitem.where("l_partkey % 10 = 3").groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("weight")), ["l_partkey", "l_suppkey"], "c_custkey", "joint"))
+add("multi_parent_keys", "WITH a AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS i FROM supplier), b AS (SELECT n_nationkey, row_number() OVER (ORDER BY n_nationkey) - 1 AS i FROM nation) SELECT o_orderkey, s_suppkey, n_nationkey FROM orders JOIN a ON a.i = o_orderkey % 10 JOIN b ON b.i = (o_orderkey // 10) % 25")(lambda t: G.multi_parent(t.orders.select("o_orderkey"), "o_orderkey", [("s_suppkey", G.numbered(t.supplier, "s_suppkey")), ("n_nationkey", G.numbered(t.nation, "n_nationkey"))], [10, 25]))
+
+# ---- validation and scores -----------------------------------------------------------------------------
+
+_bt = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string", "o_comment": "string"}
+
+
+def _batch(t: Tables) -> DataFrame:
+    return V.batch(t.planted(), _bt, ["o_custkey"], {"o_orderpriority": 8}, {"o_totalprice": (0.0, 400_000.0)}, {"o_orderstatus": ["F", "O", "P"]}, {"o_orderpriority": "^[0-9]-"}, ["o_custkey", "o_totalprice"])
+
+
+_r = lambda rule, col, checked, failed: f"SELECT '{rule}' AS rule, '{col}' AS \"column\", ({checked})::bigint AS checked, ({failed})::bigint AS failed FROM p"
+_bsql = f"WITH p AS (SELECT * FROM {PLANTED}), b AS (" + " UNION ALL ".join([*[_r("schema.types", c, "count(*)", "count(*)" if c == "o_comment" else "0") for c in _bt], _r("schema.batch", "o_comment", "count(*)", "count(*)"), _r("null.required", "o_custkey", "count(*)", "count(*) FILTER (WHERE o_custkey IS NULL)"), _r("schema.batch", "o_orderpriority", "count(o_orderpriority)", "count(*) FILTER (WHERE length(o_orderpriority) > 8)"), _r("range.numeric", "o_totalprice", "count(o_totalprice)", "count(*) FILTER (WHERE o_totalprice < 0 OR o_totalprice > 400000)"), _r("enum.member", "o_orderstatus", "count(o_orderstatus)", "count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O', 'P'))"), _r("regex.format", "o_orderpriority", "count(o_orderpriority)", "count(*) FILTER (WHERE NOT regexp_matches(o_orderpriority, '^[0-9]-'))"), "SELECT 'pk.duplicate', 'o_custkey,o_totalprice', sum(c)::bigint, sum(c - 1)::bigint FROM (SELECT count(*) AS c FROM p GROUP BY o_custkey, o_totalprice)"]) + ")"
+add("batch_validation", f"{_bsql} SELECT * FROM b")(_batch)
+_rc = "(VALUES " + ", ".join(f"('{a}', '{b}', '{c}', {d}::double)" for a, b, c, d in V.RULES) + ") AS r(rule, dimension, severity, threshold)"
+add("validation_gate", f"{_bsql}, f AS (SELECT severity FROM b JOIN {_rc} USING (rule) WHERE failed > 0) SELECT count(*) FILTER (WHERE severity = 'BLOCKER') AS blocker, count(*) FILTER (WHERE severity = 'CRITICAL') AS critical, count(*) FILTER (WHERE severity = 'MAJOR') AS major, CASE WHEN count(*) FILTER (WHERE severity <> 'MAJOR') > 0 THEN 'FAILED' ELSE 'PASSED' END AS verdict FROM f")(lambda t: V.gate(_batch(t)))
+add("rule_catalogue", f"SELECT * FROM {_rc}")(lambda t: V.rule_catalogue(t.spark))
+add("shape_and_trend", f"SELECT table_name, round(avg(score) FILTER (WHERE starts_with(metric_id, 'column.')), 6) AS column_shape_score, round(avg(score) FILTER (WHERE starts_with(metric_id, 'pair.')), 6) AS pair_trend_score FROM {SCORED} GROUP BY 1")(lambda t: K.shape_and_trend(_scored(t)))
+add("model_families", f"WITH u AS (SELECT table_name, family, unit, avg(score) AS s FROM {SCORED} WHERE score IS NOT NULL GROUP BY ALL) SELECT family, round(avg(s), 6) AS score FROM (SELECT table_name, family, avg(s) AS s FROM u GROUP BY ALL) GROUP BY family")(lambda t: K.model_families(_scored(t)))
+add("fail_on", f"SELECT count(*) FILTER (WHERE status IN ('FAIL', 'WARN')) AS hits, (count(*) FILTER (WHERE status IN ('FAIL', 'WARN')) > 0)::int AS exit_code FROM {SCORED}")(lambda t: K.fail_on(_scored(t), ["FAIL", "WARN"]))

@@ -80,7 +80,7 @@ def add(name: str, sql: str | None):
 
 add("fanout_histogram", "SELECT k, count(*) AS parents FROM (SELECT c_custkey, count(o_orderkey) AS k FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey) GROUP BY k")(lambda t: R.fanout_histogram(t.orders, t.customer, "o_custkey", "c_custkey"))
 add("reference_sample", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(o_orderkey::varchar) LIMIT 100")(lambda t: S.reference_sample(t.orders, F.col("o_orderkey"), 100).select("o_orderkey", "o_totalprice"))
-add("panel_sample", "SELECT o_orderkey, rank, CASE WHEN rank <= 200 THEN 'R' ELSE 'H' END AS side, rank <= 50 AS exposed FROM (SELECT o_orderkey, row_number() OVER (ORDER BY md5(o_orderkey::varchar)) AS rank FROM orders) WHERE rank <= 400")(lambda t: S.panel(t.orders.select("o_orderkey"), F.col("o_orderkey"), 200, 50).select("o_orderkey", F.col("rank").cast("long").alias("rank"), "side", "exposed"))
+add("panel_sample", "SELECT o_orderkey, rank, CASE WHEN rank <= (least(400, (SELECT count(*) FROM orders)) + 1) // 2 THEN 'R' ELSE 'H' END AS side, rank <= 50 AS exposed FROM (SELECT o_orderkey, row_number() OVER (ORDER BY md5(o_orderkey::varchar)) AS rank FROM orders) WHERE rank <= 400")(lambda t: S.panel(t.orders.select("o_orderkey"), F.col("o_orderkey"), 200, 50).select("o_orderkey", F.col("rank").cast("long").alias("rank"), "side", "exposed"))
 add("hash_band_sample", f"SELECT o_orderkey FROM orders WHERE {H.format(salt='band', key='o_orderkey')} % 100 < 7")(lambda t: S.hash_band(t.orders, F.col("o_orderkey"), "band", 7, 100).select("o_orderkey"))
 add("scope_multiset_difference", "SELECT o_custkey, o_orderstatus FROM orders EXCEPT ALL SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0")(lambda t: S.scope_diff(t.orders.select("o_custkey", "o_orderstatus"), t.orders.where("o_orderkey % 3 = 0").select("o_custkey", "o_orderstatus")))
 add("latest_per_key", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")(lambda t: S.latest(t.events, ["user_id"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_id", "event_type"))
@@ -173,7 +173,7 @@ _cols = ", ".join(MEM)
 add("exact_matches", f"SELECT count(*) AS n, count(*) FILTER (WHERE m) AS matches, round(count(*) FILTER (WHERE m) / count(*), 6) AS rate FROM (SELECT ({_cols}) IN (SELECT ({_cols}) FROM orders WHERE o_orderkey % 2 = 0) AS m FROM {PLANTED})")(lambda t: M.exact_matches(t.planted(), t.side("orders", "o_orderkey", 0), MEM))
 _near = " OR ".join("EXISTS (SELECT 1 FROM src s WHERE " + " AND ".join(f"s.{c} {'<>' if c == x else '='} p.{c}" for c in MEM) + ")" for x in MEM)
 add("near_matches", f"WITH src AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0), p AS (SELECT * FROM {PLANTED}) SELECT count(*) AS n, count(*) FILTER (WHERE ({_near}) AND ({_cols}) NOT IN (SELECT ({_cols}) FROM src)) AS near FROM p")(lambda t: M.near_matches(t.planted(), t.side("orders", "o_orderkey", 0), MEM))
-add("memorization_lifts", f"WITH pan AS (SELECT o_custkey, o_orderstatus, CASE WHEN rank <= 3000 THEN 'R' ELSE 'H' END AS side FROM (SELECT *, row_number() OVER (ORDER BY md5(o_orderkey::varchar)) AS rank FROM orders WHERE o_orderkey % 2 = 0) WHERE rank <= 6000), k AS (SELECT o_custkey, o_orderstatus, max((side = 'R')::int) AS r, max((side = 'H')::int) AS h FROM pan GROUP BY ALL), j AS (SELECT k.*, EXISTS (SELECT 1 FROM {PLANTED} p WHERE p.o_custkey = k.o_custkey AND p.o_orderstatus = k.o_orderstatus) AS s FROM k), c AS (SELECT count(*) FILTER (WHERE r = 1 AND h = 0) AS r_only, count(*) FILTER (WHERE h = 1 AND r = 0) AS h_only, count(*) FILTER (WHERE r = 1 AND h = 0 AND s) AS r_hit, count(*) FILTER (WHERE h = 1 AND r = 0 AND s) AS h_hit FROM j) SELECT *, CASE WHEN h_hit > 0 THEN round((r_hit / r_only) / (h_hit / h_only), 6) END AS lift FROM c")(lambda t: M.lifts(t.planted(), S.panel(t.side("orders", "o_orderkey", 0), F.col("o_orderkey"), 3000, 100), ["o_custkey", "o_orderstatus"]))
+add("memorization_lifts", f"WITH pan AS (SELECT o_custkey, o_orderstatus, CASE WHEN rank <= (least(6000, (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0)) + 1) // 2 THEN 'R' ELSE 'H' END AS side FROM (SELECT *, row_number() OVER (ORDER BY md5(o_orderkey::varchar)) AS rank FROM orders WHERE o_orderkey % 2 = 0) WHERE rank <= 6000), k AS (SELECT o_custkey, o_orderstatus, max((side = 'R')::int) AS r, max((side = 'H')::int) AS h FROM pan GROUP BY ALL), j AS (SELECT k.*, EXISTS (SELECT 1 FROM {PLANTED} p WHERE p.o_custkey = k.o_custkey AND p.o_orderstatus = k.o_orderstatus) AS s FROM k), c AS (SELECT count(*) FILTER (WHERE r = 1 AND h = 0) AS r_only, count(*) FILTER (WHERE h = 1 AND r = 0) AS h_only, count(*) FILTER (WHERE r = 1 AND h = 0 AND s) AS r_hit, count(*) FILTER (WHERE h = 1 AND r = 0 AND s) AS h_hit FROM j) SELECT *, CASE WHEN h_hit > 0 THEN round((r_hit / r_only) / (h_hit / h_only), 6) END AS lift FROM c")(lambda t: M.lifts(t.planted(), S.panel(t.side("orders", "o_orderkey", 0), F.col("o_orderkey"), 3000, 100), ["o_custkey", "o_orderstatus"]))
 add("duplicate_rate", f"SELECT count(*) AS n, coalesce(sum(c) FILTER (WHERE c > 1), 0)::bigint AS duplicates, round(coalesce(sum(c) FILTER (WHERE c > 1), 0) / sum(c), 6) AS rate FROM (SELECT o_custkey, o_totalprice, count(*) AS c FROM {PLANTED} GROUP BY ALL)".replace("SELECT count(*) AS n,", "SELECT sum(c)::bigint AS n,"))(lambda t: M.duplicate_rate(t.planted(), ["o_custkey", "o_totalprice"]))
 add("substantive_copies", f"""SELECT 'o_totalprice' AS "column", coalesce(sum(t) FILTER (WHERE s BETWEEN 1 AND 9), 0)::bigint AS copies, sum(t)::bigint AS n FROM (SELECT v, count(*) FILTER (WHERE side = 0) AS s, count(*) FILTER (WHERE side = 1) AS t FROM (SELECT o_totalprice AS v, 0 AS side FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_totalprice, 1 FROM {PLANTED}) WHERE v IS NOT NULL GROUP BY v)""")(lambda t: C.substantive_copies(C.sided(t.side("orders", "o_orderkey", 0), t.planted()), ["o_totalprice"], 10))
 
@@ -257,17 +257,21 @@ add("hashing_embedding", f"SELECT id, b AS bucket, sum(w)::bigint AS weight FROM
 _sc = "SELECT n_chars % 977 AS score, quality FROM documents JOIN labels USING (doc_id)"
 add("midrank_auc", f"WITH s AS ({_sc}), r AS (SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS r FROM s), c AS (SELECT sum(r) FILTER (WHERE quality = 1) AS w, count(*) FILTER (WHERE quality = 1) AS p, count(*) FILTER (WHERE quality = 0) AS n FROM r) SELECT round((w - p * (p + 1) / 2) / (p * n), 6) AS auc FROM c")(lambda t: X.auc(t.documents.join(t.labels, "doc_id").select((F.col("n_chars") % 977).alias("score"), "quality"), "score", "quality"))
 add("roc_points", f"WITH s AS ({_sc}), g AS (SELECT score, count(*) FILTER (WHERE quality = 1) AS p, count(*) FILTER (WHERE quality = 0) AS n FROM s GROUP BY score) SELECT score, round(sum(n) OVER (ORDER BY score DESC) / sum(n) OVER (), 6) AS fpr, round(sum(p) OVER (ORDER BY score DESC) / sum(p) OVER (), 6) AS tpr FROM g")(lambda t: X.roc(t.documents.join(t.labels, "doc_id").select((F.col("n_chars") % 977).alias("score"), "quality"), "score", "quality"))
-_gow = "SELECT q.s_suppkey AS id, round((least(1.0, abs(q.s_acctbal - r.c_acctbal) / 11000) + (q.s_nationkey <> r.c_nationkey)::int) / 2, 8) AS d FROM supplier q, (SELECT c_acctbal, c_nationkey FROM customer ORDER BY md5(c_custkey::varchar) LIMIT {n} OFFSET {o}) r"
+_gow = "SELECT q.s_suppkey AS id, round((least(1.0, abs(q.s_acctbal - r.c_acctbal) / 11000) + (q.s_nationkey <> r.c_nationkey)::int) / 2, 8) AS d FROM supplier q, (SELECT c_acctbal, c_nationkey FROM (SELECT *, row_number() OVER (ORDER BY md5(c_custkey::varchar)) AS rank FROM customer) WHERE rank <= 4000 AND (rank <= (least(4000, (SELECT count(*) FROM customer)) + 1) // 2) = {r}) r"
 _g2 = "SELECT id, max(d) FILTER (WHERE n = 1) AS d1, max(d) FILTER (WHERE n = 2) AS d2 FROM (SELECT id, d, row_number() OVER (PARTITION BY id ORDER BY d) AS n FROM ({g})) WHERE n <= 2 GROUP BY id"
 
 
+#: Rows of R and of H, and of each side of density and coverage; all rows where there are fewer.
+PANEL = 2000
+
+
 def _gower(t: Tables, side: str) -> DataFrame:
-    ref = S.panel(t.customer.select("c_custkey", F.col("c_acctbal").alias("s_acctbal"), F.col("c_nationkey").alias("s_nationkey")), F.col("c_custkey"), 70, 1).where(F.col("side") == side)
+    ref = S.panel(t.customer.select("c_custkey", F.col("c_acctbal").alias("s_acctbal"), F.col("c_nationkey").alias("s_nationkey")), F.col("c_custkey"), PANEL, 1).where(F.col("side") == side)
     return X.gower_nearest(t.supplier, ref, {"s_acctbal": 11_000.0}, ["s_nationkey"], "s_suppkey")
 
 
-add("gower_nearest", _g2.format(g=_gow.format(n=70, o=0)))(lambda t: _gower(t, "R"))
-add("dcr_share", f"WITH r AS ({_g2.format(g=_gow.format(n=70, o=0))}), h AS ({_g2.format(g=_gow.format(n=70, o=70))}) SELECT round(avg(CASE WHEN r.d1 < h.d1 THEN 1.0 WHEN r.d1 = h.d1 THEN 0.5 ELSE 0.0 END), 6) AS dcr_share, round(avg(CASE WHEN r.d2 > 0 THEN r.d1 / r.d2 ELSE 1.0 END), 5) AS nndr_mean FROM r JOIN h USING (id)")(lambda t: X.nearest_summary(_gower(t, "R"), _gower(t, "H")))
+add("gower_nearest", _g2.format(g=_gow.format(r='true')))(lambda t: _gower(t, "R"))
+add("dcr_share", f"WITH r AS ({_g2.format(g=_gow.format(r='true'))}), h AS ({_g2.format(g=_gow.format(r='false'))}) SELECT round(avg(CASE WHEN r.d1 < h.d1 THEN 1.0 WHEN r.d1 = h.d1 THEN 0.5 ELSE 0.0 END), 6) AS dcr_share, round(avg(CASE WHEN r.d2 > 0 THEN r.d1 / r.d2 ELSE 1.0 END), 5) AS nndr_mean FROM r JOIN h USING (id)")(lambda t: X.nearest_summary(_gower(t, "R"), _gower(t, "H")))
 add("rag_chunks", "SELECT md5(i || '|' || kind) AS chunk_id, kind, text FROM (SELECT p_partkey::varchar AS i, 'row_doc' AS kind, 'p_brand is ' || p_brand || ', p_size is ' || p_size::varchar AS text FROM part UNION ALL SELECT p_partkey::varchar, 'free_text:p_name', p_name FROM part WHERE p_name IS NOT NULL)")(lambda t: X.chunks(t.part, "p_partkey", ["p_name"], ["p_brand", "p_size"]))
 
 # ---- streams ---------------------------------------------------------------------------------
@@ -276,11 +280,11 @@ add("streaming_windows", "SELECT epoch_us(time_bucket(INTERVAL '1 hour', ts)) AS
 
 # ---- privacy, detection, whole runs ------------------------------------------------------------
 
-_pan = "(SELECT c_custkey AS id, c_acctbal / 11000 AS x, c_nationkey / 25.0::double AS y FROM customer WHERE c_custkey % 2 = {s} ORDER BY md5(c_custkey::varchar) LIMIT 150)"
+_pan = "(SELECT c_custkey AS id, c_acctbal / 11000 AS x, c_nationkey / 25.0::double AS y FROM customer WHERE c_custkey % 2 = {s} ORDER BY md5(c_custkey::varchar) LIMIT 2000)"
 
 
 def _points(t: Tables, s: int) -> DataFrame:
-    rows = S.reference_sample(t.side("customer", "c_custkey", s), F.col("c_custkey"), 150)
+    rows = S.reference_sample(t.side("customer", "c_custkey", s), F.col("c_custkey"), PANEL)
     return rows.select(F.col("c_custkey").alias("id"), (F.col("c_acctbal") / 11000).alias("x"), (F.col("c_nationkey") / 25.0).alias("y"))
 
 

@@ -17,13 +17,14 @@ def reference_sample(df: DataFrame, key: Column, n: int, where: Column | None =
 
 
 def panel(df: DataFrame, key: Column, n: int, exposed: int) -> DataFrame:
-    """First 2n rows in md5 order with ``rank``, ``side`` (R: 1..n, H: the rest) and ``exposed``.
+    """First 2n rows in md5 order with ``rank``, ``side`` (R: 1..n, H: the rest) and ``exposed``; of a smaller
+    table all rows, half of them on each side.
 
     The limit comes first (top-k by task), so the one-partition ranking sees 2n rows.
     """
     top = df.withColumn("_r", F.md5(key.cast("string"))).orderBy("_r").limit(2 * n)
-    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy("_r"))).drop("_r")
-    return ranked.withColumn("side", F.when(F.col("rank") <= n, "R").otherwise("H")).withColumn("exposed", F.col("rank") <= exposed)
+    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy("_r"))).withColumn("_half", F.floor((F.count(F.lit(1)).over(Window.partitionBy()) + 1) / 2)).drop("_r")
+    return ranked.withColumn("side", F.when(F.col("rank") <= F.col("_half"), "R").otherwise("H")).withColumn("exposed", F.col("rank") <= exposed).drop("_half")
 
 
 def hash_band(df: DataFrame, key: Column, salt: str, keep: int, of: int) -> DataFrame:
