@@ -206,7 +206,7 @@ def planning(df: DataFrame, columns: list[str]) -> DataFrame:
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
-        aggs.append(F.struct(F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(c).isNull()).alias("n_null"), F.countDistinct(c).alias("n_distinct"), F.round(F.avg(x), 6).alias("mean"), F.round(F.stddev_pop(x), 6).alias("std"), F.min(x).alias("minimum"), F.max(x).alias("maximum")).alias(c))
+        aggs.append(F.struct(F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(c).isNull()).alias("n_null"), F.countDistinct(c).alias("n_distinct"), F.round(F.avg(x), 4).alias("mean"), F.round(F.stddev_pop(x), 4).alias("std"), F.min(x).alias("minimum"), F.max(x).alias("maximum")).alias(c))
     return df.agg(*aggs).select(F.explode(F.array(*columns)).alias("s")).select("s.*")
 
 

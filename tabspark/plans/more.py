@@ -141,7 +141,7 @@ add("delong_interval", f"WITH g AS (SELECT score, count(*) FILTER (WHERE quality
 
 # ---- profiles ---------------------------------------------------------------------------------------
 
-_pl = lambda c: f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_null, count(DISTINCT {c}) AS n_distinct, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std, min({c})::double AS minimum, max({c})::double AS maximum FROM lineitem"
+_pl = lambda c: f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_null, count(DISTINCT {c}) AS n_distinct, round(avg({c}), 4) AS mean, round(stddev_pop({c}), 4) AS std, min({c})::double AS minimum, max({c})::double AS maximum FROM lineitem"
 add("planning_aggregate", " UNION ALL ".join(map(_pl, NUM)))(lambda t: P.planning(t.lineitem, NUM))
 add("string_profile", "SELECT count(*) AS n, count(*) FILTER (WHERE p_name IS NULL) AS n_null, count(*) FILTER (WHERE trim(p_name) = '') AS n_empty, count(DISTINCT p_name) AS n_distinct, min(length(p_name)) AS min_length, max(length(p_name)) AS max_length, round(avg(length(p_name)), 6) AS mean_length FROM part")(lambda t: P.strings(t.part, "p_name"))
 add("temporal_profile", "SELECT epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us, round(avg((ts = date_trunc('day', ts))::int), 6) AS day_share, round(avg((ts > TIMESTAMP '2024-01-10 00:00:00')::int), 6) AS future_share FROM events")(lambda t: P.temporal(t.events, "ts", "2024-01-10 00:00:00"))

@@ -328,10 +328,18 @@ add("propensity_ratio", None)(lambda t: Y.pmse_ratio(Y.out_of_fold_scores(t.both
 def _generated(t: Tables) -> DataFrame:
     from .evaluate import generate_model
 
-    model = R.Model(["customer", "orders"], [R.Edge("orders", "customer", (("o_custkey", "c_custkey"),))])
-    made = generate_model({"customer": t.customer, "orders": t.orders}, model, {"customer": 500}, "run")
+    from .evaluate import TableSpec
+
+    model = R.Model(["customer", "supplier", "orders"], [R.Edge("orders", "customer", (("o_custkey", "c_custkey"),)), R.Edge("orders", "supplier", (("o_suppkey", "s_suppkey"),))])
+    specs = {"customer": TableSpec("customer", ["c_custkey"]), "supplier": TableSpec("supplier", ["s_suppkey"]), "orders": TableSpec("orders", ["o_orderkey"], categorical=["o_orderpriority"])}
+    made = generate_model({"customer": t.customer, "supplier": t.supplier, "orders": t.orders}, model, specs, "run")
     return made["orders"]
 
 
 _hist = "SELECT k, sum(c) OVER (ORDER BY k) - c AS lo, sum(c) OVER (ORDER BY k) AS hi, sum(c) OVER () AS n FROM (SELECT k, count(*) AS c FROM (SELECT c_custkey, count(o_orderkey) AS k FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1) GROUP BY k)"
-add("generated_model", f"WITH w AS ({_hist}), p AS (SELECT {H.format(salt='run|customer', key='i')} AS o_custkey FROM range(0, 500) r(i)), d AS (SELECT o_custkey, {U.format(salt='run|orders', key='o_custkey')} AS u FROM p), e AS (SELECT o_custkey, unnest(range(1, k + 1)) AS j FROM d JOIN w ON u >= lo / n AND u < hi / n WHERE k > 0) SELECT o_custkey, {H.format(salt='run|orders|key', key="(o_custkey::varchar || '|' || j::varchar)")} AS key FROM e")(_generated)
+_row_ = "(o_custkey::varchar || '|' || j::varchar)"
+_prio = "SELECT v, sum(c) OVER (ORDER BY v) - c AS lo, sum(c) OVER (ORDER BY v) AS hi, sum(c) OVER () AS n FROM (SELECT o_orderpriority AS v, count(*) AS c FROM orders GROUP BY 1)"
+add("generated_model", f"""WITH w AS ({_hist}), p AS (SELECT {H.format(salt='run|customer|c_custkey', key='i')} AS o_custkey FROM range(0, (SELECT count(*) FROM customer)) r(i)), d AS (SELECT o_custkey, {U.format(salt='run|orders', key='o_custkey')} AS u FROM p), e AS (SELECT o_custkey, unnest(range(1, k + 1)) AS j FROM d JOIN w ON u >= lo / n AND u < hi / n WHERE k > 0),
+ s AS (SELECT {H.format(salt='run|supplier|s_suppkey', key='i')} AS key FROM range(0, (SELECT count(*) FROM supplier)) r(i)), t AS (SELECT key, row_number() OVER (ORDER BY lpad(key::varchar, 20, '0')) - 1 AS place FROM s), c AS ({_prio}),
+ f AS (SELECT o_custkey, j, floor({U.format(salt='run|orders|supplier', key=_row_)} * (SELECT count(*) FROM s))::bigint AS x, {U.format(salt='run|orders|o_orderpriority', key=_row_)} AS v FROM e)
+ SELECT o_custkey, t.key AS o_suppkey, {H.format(salt='run|orders|o_orderkey', key=_row_)} AS o_orderkey, c.v AS o_orderpriority FROM f JOIN t ON t.place = x JOIN c ON f.v >= lo / n AND f.v < hi / n""")(_generated)

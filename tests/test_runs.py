@@ -20,7 +20,8 @@ def test_planted_defects_are_found(spark):
     assert by["field.category_adherence", "o_orderstatus"].value < 1
     same = {(r.metric_id, r.unit): r for r in E.evaluate(source, source, _spec()).collect()}
     assert same["column.tvd", "o_orderstatus"].value == 0 and same["column.ks", "o_totalprice"].status == "PASS"
-    assert "row.exact_match_rate_nonkey" in E.report(scored)
+    assert "row.exact_match_rate_nonkey" in E.report(scored) and '"FAIL"' in E.report_json(scored) and "column.ks" in E.render_catalogue()
+    assert len({m for m, _ in by}) >= 40 and by["column.tvd", "o_orderstatus"].noise > 0
     edges = {r.metric_id: r.value for r in E.edge_metrics((source, t.customer), (t.planted(), t.customer), "o_custkey", "c_custkey", "orders", "orders->customer").collect()}
     assert edges["relationship.orphan_rate"] > 0
 
@@ -34,9 +35,13 @@ def test_generated_tables(spark):
     low, high = t.orders.agg(F.min("o_totalprice"), F.max("o_totalprice")).first()
     assert made.where(~F.col("o_totalprice").between(low, high)).isEmpty()
     model = R.Model(["customer", "orders"], [R.Edge("orders", "customer", (("o_custkey", "c_custkey"),))])
-    keys = E.generate_model({"customer": t.customer, "orders": t.orders}, model, {"customer": 300}, "x")
-    orphans = keys["orders"].join(keys["customer"], F.col("o_custkey") == keys["customer"]["key"], "left_anti")
-    assert keys["customer"].count() == 300 and orphans.isEmpty()
+    specs = {"customer": E.TableSpec("customer", ["c_custkey"], categorical=["c_mktsegment"], numeric=["c_acctbal"]), "orders": E.TableSpec("orders", ["o_orderkey"], categorical=["o_orderstatus"], numeric=["o_totalprice"], temporal=["o_orderdate"])}
+    made = E.generate_model({"customer": t.customer, "orders": t.orders}, model, specs, "x", {"customer": 300})
+    orphans = made["orders"].join(made["customer"], F.col("o_custkey") == F.col("c_custkey"), "left_anti")
+    assert made["customer"].count() == 300 and orphans.isEmpty() and made["orders"].count() > 300
+    assert set(made["orders"].columns) == {"o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"}
+    first, last = t.orders.agg(F.min("o_orderdate").cast("timestamp"), F.max("o_orderdate").cast("timestamp")).first()
+    assert made["orders"].where(~F.col("o_orderdate").between(first, last)).isEmpty()
 
 
 def test_profile_frames(spark):
