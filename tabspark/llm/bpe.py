@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 
 from .common import file_bytes, kept, list_array, text_blocks
 
+#: Bytes that a batch of decoded rows has at most; a longer row can't be a value of a binary column.
+PIECE = (1 << 31) - 1
 #: Distinct pre-tokens whose ids a worker remembers; it forgets all when the memory is full.
 CACHE = 900_000
 
@@ -218,19 +220,27 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "
     spark = encoded.sparkSession
     table = spark.sparkContext.broadcast(file_bytes(ranks_path))
 
+    def pieces(codec: ByteBPE, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lists = part.column("ids")
+        ids = lists.flatten().to_numpy()
+        if codec.sizes[ids].sum() >= PIECE:  # offsets of a binary column have 32 bits
+            if len(part) == 1:
+                raise ValueError(f"one row stands for more than {PIECE} bytes")
+            yield from pieces(codec, part.slice(0, len(part) // 2))
+            yield from pieces(codec, part.slice(len(part) // 2))
+            return
+        data, ends = codec.decode_flat(ids)
+        sizes = np.array([x or 0 for x in pc.list_value_length(lists).to_pylist()], "i8")
+        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])].astype("i4")
+        decoded = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(edges), pa.py_buffer(data)])
+        yield pa.RecordBatch.from_arrays([part.column("id"), lists, decoded], ["id", "ids", "decoded"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = built(table.value, pattern)
         for batch in batches:
             # a batch of short ids may stand for many bytes: slices keep what is held small
             for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                lists = part.column("ids")
-                ids = lists.flatten().to_numpy()
-                data, ends = codec.decode_flat(ids)
-                sizes = np.array([x or 0 for x in pc.list_value_length(lists).to_pylist()], "i8")
-                edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])].astype("i4")
-                decoded = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(edges), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([part.column("id"), lists, decoded], ["id", "ids", "decoded"])
+                yield from pieces(codec, batch.slice(at, 500))
 
     kind = encoded.schema[id_col].dataType
     schema = T.StructType([T.StructField("id", kind), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])

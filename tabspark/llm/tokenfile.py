@@ -194,6 +194,8 @@ def built(table: bytes) -> Words:
     return kept("tokenfile", hash(table), len(table), build=lambda: Words(table))
 
 
+#: Bytes of input files for a shard, about.
+SHARD = 128 << 20
 SEGMENTS = T.StructType(
     [
         T.StructField("shard", T.IntegerType()),
@@ -250,6 +252,10 @@ def write(docs: DataFrame, tokenizer_path: str, path: str | None = None, *, end_
             yield segment()
 
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    # as many shards as the session sets for exchanges, more where the input is larger than that allows for
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if shards is None and size // SHARD > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        shards = size // SHARD
     dealt = given.repartitionByRange(shards, "id") if shards else given.repartitionByRange("id")
     dealt.sortWithinPartitions("id", "text").mapInArrow(run, SEGMENTS).write.mode("overwrite").option("compression", "zstd").parquet(path)
     return path

@@ -50,7 +50,9 @@ def test_ties_and_lower_new_ranks():
         assert ours.encode(text) == theirs.encode_ordinary(text)
 
 
-def test_encode_decode_query(spark, library):
+@pytest.mark.parametrize("piece", [bpe.PIECE, 3500])
+def test_encode_decode_query(spark, library, monkeypatch, piece):
+    monkeypatch.setattr(bpe, "PIECE", piece)  # rows in one batch, and cut by their decoded bytes
     ids = bpe.encode(docs(spark), RANKS, P.PATTERN)
     got = bpe.digests(bpe.decode(ids, RANKS, P.PATTERN)).collect()
     want = []
