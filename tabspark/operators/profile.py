@@ -239,3 +239,33 @@ def literals(df: DataFrame, column: str, salt: str) -> DataFrame:
 def payloads(rows: DataFrame) -> DataFrame:
     """``rows`` with ``payload``: each as JSON, as profiles are stored."""
     return rows.withColumn("payload", F.to_json(F.struct(*rows.columns)))
+
+
+def table_profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """column, statistic, value: the counts and mixes of the columns as rows, from one aggregation by value."""
+    by_value = unpivot(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
+    some = F.col("value").isNotNull()
+    n = F.sum(F.when(some, F.col("c"))).cast("double")
+    one = by_value.groupBy("column").agg(
+        F.sum("c").cast("double").alias("rows"),
+        F.coalesce(F.sum(F.when(~some, F.col("c"))), F.lit(0)).cast("double").alias("nulls"),
+        F.count("value").cast("double").alias("distinct"),
+        F.round(F.abs(F.log2(n) - F.sum(F.when(some, F.col("c") * F.log2("c"))) / n), 6).alias("entropy"),
+        F.round(F.max(F.when(some, F.col("c"))) / n, 6).alias("top1_share"),
+        F.count_if(some & (F.col("c") == 1)).cast("double").alias("singletons"),
+    )
+    names = [c for c in one.columns if c != "column"]
+    return one.select("column", F.explode(F.array(*[F.struct(F.lit(x).alias("statistic"), F.col(x).alias("value")) for x in names])).alias("s")).select("column", "s.*")
+
+
+def profile_diff(a: DataFrame, b: DataFrame) -> DataFrame:
+    """column, statistic, value_a, value_b, delta of two :func:`table_profile` frames; a side that lacks one is null."""
+    on = ["column", "statistic"]
+    met = a.withColumnRenamed("value", "value_a").join(b.withColumnRenamed("value", "value_b"), on, "full_outer")
+    return met.select(*on, "value_a", "value_b", F.round(F.col("value_b") - F.col("value_a"), 6).alias("delta"))
+
+
+def copy_flags(counted: DataFrame, least: int, share: float) -> DataFrame:
+    """column, source_distinct, copied: of a census, the columns of more than ``least`` source values of which at least ``share`` occur on the other side."""
+    by = counted.groupBy("column").agg(F.count_if(F.col("c_src") > 0).alias("source_distinct"), F.round(F.count_if((F.col("c_src") > 0) & (F.col("c_syn") > 0)) / F.count_if(F.col("c_src") > 0), 6).alias("copied"))
+    return by.where((F.col("source_distinct") > least) & (F.col("copied") >= share))

@@ -151,3 +151,87 @@ class Model:
 
     def mermaid(self) -> str:
         return "\n".join(["erDiagram", *[f"  {e.parent} ||--o{{ {e.child} : {'-'.join(c for c, _ in e.columns)}" for e in self.edges]])
+
+    def widened(self, table: str) -> dict[Edge, tuple[tuple[str, str], ...]]:
+        """A table's edges with the column pairs that a child of it pins: where a child refers to a column of
+        the table that the table itself takes from a parent, and to that parent by the same column, the pair
+        belongs to the edge."""
+        out = {}
+        for e in (e for e in self.edges if e.child == table):
+            pairs = list(e.columns)
+            for low in (x for x in self.edges if x.parent == table):
+                for up in (x for x in self.edges if x.child == low.child and x.parent == e.parent):
+                    by_child = dict(low.columns)
+                    pairs += [(by_child[c], p) for c, p in up.columns if c in by_child and (by_child[c], p) not in pairs]
+            out[e] = tuple(pairs)
+        return out
+
+    def overlap(self, edge: Edge) -> tuple[list[str], list[str]]:
+        """The child columns that an edge shares with the driving edge, and its others."""
+        main = self.driving(edge.child)
+        drive = {c for c, _ in main.columns} if main and main is not edge else set()
+        own = [c for c, _ in edge.columns]
+        return [c for c in own if c in drive], [c for c in own if c not in drive]
+
+    def check_ownership(self) -> None:
+        """Two edges that don't drive may not write one column."""
+        for t in self.tables:
+            owner: dict[str, Edge] = {}
+            main = self.driving(t)
+            for e in (e for e in self.edges if e.child == t and e.enforced and e is not main):
+                for c in self.overlap(e)[1]:
+                    if c in owner:
+                        raise ValueError(f"{t}.{c} is written by the edges to {owner[c].parent} and to {e.parent}")
+                    owner[c] = e
+
+    def digest(self) -> str:
+        """A name of the content: the same for the same tables and edges in any order."""
+        import hashlib
+
+        lines = [*sorted(self.tables), *sorted(repr(e) for e in self.edges)]
+        return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16]
+
+    def card(self) -> str:
+        """Tables in the order in which they are made, with the roles of their edges."""
+        lines = []
+        for n, wave in enumerate(self.waves()):
+            for t in wave:
+                roles = "; ".join(f"{role} {e.parent} by {', '.join(c for c, _ in e.columns)}" for e, role in self.roles(t).items())
+                lines.append(f"{n}. {t}" + (f": {roles}" if roles else ""))
+        return "\n".join(lines)
+
+    def launch(self, wanted: list[str], landed: list[str] = ()) -> list[str]:
+        """The tables to make, in order: those wanted and the enforced parents that have not landed."""
+        todo, found = list(wanted), set()
+        while todo:
+            t = todo.pop()
+            if t not in found and t not in landed:
+                found.add(t)
+                todo += [e.parent for e in self.edges if e.child == t and e.enforced]
+        return [t for wave in self.waves() for t in wave if t in found]
+
+
+#: Families of key types; a key of one family can refer to one of the same.
+FAMILIES = {"bigint": "integer", "int": "integer", "smallint": "integer", "tinyint": "integer", "string": "text", "double": "float", "float": "float", "date": "date", "timestamp": "time", "timestamp_ntz": "time", "boolean": "boolean", "binary": "bytes"}
+
+
+def incompatible(edge: Edge, child: DataFrame, parent: DataFrame) -> list[str]:
+    """The column pairs of an edge whose types are of different families: it can't be evaluated."""
+    own, theirs = dict(child.dtypes), dict(parent.dtypes)
+    family = lambda t: "decimal" if t.startswith("decimal") else FAMILIES.get(t, t)
+    return [f"{c} {own.get(c)} and {p} {theirs.get(p)}" for c, p in edge.columns if own.get(c) is None or theirs.get(p) is None or family(own[c]) != family(theirs[p])]
+
+
+def load_model(text: str) -> Model:
+    """A model from YAML: ``tables`` and ``edges`` of child, parent, columns (child: parent), enforced, drives; other keys are errors."""
+    import yaml
+
+    given = yaml.safe_load(text) or {}
+    if extra := set(given) - {"tables", "edges"}:
+        raise ValueError(f"unknown keys {sorted(extra)}")
+    edges = []
+    for e in given.get("edges") or []:
+        if extra := set(e) - {"child", "parent", "columns", "enforced", "drives"}:
+            raise ValueError(f"unknown keys {sorted(extra)} of an edge")
+        edges.append(Edge(e["child"], e["parent"], tuple(e["columns"].items()), e.get("enforced", True), e.get("drives", False)))
+    return Model(list(given.get("tables") or []), edges)

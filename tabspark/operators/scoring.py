@@ -236,3 +236,17 @@ def model_families(rows: DataFrame) -> DataFrame:
     """family, score: each family's mean over tables, of means over units."""
     unit = rows.where("score IS NOT NULL").groupBy("table_name", "family", "unit").agg(F.avg("score").alias("s"))
     return unit.groupBy("table_name", "family").agg(F.avg("s").alias("s")).groupBy("family").agg(F.round(F.avg("s"), 6).alias("score"))
+
+
+def rate_ratios(rows: DataFrame) -> DataFrame:
+    """``rows`` (k1, n1, k2, n2: hits and trials of two groups) with ci_low and ci_high of the ratio of the rates, conditional on k1 + k2."""
+    from pyspark.sql.types import DoubleType, StructField, StructType
+
+    from .planning import rate_ratio
+
+    def run(frames):
+        for f in frames:
+            bounds = [rate_ratio(*map(int, r)) if r[0] + r[2] else (0.0, math.inf) for r in f[["k1", "n1", "k2", "n2"]].itertuples(index=False)]
+            yield f.assign(ci_low=[b[0] for b in bounds], ci_high=[b[1] for b in bounds])
+
+    return rows.mapInPandas(run, StructType([*rows.schema.fields, StructField("ci_low", DoubleType()), StructField("ci_high", DoubleType())]))

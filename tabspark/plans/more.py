@@ -17,6 +17,7 @@ from ..operators import scoring as K
 from ..operators import text as X
 from ..operators import validate as V
 from ..operators import vectors as W
+from ..streaming import events as E
 from .queries import CENSUS, EDGES, H, MEM, NUM, PLANTED, SCORED, SHARES, Tables, U, _bin, _fan, _rk, _scored, add
 
 # ---- scopes and filters -------------------------------------------------------------------
@@ -216,3 +217,58 @@ add("rule_catalogue", f"SELECT * FROM {_rc}")(lambda t: V.rule_catalogue(t.spark
 add("shape_and_trend", f"SELECT table_name, round(avg(score) FILTER (WHERE starts_with(metric_id, 'column.')), 6) AS column_shape_score, round(avg(score) FILTER (WHERE starts_with(metric_id, 'pair.')), 6) AS pair_trend_score FROM {SCORED} GROUP BY 1")(lambda t: K.shape_and_trend(_scored(t)))
 add("model_families", f"WITH u AS (SELECT table_name, family, unit, avg(score) AS s FROM {SCORED} WHERE score IS NOT NULL GROUP BY ALL) SELECT family, round(avg(s), 6) AS score FROM (SELECT table_name, family, avg(s) AS s FROM u GROUP BY ALL) GROUP BY family")(lambda t: K.model_families(_scored(t)))
 add("fail_on", f"SELECT count(*) FILTER (WHERE status IN ('FAIL', 'WARN')) AS hits, (count(*) FILTER (WHERE status IN ('FAIL', 'WARN')) > 0)::int AS exit_code FROM {SCORED}")(lambda t: K.fail_on(_scored(t), ["FAIL", "WARN"]))
+
+
+# ---- streams, functions, profiles as rows ---------------------------------------------------------------
+
+_ts = lambda t: t.events.withColumn("ts", F.col("ts").cast("timestamp"))
+add("sliding_windows", "SELECT epoch_us(w) AS start_us, count(*) AS n, round(sum(value), 4) AS total FROM (SELECT value, unnest([time_bucket(INTERVAL '30 minutes', ts), time_bucket(INTERVAL '30 minutes', ts) - INTERVAL '30 minutes']) AS w FROM events) GROUP BY 1")(lambda t: E.sliding(_ts(t), "1 hour", "30 minutes"))
+add("session_windows", "WITH g AS (SELECT user_id, ts, coalesce(ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL '20 minutes', true)::int AS new FROM events), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts, new DESC ROWS UNBOUNDED PRECEDING) AS s FROM g) SELECT user_id, epoch_us(min(ts)) AS start_us, count(*) AS n FROM s GROUP BY user_id, s")(lambda t: E.sessions(_ts(t), "20 minutes"))
+add("first_events", "SELECT DISTINCT user_id, event_type FROM events")(lambda t: E.first_of(_ts(t), ["user_id", "event_type"]).select("user_id", "event_type"))
+
+
+def _by_sql(t: Tables) -> DataFrame:
+    from ..functions import sql
+
+    sql.register(t.spark)
+    t.part.createOrReplaceTempView("_parts")
+    return t.spark.sql("SELECT p_partkey, shape_mask(p_name) AS mask, round(unit_of(cast(p_partkey AS string), 'sql'), 9) AS u, is_substantive(p_name) AS ok, stable_round(p_retailprice, 2) AS price FROM _parts")
+
+
+add("sql_functions", f"SELECT p_partkey, {_mask.format(c='p_name').replace('␣', ' ')} AS mask, round({U.format(salt='sql', key='p_partkey')}, 9) AS u, p_name IS NOT NULL AND trim(p_name) <> '' AS ok, round(p_retailprice * pow(10, 1 - floor(log10(abs(p_retailprice))))) / pow(10, 1 - floor(log10(abs(p_retailprice)))) AS price FROM part")(_by_sql)
+
+
+def _pieces(t: Tables) -> DataFrame:
+    from ..functions import sql
+
+    sql.register(t.spark)
+    t.part.createOrReplaceTempView("_parts")
+    return t.spark.sql("SELECT p_partkey, x.part, x.text FROM _parts, LATERAL pieces(p_name, 4) AS x")
+
+
+add("table_function", "SELECT p_partkey, i::int AS part, substr(p_name, (4 * i + 1)::int, 4) AS text FROM (SELECT p_partkey, p_name, unnest(range(0, (length(p_name) + 3) // 4)) AS i FROM part)")(_pieces)
+
+
+def _gini(t: Tables) -> DataFrame:
+    from ..functions import sql
+
+    sql.register(t.spark)
+    t.supplier.createOrReplaceTempView("_suppliers")
+    return t.spark.sql("SELECT s_nationkey, round(gini(abs(s_acctbal)), 6) AS gini FROM _suppliers GROUP BY s_nationkey")
+
+
+add("aggregate_function", "WITH r AS (SELECT s_nationkey, abs(s_acctbal) AS v, row_number() OVER (PARTITION BY s_nationkey ORDER BY abs(s_acctbal)) AS i, count(*) OVER (PARTITION BY s_nationkey) AS n FROM supplier) SELECT s_nationkey, round(2 * sum(v * i) / (max(n) * sum(v)) - (max(n) + 1) / max(n), 6) AS gini FROM r GROUP BY 1")(_gini)
+_tp = lambda c: f"SELECT '{c}' AS col, {c}::varchar AS v, count(*) AS c FROM orders WHERE {{w}} GROUP BY {c}"
+
+
+def _tps(w: str) -> str:
+    by = " UNION ALL ".join(_tp(c).format(w=w) for c in ("o_orderstatus", "o_orderpriority"))
+    one = f"SELECT col, sum(c)::double AS r, coalesce(sum(c) FILTER (WHERE v IS NULL), 0)::double AS nulls, count(v)::double AS d, round(abs(log2(sum(c) FILTER (WHERE v IS NOT NULL)) - sum(c * log2(c)) FILTER (WHERE v IS NOT NULL) / sum(c) FILTER (WHERE v IS NOT NULL)), 6) AS h, round(max(c) FILTER (WHERE v IS NOT NULL) / sum(c) FILTER (WHERE v IS NOT NULL), 6) AS t, (count(*) FILTER (WHERE v IS NOT NULL AND c = 1))::double AS s FROM ({by}) GROUP BY col"
+    return " UNION ALL ".join(f'SELECT col AS "column", \'{n}\' AS statistic, {c} AS value FROM ({one})' for n, c in (("rows", "r"), ("nulls", "nulls"), ("distinct", "d"), ("entropy", "h"), ("top1_share", "t"), ("singletons", "s")))
+
+
+_PR = ["o_orderstatus", "o_orderpriority"]
+add("table_profile", _tps("true"))(lambda t: P.table_profile(t.orders, _PR))
+add("profile_difference", f'SELECT a."column", a.statistic, a.value AS value_a, b.value AS value_b, round(b.value - a.value, 6) AS delta FROM ({_tps("o_orderkey % 2 = 0")}) a JOIN ({_tps("o_orderkey % 2 = 1")}) b ON a."column" = b."column" AND a.statistic = b.statistic')(lambda t: P.profile_diff(*[P.table_profile(t.side("orders", "o_orderkey", s), _PR) for s in (0, 1)]))
+add("copy_flags", f'SELECT col AS "column", count(*) FILTER (WHERE c_src > 0) AS source_distinct, round(count(*) FILTER (WHERE c_src > 0 AND c_syn > 0) / count(*) FILTER (WHERE c_src > 0), 6) AS copied FROM ({SHARES}) GROUP BY col HAVING count(*) FILTER (WHERE c_src > 0) > 2 AND count(*) FILTER (WHERE c_src > 0 AND c_syn > 0) >= 0.3 * count(*) FILTER (WHERE c_src > 0)')(lambda t: P.copy_flags(C.census(_both(t), CENSUS), 2, 0.3))
+add("rate_ratio_intervals", None)(lambda t: K.rate_ratios(_rates(t).select(*[F.col(c).cast("long").alias(c) for c in ("k1", "n1", "k2", "n2")], "o_orderpriority")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, fmt: str = "parquet") -> DataFrame:
@@ -95,3 +96,44 @@ def append_event(df: DataFrame, event: str, path: str) -> None:
     if event not in ("RUNNING", "FINAL", "FAILED", "SKIPPED"):
         raise ValueError(f"unknown event {event}")
     df.withColumn("event", F.lit(event)).write.mode("append").parquet(path)
+
+
+def store_put(rows: DataFrame, path: str, digest: str) -> None:
+    """Keep rows under a content digest; an entry that is there already stays as it is."""
+    if not store_has(rows.sparkSession, path, digest):
+        rows.write.mode("errorifexists").parquet(f"{path}/digest={digest}")
+
+
+def store_has(spark: SparkSession, path: str, digest: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/digest={digest}")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def store_get(spark: SparkSession, path: str, digest: str) -> DataFrame | None:
+    """The rows kept under a digest; None if there are none."""
+    return spark.read.parquet(f"{path}/digest={digest}") if store_has(spark, path, digest) else None
+
+
+def write_disposed(df: DataFrame, path: str, append: bool = True, create: bool = True) -> None:
+    """Write under a disposition: append or truncate; without ``create`` only where there is a table already."""
+    spark = df.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not create and not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        raise ValueError(f"{path} doesn't exist and is not to be made")
+    df.write.mode("append" if append else "overwrite").parquet(path)
+
+
+def load_safe(schema: StructType) -> StructType:
+    """A schema without what loaders reject: metadata goes, at every depth."""
+
+    def plain(kind):
+        if isinstance(kind, StructType):
+            return StructType([StructField(f.name, plain(f.dataType), f.nullable) for f in kind.fields])
+        return ArrayType(plain(kind.elementType), kind.containsNull) if isinstance(kind, ArrayType) else kind
+
+    return plain(schema)
+
+
+def table_facts(df: DataFrame, key: list[str]) -> dict:
+    """The schema and declared key of a table, as plain values."""
+    return {"columns": [{"name": f.name, "type": f.dataType.simpleString(), "nullable": f.nullable} for f in df.schema.fields], "key": list(key)}

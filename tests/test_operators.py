@@ -68,3 +68,70 @@ def test_stream_equals_batch(spark, tmp_path):
     q.stop()
     key = lambda r: (r[0], r[1])
     assert sorted(map(tuple, spark.table("windows").collect()), key=key) == sorted(map(tuple, E.batch(events, "1 hour").collect()), key=key)
+
+
+def test_graph_rules():
+    from tabspark.operators import relational as R
+
+    m = R.load_model("""
+tables: [a, b, c]
+edges:
+  - {child: b, parent: a, columns: {b_a: a_id}}
+  - {child: c, parent: b, columns: {c_b: b_id, c_a: b_a}}
+  - {child: c, parent: a, columns: {c_a: a_id}}
+""")
+    assert m.waves() == [["a"], ["b"], ["c"]] and m.launch(["c"], ["a"]) == ["b", "c"]
+    edge = m.edges[2]
+    assert m.roles("c")[edge] == "implied" and m.overlap(edge) == (["c_a"], [])
+    assert ("b_a", "a_id") in m.widened("b")[m.edges[0]]
+    assert m.digest() == R.Model(["c", "b", "a"], m.edges[::-1]).digest() and "driving b by c_b, c_a" in m.card()
+    m.check_ownership()
+    two = R.Model(["a", "b", "c"], [R.Edge("c", "a", (("k", "id"),), drives=True), R.Edge("c", "b", (("x", "id"),)), R.Edge("c", "a", (("x", "other"),))])
+    with pytest.raises(ValueError):
+        two.check_ownership()
+    with pytest.raises(ValueError):
+        R.load_model("tables: [a]\nother: 1")
+
+
+def test_stores_and_dispositions(spark, tmp_path):
+    from tabspark import sources as S
+    from tabspark.operators import relational as R
+
+    rows = spark.range(3)
+    path = str(tmp_path / "store")
+    assert S.store_get(spark, path, "d1") is None
+    S.store_put(rows, path, "d1")
+    S.store_put(spark.range(9), path, "d1")
+    assert S.store_get(spark, path, "d1").count() == 3
+    with pytest.raises(ValueError):
+        S.write_disposed(rows, str(tmp_path / "none"), create=False)
+    S.write_disposed(rows, str(tmp_path / "t"))
+    S.write_disposed(rows, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 6
+    assert S.load_safe(rows.schema) == rows.schema and S.table_facts(rows, ["id"])["key"] == ["id"]
+    assert R.incompatible(R.Edge("x", "y", (("id", "id"),)), rows, rows.selectExpr("cast(id AS string) AS id"))
+
+
+def test_running_totals_in_ranges(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tabspark.operators import profile as P
+
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("x"), (F.col("id") % 3).alias("g"), F.lit(2).alias("c"))
+    monkeypatch.setattr(P, "PART", 2000)
+    assert len(P.cuts(rows, "x")) > 3
+    got = {(r.g, r.x): r.before for r in P.running(rows, "x", "c", by=("g",)).collect()}
+    want, sums = {}, {}
+    for x, g in sorted((i * 7919 % 5003, i % 3) for i in range(5000)):
+        want[g, x] = sums.get(g, 0)
+        sums[g] = want[g, x] + 2
+    assert got == want
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tabspark.__main__ import main
+
+    assert main(["catalogue"]) == 0 and "column.ks" in capsys.readouterr().out
+    source = "/root/testdata/sf0.001/customer.parquet"
+    assert main(["generate", "--source", source, "--key", "c_custkey", "--categorical", "c_mktsegment", "--rows", "20", "--out", str(tmp_path / "g")]) == 0
+    assert spark.read.parquet(str(tmp_path / "g")).count() == 20
