@@ -80,18 +80,33 @@ def roc(df: DataFrame, score: str, label: str) -> DataFrame:
     return by.crossJoin(F.broadcast(t)).select("score", above("tn", "before_n").alias("fpr"), above("tp", "before_p").alias("tpr"))
 
 
+#: Rows of a reference panel at most: it goes to every task as one array.
+PANEL = 100_000
+
+
 def gower_nearest(queries: DataFrame, reference: DataFrame, numeric: dict[str, float], categorical: list[str], id_col: str) -> DataFrame:
-    """id, d1, d2: distances to the nearest and second nearest reference row.
+    """id, d1, d2: distances to the nearest and second nearest reference row (null where there is none).
 
     Mean over columns of |a - b| / range, or of inequality; NULL equals NULL and differs from
-    a value by 1. The reference is a bounded panel, broadcast to all queries.
+    a value by 1. The reference is a bounded panel (its size is checked), broadcast as one
+    row; a query row runs over it and keeps two distances, so that no pair is ever a row.
     """
-    ref = reference.select(*[F.col(c).alias(f"_{c}") for c in [*numeric, *categorical]])
-    parts = [F.when(F.col(c).isNull() & F.col(f"_{c}").isNull(), 0.0).when(F.col(c).isNull() | F.col(f"_{c}").isNull(), 1.0).otherwise(F.least(F.lit(1.0), F.abs(F.col(c) - F.col(f"_{c}")) / r)) for c, r in numeric.items()]
-    parts += [F.when(F.col(c).eqNullSafe(F.col(f"_{c}")), 0.0).otherwise(1.0) for c in categorical]
-    d = queries.join(F.broadcast(ref), F.lit(True)).select(F.col(id_col).alias("id"), F.round(sum(parts, F.lit(0.0)) / len(parts), 8).alias("d"))
-    best = d.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("d"))).where("n <= 2")
-    return best.groupBy("id").agg(F.max(F.when(F.col("n") == 1, F.col("d"))).alias("d1"), F.max(F.when(F.col("n") == 2, F.col("d"))).alias("d2"))
+    ref = reference.select(F.struct(*numeric, *categorical).alias("r")).limit(PANEL + 1).agg(F.collect_list("r").alias("_ref"))
+    checked = ref.select(F.when(F.size("_ref") > PANEL, F.raise_error(F.lit(f"a reference of more than {PANEL} rows"))).otherwise(F.col("_ref")).alias("_ref"))
+
+    def distance(r: Column) -> Column:
+        parts = [F.when(F.col(c).isNull() & r[c].isNull(), 0.0).when(F.col(c).isNull() | r[c].isNull(), 1.0).otherwise(F.least(F.lit(1.0), F.abs(F.col(c) - r[c]) / n)) for c, n in numeric.items()]
+        parts += [F.when(F.col(c).eqNullSafe(r[c]), 0.0).otherwise(1.0) for c in categorical]
+        return F.round(sum(parts, F.lit(0.0)) / len(parts), 8)
+
+    far = F.lit(float("inf"))
+    two = F.aggregate(
+        F.transform("_ref", distance),
+        F.struct(far.alias("a"), far.alias("b")),
+        lambda t, d: F.when(d < t["a"], F.struct(d.alias("a"), t["a"].alias("b"))).when(d < t["b"], F.struct(t["a"].alias("a"), d.alias("b"))).otherwise(t),
+    )
+    met = queries.crossJoin(F.broadcast(checked)).select(F.col(id_col).alias("id"), two.alias("t"))
+    return met.select("id", *[F.when(F.col(f"t.{x}") < far, F.col(f"t.{x}")).alias(n) for x, n in (("a", "d1"), ("b", "d2"))])
 
 
 def chunks(df: DataFrame, id_col: str, text_cols: list[str], row_cols: list[str]) -> DataFrame:
