@@ -23,6 +23,8 @@ from .common import file_bytes, kept, text_blocks
 
 #: Characters of a chunk and of the overlap that the next chunk is given at first.
 CHUNK, OVERLAP = 1 << 15, 256
+#: Distinct texts whose counts a worker remembers; it forgets all when the memory is full.
+KNOWN = 500_000
 #: Characters before a cut whose scanning could depend on what follows it: longer than any
 #: look-ahead or fixed alternative of the pattern and than any special token (checked on load).
 MARGIN = 32
@@ -36,6 +38,7 @@ class Counter:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_str(table.decode())
+        self.known: dict[bytes, int] = {}  # counts by a text's 128-bit hash
         longest = max((len(t.content) for t in self.lib.get_added_tokens_decoder().values()), default=0)
         if longest > MARGIN - 8:
             raise ValueError(f"a special token of {longest} characters needs a larger margin")
@@ -101,24 +104,27 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, limit: int = 512, chun
     """``id_col, n_bytes, n_tokens, over_limit`` of every whole text, without a shuffle.
 
     Texts of up to ``chunk`` characters go to the library in batches; longer ones are
-    counted chunk by chunk, so memory is bounded by the chunk, not by the document.
+    counted chunk by chunk, so memory is bounded by the chunk, not by the document. A worker
+    counts equal texts once.
     A null text counts as empty (0 bytes, 0 tokens); null ids and repeated rows stay;
     other columns are ignored; an empty table gives an empty result.
     """
     table = docs.sparkSession.sparkContext.broadcast(file_bytes(tokenizer_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         counter = built(table.value)
         for batch in text_blocks(batches, 1 << 20):
             texts = [x or "" for x in batch.column("text").to_pylist()]
-            short = [i for i, x in enumerate(texts) if len(x) <= chunk]
-            counts = [0] * len(texts)
-            for i, n in zip(short, counter.whole([texts[i] for i in short]), strict=True):
-                counts[i] = n
-            for i, x in enumerate(texts):
-                if len(x) > chunk:
-                    counts[i] = counter.count(x, chunk, overlap)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), pa.array(counts, pa.int64())], ["id", "n_bytes", "n_tokens"])
+            keys = [xxhash.xxh3_128_digest(x.encode()) for x in texts]
+            if len(counter.known) > KNOWN:
+                counter.known.clear()
+            new = {k: x for k, x in zip(keys, texts, strict=True) if k not in counter.known}
+            short = {k: x for k, x in new.items() if len(x) <= chunk}
+            counter.known.update(zip(short, counter.whole(list(short.values())), strict=True))
+            counter.known.update((k, counter.count(x, chunk, overlap)) for k, x in new.items() if len(x) > chunk)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), pa.array([counter.known[k] for k in keys], pa.int64())], ["id", "n_bytes", "n_tokens"])
 
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("id", kind), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
