@@ -8,11 +8,19 @@ middle of a word; once one of its own pre-token starts coincides with a true bou
 everything that it yields from there equals the whole text's encoding, because pre-token
 scanning looks only forward. Counts are spliced at such a boundary. Where the overlap has
 none (one long run without a boundary), the overlap is widened, to the whole text at last.
+
+Short documents are one chunk. Where the tokenizer's pre-token pattern lets no match run over
+a single space between two other characters, such a text is cut there and a worker remembers
+the library's count of each part; in all other cases the library counts the whole text.
 """
 
 from __future__ import annotations
 
+import json
+import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,8 +31,11 @@ from .common import file_bytes, kept, text_blocks
 
 #: Characters of a chunk and of the overlap that the next chunk is given at first.
 CHUNK, OVERLAP = 1 << 15, 256
-#: Distinct texts whose counts a worker remembers; it forgets all when the memory is full.
-KNOWN = 500_000
+#: Distinct parts whose counts a worker remembers (those of up to ``LONGEST`` characters); it
+#: forgets all when the memory is full.
+KNOWN, LONGEST = 700_000, 64
+#: A space that could belong to a run of white space, by any engine's notion of white space.
+UNSAFE = re.compile("[\\s\x1c-\x1f\x85\u180e\u200b\ufeff] |  | [\\s\x1c-\x1f\x85\u180e\u200b\ufeff]| \\Z").search
 #: Characters before a cut whose scanning could depend on what follows it: longer than any
 #: look-ahead or fixed alternative of the pattern and than any special token (checked on load).
 MARGIN = 32
@@ -32,13 +43,12 @@ MARGIN = 32
 
 class Counter:
     def __init__(self, table: bytes):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_str(table.decode())
-        self.known: dict[bytes, int] = {}  # counts by a text's 128-bit hash
+        self.cuts = self._cuts(json.loads(table))
+        self.known: dict[str, int] = {}  # tokens of a part, the space before it included but not written
         longest = max((len(t.content) for t in self.lib.get_added_tokens_decoder().values()), default=0)
         if longest > MARGIN - 8:
             raise ValueError(f"a special token of {longest} characters needs a larger margin")
@@ -46,6 +56,37 @@ class Counter:
     def whole(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
+    @staticmethod
+    def _cuts(spec: dict) -> bool:
+        """Whether a single space between two other characters always starts a pre-token.
+
+        So it is for the byte-level pre-tokenizer's own pattern (a match takes white space in
+        front only, nothing looks back), if nothing else is done to the text before and no
+        added token holds white space or takes that around it.
+        """
+        pre = spec.get("pre_tokenizer") or {}
+        plain = all(not (t.get("lstrip") or t.get("rstrip") or t.get("single_word") or UNSAFE(f"{t['content']} x") or re.search(r"\s", t["content"])) for t in spec.get("added_tokens") or [])
+        return bool(plain and not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec["model"].get("dropout"))
+
+    def short(self, texts: list[str]) -> list[int]:
+        """Tokens of texts of bounded length."""
+        if not self.cuts:
+            return self.whole(texts)
+        known = self.known
+        parts = [None if UNSAFE(x) else x.split(" ") for x in texts]
+        # the first part has no space before it: it goes to the library each time, as do uncut texts
+        alone = self.whole([x if p is None else p[0] for x, p in zip(texts, parts, strict=True)])
+        rest = [p[1:] if p else [] for p in parts]
+        if len(known) > KNOWN:
+            known.clear()
+        new = list(set(chain.from_iterable(rest)).difference(known))
+        counts = dict(zip(new, self.whole([" " + x for x in new]), strict=True))
+        known.update((x, n) for x, n in counts.items() if len(x) <= LONGEST)
+        long = {x: n for x, n in counts.items() if len(x) > LONGEST}
+        if long:
+            return [n + sum([long[x] if x in long else known[x] for x in p]) for n, p in zip(alone, rest, strict=True)]
+        return [n + sum(map(known.__getitem__, p)) for n, p in zip(alone, rest, strict=True)]
+
     def _starts(self, text: str, base: int) -> tuple[list[int], dict[int, int], int]:
         """Pre-token starts (positions in the whole text), tokens before each of them, all tokens."""
         e = self.lib.encode(text, add_special_tokens=False)
@@ -64,7 +105,7 @@ class Counter:
         """Tokens of a text of any length."""
         n = len(text)
         if n <= chunk:
-            return self.whole([text])[0]
+            return self.short([text])[0]
         start, end, at, total = 0, chunk, 0, 0
         starts, before, size = self._starts(text[:end], 0)
         # ``at``: the true boundary from which this chunk's tokens count; start <= at
@@ -103,28 +144,20 @@ def built(table: bytes) -> Counter:
 def count_tokens(docs: DataFrame, tokenizer_path: str, *, limit: int = 512, chunk: int = CHUNK, overlap: int = OVERLAP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_bytes, n_tokens, over_limit`` of every whole text, without a shuffle.
 
-    Texts of up to ``chunk`` characters go to the library in batches; longer ones are
-    counted chunk by chunk, so memory is bounded by the chunk, not by the document. A worker
-    counts equal texts once.
+    Texts of up to ``chunk`` characters are counted in batches; longer ones chunk by chunk, so
+    memory is bounded by the chunk, not by the document.
     A null text counts as empty (0 bytes, 0 tokens); null ids and repeated rows stay;
     other columns are ignored; an empty table gives an empty result.
     """
     table = docs.sparkSession.sparkContext.broadcast(file_bytes(tokenizer_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         counter = built(table.value)
         for batch in text_blocks(batches, 1 << 20):
             texts = [x or "" for x in batch.column("text").to_pylist()]
-            keys = [xxhash.xxh3_128_digest(x.encode()) for x in texts]
-            if len(counter.known) > KNOWN:
-                counter.known.clear()
-            new = {k: x for k, x in zip(keys, texts, strict=True) if k not in counter.known}
-            short = {k: x for k, x in new.items() if len(x) <= chunk}
-            counter.known.update(zip(short, counter.whole(list(short.values())), strict=True))
-            counter.known.update((k, counter.count(x, chunk, overlap)) for k, x in new.items() if len(x) > chunk)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), pa.array([counter.known[k] for k in keys], pa.int64())], ["id", "n_bytes", "n_tokens"])
+            short = iter(counter.short([x for x in texts if len(x) <= chunk]))
+            counts = [next(short) if len(x) <= chunk else counter.count(x, chunk, overlap) for x in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), pa.array(counts, pa.int64())], ["id", "n_bytes", "n_tokens"])
 
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("id", kind), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])

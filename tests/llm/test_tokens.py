@@ -71,6 +71,17 @@ def test_overlap_resynchronisation():
             assert counter.count(text, chunk, overlap) == counter.whole([text])[0]
 
 
+def test_short_texts_equal_library():
+    counter = tokencount.Counter(open(P.path("byte_bpe_50k.json"), "rb").read())
+    assert counter.cuts
+    r = random.Random(8)
+    signs = ["a", "B", " ", " ", " ", "\n", "\t", "'s", "'ll", "é", "1", "٣", "中", "\x1c", "\x1f", "\x85", "\u180e", "\u200b", "\ufeff", "\u0301", "\u00a0", "\u2003", "<|endoftext|>", ".", "!!", "😀", "\r\n", "x" * 70]
+    given = ["".join(r.choices(signs, k=r.randint(0, 14))) for _ in range(20_000)] + [x for _, x in texts()] + noise(8)
+    assert sum(not tokencount.UNSAFE(x) for x in given) > 2000
+    for _ in range(2):  # parts new, and parts remembered
+        assert counter.short(given) == counter.whole(given)
+
+
 def test_count_query(spark):
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     got = tokencount.count_tokens(docs(spark), P.path("byte_bpe_50k.json"), limit=5, chunk=200, overlap=16).collect()
