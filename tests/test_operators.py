@@ -135,3 +135,24 @@ def test_command_line(spark, tmp_path, capsys):
     source = "/root/testdata/sf0.001/customer.parquet"
     assert main(["generate", "--source", source, "--key", "c_custkey", "--categorical", "c_mktsegment", "--rows", "20", "--out", str(tmp_path / "g")]) == 0
     assert spark.read.parquet(str(tmp_path / "g")).count() == 20
+
+
+def test_joint_keys_meet_their_tuples_by_ranges(spark):
+    from tabspark.operators import generate as G
+
+    weights = [3, 0, 5000, 1, *[1] * 300, 40, 2_000_000]
+    tuples = spark.createDataFrame(list(enumerate(weights)), "k long, weight long")
+    ids = spark.range(2000)
+    drawn = G.joint_keys(ids, tuples, ["k"], "id", "s")
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    loops = [x for x in plan.splitlines() if "NestedLoopJoin" in x or "CartesianProduct" in x]
+    assert "_part" in plan and all("Cross" in x for x in loops)  # no tuple is compared with every draw
+    ends, total = [], 0
+    for w in weights:
+        total += w
+        ends.append(total)
+    want = {}
+    for r in ids.select("id", F.floor(G.unit(F.col("id"), "s") * total).alias("x")).collect():
+        want[r.id] = next(k for k, end in enumerate(ends) if r.x < end)
+    got = drawn.collect()
+    assert len(got) == 2000 and {r.id: r.k for r in got} == want
