@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabspark import sources as S
+from tabspark.functions import sql_round
 from tabspark.operators import membership as M
 from tabspark.operators import profile as P
 from tabspark.operators import relational as R
@@ -156,3 +157,17 @@ def test_joint_keys_meet_their_tuples_by_ranges(spark):
         want[r.id] = next(k for k, end in enumerate(ends) if r.x < end)
     got = drawn.collect()
     assert len(got) == 2000 and {r.id: r.k for r in got} == want
+
+
+def test_quantiles_of_times_are_rounded_as_in_sql(spark):
+    import duckdb
+
+    from tabspark.operators import generate as G
+
+    q, times = [0.0, 0.25, 0.5, 0.75, 1.0], [1704718027228185 + i for i in (-5, 0, 1, 4, 9, 11, 40, 41)]
+    want = duckdb.execute("SELECT list_transform(quantile_cont(x::double, ?), lambda z: round(z, 6)) FROM (SELECT unnest(?) AS x)", [q, times]).fetchone()[0]
+    grid = G.quantile_grid(spark.createDataFrame([(x,) for x in times], "x long"), "x", 5)
+    assert grid.first().q == want
+    some = [0.5, -2.5, 1e-7, -1.2345675, 123456.7890125, 1704718027228185.75, 1e300, 1e305, -1e305]
+    rounded = spark.createDataFrame([(x,) for x in some], "x double").select(F.col("x"), sql_round(F.col("x"), 6).alias("r"))
+    assert {r.x: r.r for r in rounded.collect()} == {x: duckdb.execute("SELECT round(?::double, 6)", [x]).fetchone()[0] for x in some}
