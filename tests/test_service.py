@@ -47,3 +47,11 @@ def test_guards(spark):
     assert V.read_only("SELECT 'drop; this'")
     with pytest.raises(ValueError):
         V.run(spark, "runs.count", nothing=1)
+
+
+def test_trend_cuts_tied_rows_alike(spark):
+    evaluations = spark.createDataFrame([("e1", T[0], T[1], "FINAL", "DONE", "j1", 0.9)], V.SCHEMAS["evaluations"])
+    rows = [("e1", T[1], "t", "column", "fidelity", "column.ks", "a", None, None, i / 10, None, "PASS") for i in range(40)]
+    for some in (rows, rows[::-1], rows[7::2] + rows[:7] + rows[8::2]):
+        V.register(spark, {"evaluations": evaluations, "metrics": spark.createDataFrame(some, V.SCHEMAS["metrics"])})
+        assert [r.value for r in V.run(spark, "trend", metric="column.ks", limit=5).collect()] == [0.0, 0.1, 0.2, 0.3, 0.4]
