@@ -43,8 +43,6 @@ RANGE, SPARE = 2_000_000, 20
 BLOCK = BLOCK_BYTES // 2
 #: Partitions of the exchange of questions at most: a task answers its ranges one by one.
 PARTS = 20_000
-#: Lanes from which on texts are read side by side; fewer are read one by one.
-LANES = 12
 #: Hashes of the end of a text and of what stands before its first word.
 END, BEGIN = 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3
 
@@ -125,12 +123,14 @@ class Grams:
                 hashes = mix(before * np.uint64(0x9E3779B97F4A7C15) + single + np.uint64(n))
             valid = np.flatnonzero(place >= n - 2)
             short = hashes[valid] if n == 1 else hashes[valid] >> np.uint64(64 - bits)
-            distinct, at, back = np.unique(short, return_index=True, return_inverse=True)
+            distinct, back = np.unique(short, return_inverse=True)
             here = np.full(total, -1, "i4")
             here[valid] = back
+            ends = np.empty(len(distinct), valid.dtype)
+            ends[back] = valid
             self.distinct.append(distinct)
             self.place.append(here)
-            self.where.append(valid[at])  # a token at which each distinct n-gram ends
+            self.where.append(ends)  # a token at which each distinct n-gram ends
 
 
 def _cuts(bits: int, ranges: int) -> np.ndarray:
@@ -203,15 +203,17 @@ class Automaton:
     """The part of the automaton that a block can reach, over the block's own numbers of words and n-grams.
 
     State 0 is the empty context, 1 + w the word w, 1 + ``words`` the beginning; then come the
-    longer contexts, by the number of their n-gram. Arcs are sorted by (state, word).
+    longer contexts, by the number of their n-gram. An arc belongs to the n-gram of its state's
+    words and its own: ``arcs`` has for each depth of a state and each token of the block the arc
+    of that token from the state of that depth before it (-1: none).
     """
 
     def __init__(self, grams: Grams, counts: list[np.ndarray], tokens: int, vocabulary: int, texts: int, mu: Sequence[float]):
-        self.order, self.kinds = len(counts), grams.words + 1  # with the end
+        self.order, kinds = len(counts), grams.words + 1  # with the end
         starting = np.zeros(len(grams.token), bool)
         starting[grams.starts] = True
         p = (counts[0] + 1.0) / (tokens + vocabulary + 1.0)
-        by_word = np.zeros(self.kinds, "i8")  # number of the 1-gram of a word
+        by_word = np.zeros(kinds, "i8")  # number of the 1-gram of a word
         by_word[grams.token] = grams.place[0]
         self.root = np.log10(p)[by_word]
         self.begin = 1 + grams.words
@@ -220,7 +222,7 @@ class Automaton:
             base.append(base[-1] + len(grams.where[n - 1]))
         states = base[self.order] if self.order > 1 else 1
         self.fail, self.fail_weight = np.zeros(states, "i4"), np.zeros(states)
-        keys, weights, targets = [], [], []
+        weights, targets, self.arcs = [], [], [None]
 
         def state(n: int, token: np.ndarray) -> np.ndarray:
             """The state of the n words that end at a token."""
@@ -232,82 +234,50 @@ class Automaton:
             start, m = starting[at], mu[min(n - 2, len(mu) - 1)]
             if n == 2:
                 context = np.where(start, texts, seen[grams.token[at - 1]]).astype("f8")
-                source = np.where(start, self.begin, state(1, at - 1))
                 self.fail_weight[1 : 2 + grams.words] = np.log10(m / (np.append(seen[: grams.words], texts) + m))
             else:
                 context = counts[n - 2][grams.place[n - 2][at - 1]].astype("f8")
-                source = state(n - 1, at - 1)
             count = counts[n - 1].astype("f8")
             p = (count + m * p[grams.place[n - 2][at]]) / (context + m)
             there = np.flatnonzero(count > 0)
-            keys.append(source[there].astype("i8") * self.kinds + grams.token[at[there]])
+            number = np.full(len(count) + 1, -1, "i4")  # the last one stands for no n-gram
+            number[there] = sum(map(len, weights)) + np.arange(len(there))
+            self.arcs.append(number[grams.place[n - 1]])
             weights.append(np.log10(p[there]))
             targets.append(state(min(n, self.order - 1), at[there]).astype("i4"))
             if n < self.order:  # these n-grams are contexts themselves
                 mine = slice(base[n], base[n] + len(count))
                 self.fail[mine] = state(n - 1, at)
                 self.fail_weight[mine] = np.log10(mu[min(n - 1, len(mu) - 1)] / (count + mu[min(n - 1, len(mu) - 1)]))
-        keys, weights, targets = (np.concatenate(x) if x else np.zeros(0, "i8") for x in (keys, weights, targets))
-        sort = np.argsort(keys, kind="stable")
-        self.keys, self.weight, self.target = keys[sort], weights[sort], targets[sort]
-
-    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The states after one more token each, and the weights of the arcs taken."""
-        total, after = np.zeros(len(state)), np.zeros(len(state), state.dtype)
-        left = np.arange(len(state))
-        while len(left):
-            s, w = state[left], word[left]
-            key = s.astype("i8") * self.kinds + w
-            at = np.searchsorted(self.keys, key)
-            found = (s > 0) & (at < len(self.keys))
-            found[found] = self.keys[at[found]] == key[found]
-            hit = left[found]
-            total[hit] += self.weight[at[found]]
-            after[hit] = self.target[at[found]]
-            empty = left[s == 0]
-            total[empty] += self.root[word[empty]]
-            after[empty] = 1 + word[empty] if self.order > 1 else 0
-            rest = ~found & (s > 0)
-            left, s = left[rest], s[rest]
-            total[left] += self.fail_weight[s]
-            state = state.copy() if len(left) else state
-            state[left] = self.fail[s]
-        return after, total
-
-    def read(self, token: np.ndarray, start: int, end: int, state: int, total: float) -> float:
-        """The score of a text from one of its tokens on."""
-        from bisect import bisect_left
-
-        keys, kinds, many = self.keys, self.kinds, len(self.keys)
-        for w in token[start:end].tolist():
-            while state:
-                key = state * kinds + w
-                at = bisect_left(keys, key)
-                if at < many and keys[at] == key:
-                    total += float(self.weight[at])
-                    state = int(self.target[at])
-                    break
-                total += float(self.fail_weight[state])
-                state = int(self.fail[state])
-            else:
-                total += float(self.root[w])
-                state = 1 + w if self.order > 1 else 0
-        return total
+        self.weight = np.concatenate(weights) if weights else np.zeros(0)
+        self.target = np.concatenate(targets) if targets else np.zeros(0, "i4")
 
     def scores(self, token: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """The score of every text: all are read side by side, the longest first, so that those not yet at their end come first."""
-        turn = np.argsort(-sizes, kind="stable")
-        begin, size = starts[turn], sizes[turn]
-        state = np.full(len(turn), self.begin if self.order > 1 else 0, "i8")
-        total, at = np.zeros(len(turn)), 0
-        while (alive := int(np.searchsorted(-size, -at, "left"))) >= LANES:
-            state[:alive], weight = self.step(state[:alive], token[begin[:alive] + at].astype("i8"))
-            total[:alive] += weight
-            at += 1
-        for i in range(alive):
-            total[i] = self.read(token, int(begin[i]) + at, int(begin[i] + size[i]), int(state[i]), float(total[i]))
-        out = np.empty(len(turn))
-        out[turn] = total
+        """The score of every text: each is read once from its first token to its end, with its state carried along."""
+        # single items of a memoryview come as plain numbers, without a copy of the table
+        words, root, weight, target, fail, fail_weight = map(memoryview, (token, self.root, self.weight, self.target, self.fail, self.fail_weight))
+        arcs, top = [None, *map(memoryview, self.arcs[1:])], self.order - 1
+        out = np.zeros(len(starts))
+        for i, (start, size) in enumerate(zip(starts.tolist(), sizes.tolist(), strict=True)):
+            state, depth, total = (self.begin, 1, 0.0) if top else (0, 0, 0.0)
+            for t in range(start, start + size):
+                while depth:
+                    arc = arcs[depth][t]
+                    if arc >= 0:
+                        total += weight[arc]
+                        state = target[arc]
+                        if depth < top:
+                            depth += 1
+                        break
+                    total += fail_weight[state]
+                    state = fail[state]
+                    depth -= 1
+                else:
+                    w = words[t]
+                    total += root[w]
+                    if top:
+                        state, depth = 1 + w, 1
+            out[i] = total
         return out
 
 

@@ -562,3 +562,31 @@ def test_pipeline(spark, tmp_path):
             text = text[:s] + "[SECRET]" + text[e:]
         want[r[0]] = codec.encode(text)
     assert got == want and 900 in got and 902 not in got
+
+
+def test_backoff_arcs_need_no_search(monkeypatch):
+    import numpy as np
+
+    from tabspark.llm.common import squeeze
+
+    texts = [[0, 1, 2, 0, 1], [], [2, 2, 0, 1, 2, 0], [1]] * 20
+    lengths, flat = np.array([len(x) for x in texts], "<u4"), np.array([w for x in texts for w in x], "<u4")
+    grams = lm.Grams(squeeze(lengths), np.array([11, 22, 33], "<u8").tobytes(), squeeze(flat), 3, 50)
+    train = np.repeat(np.arange(len(texts)) % 4 < 2, grams.sizes)  # half of the texts: some n-grams have no arc
+    counts = [np.bincount(at[train & (at >= 0)], minlength=len(h)) for h, at in zip(grams.distinct, grams.place, strict=True)]
+    automaton = lm.Automaton(grams, counts, 160, 4, len(texts) // 2, (100.0, 10.0))
+    monkeypatch.setattr(np, "searchsorted", None)  # reading a text takes or fails arcs by number
+    got = automaton.scores(grams.token, grams.starts, grams.sizes)
+    c = [{int(g): int(n) for g, n in enumerate(x)} for x in counts]
+    want = []
+    for start, size in zip(grams.starts.tolist(), grams.sizes.tolist(), strict=True):
+        total = 0.0
+        for t in range(start, start + size):
+            p = (c[0][int(grams.place[0][t])] + 1) / 165
+            for n, m in ((2, 100.0), (3, 10.0)):
+                if (g := int(grams.place[n - 1][t])) >= 0:
+                    context = len(texts) // 2 if t == start else c[n - 2][int(grams.place[n - 2][t - 1])]
+                    p = (c[n - 1][g] + m * p) / (context + m)
+            total += np.log10(p)
+        want.append(total)
+    assert np.allclose(got, want, rtol=1e-12)
