@@ -1,10 +1,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tabspark.plans import service as V
+from tabspark.plans import service_queries as Q
+from tabspark.plans.queries import Tables
+
+from .oracle import connect
 
 T = [dt.datetime(2026, 1, d) for d in range(1, 10)]
 
@@ -55,3 +61,18 @@ def test_trend_cuts_tied_rows_alike(spark):
     for some in (rows, rows[::-1], rows[7::2] + rows[:7] + rows[8::2]):
         V.register(spark, {"evaluations": evaluations, "metrics": spark.createDataFrame(some, V.SCHEMAS["metrics"])})
         assert [r.value for r in V.run(spark, "trend", metric="column.ks", limit=5).collect()] == [0.0, 0.1, 0.2, 0.3, 0.4]
+
+
+def test_trend_is_one_of_the_results_that_its_sql_allows(spark):
+    sf = "/root/testdata/sf0.01"
+    V.register(spark, Q.result_tables(Tables(spark, sf)))
+    rows = connect(sf).execute(Q.other_engine("trend")).fetchall()  # below the registered limit, so none is cut
+    key = lambda r: (r[1], r[0], r[2], *r[6:9])
+    for limit in (7, 409):
+        last = key(rows[limit - 1])
+        assert key(rows[limit]) == last  # the limit cuts among tied rows
+        found = V.run(spark, "trend", metric="m1", table="t1", limit=limit).withColumn("evaluated_at", F.unix_micros("evaluated_at")).collect()
+        found = [tuple(r) for r in found]
+        assert len(found) == limit
+        assert Counter(r for r in found if key(r) != last) == Counter(r for r in rows[:limit] if key(r) != last)
+        assert Counter(r for r in found if key(r) == last) <= Counter(r for r in rows if key(r) == last)
